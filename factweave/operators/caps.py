@@ -5,16 +5,16 @@ The original takes the first n rows of a key in arrival order (40 000 instances
 1 000 000 pairs per relation). We replace arrival order by an md5 order (deterministic, and
 a uniform sample), and never rank a whole hot key inside one task:
 
-1. ``count`` per key (partial aggregation; one row per key leaves each map task).
-2. Keys over the cap get a histogram of their rows over 2^20 hash buckets (partial
-   aggregation again, at most 2^20 rows per key), and a running sum per key picks the
-   cut-off bucket and the quota left inside it.
+1. A histogram of rows over (key, one of 2^20 hash buckets) - a partial aggregation, so a
+   hot key leaves each map task as at most 2^20 small rows.
+2. Per key (at most 2^20 histogram rows) a total and a running sum pick, for keys over
+   the cap, the cut-off bucket and the quota left inside it.
 3. Rows join the (usually small) cut-off table - adaptive execution broadcasts it when its
    measured size allows and shuffles otherwise - and are kept when their key is under the
    cap, their bucket lies below the cut-off, or they rank within the quota of the cut-off
    bucket (a window over one bucket of one key: about rows/2^20 rows).
 
-A key holding a third of all rows therefore costs three scans and no oversized task.
+A key holding a third of all rows therefore costs two scans and no oversized task.
 """
 
 from __future__ import annotations
@@ -38,21 +38,23 @@ def cap_per_key(df: DataFrame, keys: list[str], order_hash: str, n: int,
     bucket = F.conv(F.substring(F.col(order_hash), 1, BUCKET_HEX_DIGITS), 16, 10).cast("int")
     d = df.withColumn("_b", bucket)
 
-    over = (d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-            .filter(F.col("_cnt") > n).select(*keys))
-    hist = (d.join(over, keys, "left_semi")
-            .groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bc")))
+    # histogram of (key, bucket): partial aggregation, at most 2^20 rows per key
+    hist = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bc"))
+    wall = Window.partitionBy(*keys)
     wcum = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = (hist.withColumn("_cum", F.sum("_bc").over(wcum))
+    cut = (hist.withColumn("_tot", F.sum("_bc").over(wall))
+           .filter(F.col("_tot") > n)
+           .withColumn("_cum", F.sum("_bc").over(wcum))
            .withColumn("_before", F.col("_cum") - F.col("_bc"))
            .filter((F.col("_before") < n) & (F.col("_cum") >= n))
            .select(*keys, F.col("_b").alias("_bstar"), (F.lit(n) - F.col("_before")).alias("_quota")))
 
+    # rows of keys under the cap find no cut-off row; only the cut-off bucket is ranked
     j = d.join(cut, keys, "left")
     under = j.filter(F.col("_bstar").isNull() | (F.col("_b") < F.col("_bstar")))
-    border = j.filter(F.col("_b") == F.col("_bstar"))
     wb = Window.partitionBy(*keys).orderBy(F.col(order_hash), *[F.col(c) for c in tiebreak])
-    border = border.withColumn("_r", F.row_number().over(wb)).filter(F.col("_r") <= F.col("_quota")).drop("_r")
+    border = j.filter(F.col("_b") == F.col("_bstar")) \
+        .withColumn("_r", F.row_number().over(wb)).filter(F.col("_r") <= F.col("_quota")).drop("_r")
     out = under.unionByName(border).drop("_b", "_bstar", "_quota")
     if rank_col:
         wr = Window.partitionBy(*keys).orderBy(F.col(order_hash), *[F.col(c) for c in tiebreak])

@@ -69,3 +69,107 @@ def ag2_group_cap(spark, sf_dir):
     inst = G.group_instances(scored_extractions(spark, sf_dir), max_group_size=AG2_CAP)
     return inst.groupBy(*G.KEY).agg(F.count(F.lit(1)).alias("n_instances"), F.min("inst_id").alias("first_inst"),
                                     F.max("inst_id").alias("last_inst"))
+
+
+# ---------------------------------------------------------------------------
+# E2 typing. Fixture setting: min_share_score = 3 (with the command-line value 10 no type
+# reaches the share threshold on this fixture); every other setting is the CLI default.
+# ---------------------------------------------------------------------------
+
+from factweave.operators import typing as T  # noqa: E402
+
+TYPING = T.TyperSettings(role="arg1", min_share_score=3)
+TYPING_SQL = S.with_(S.EXTRACTIONS, S.TUPLES, *S.typing_ctes("arg1", k=TYPING.max_similar_entities,
+                                                            max_types=TYPING.max_predicted_types,
+                                                            min_share=TYPING.min_share_score,
+                                                            min_w=TYPING.min_rel_weight))
+
+
+def typing_inputs(spark, sf_dir):
+    return FX.tuples(spark, sf_dir), FX.type_dim(spark, sf_dir)
+
+
+@register("ag6_relation_sample", TYPING_SQL + "SELECT rel, fbid, tkey, h FROM samp")
+def ag6_relation_sample(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    return T.relation_sample(T.entity_occurrences(tup, TYPING, dim), TYPING).select("rel", "fbid", "tkey", "h")
+
+
+@register("ag7_relation_weight", TYPING_SQL + "SELECT rel, n_sample, shared, weight, weight_2dp FROM stats2")
+def ag7_relation_weight(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    st = T.relation_stats(T.relation_sample(T.entity_occurrences(tup, TYPING, dim), TYPING))
+    return st.select("rel", "n_sample", "shared", "weight", "weight_2dp")
+
+
+@register("ag8_relation_info", TYPING_SQL + """
+SELECT r.rel, r.weight_2dp, r.n_entities, e.entities FROM relinfo r
+JOIN (SELECT rel, string_agg(fbid || ':' || tkey, ';' ORDER BY fbid, tkey) AS entities FROM rel_ent GROUP BY rel) e
+  ON r.rel = e.rel""")
+def ag8_relation_info(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    p1 = T.phase_one(tup, TYPING, dim)
+    return p1.rel_info.select("rel", "weight_2dp", "n_entities", F.array_join(F.transform(
+        "entities", lambda e: F.concat(e["fbid"], F.lit(":"), e["tkey"])), ";").alias("entities"))
+
+
+@register("jn1_rel_args", TYPING_SQL + "SELECT arg, rel, weight_2dp, n_entities FROM ar")
+def jn1_rel_args(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    return T.phase_one(tup, TYPING, dim).arg_rel.select("arg", "rel", "weight_2dp", "n_entities")
+
+
+@register("ag9_entity_scores", TYPING_SQL + """
+SELECT s.arg, s.n_entities, s.max_score, CAST(t.total_weight AS DOUBLE) AS total_weight
+FROM (SELECT arg, count(*) AS n_entities, CAST(max(score) AS DOUBLE) AS max_score FROM scores GROUP BY arg) s
+JOIN totals t ON s.arg = t.arg""")
+def ag9_entity_scores(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    p1 = T.phase_one(tup, TYPING, dim)
+    sc = T.entity_scores(p1.arg_rel, p1.rel_info).groupBy("arg").agg(
+        F.count(F.lit(1)).alias("n_entities"), F.max("score").cast("double").alias("max_score"))
+    return sc.join(T.arg_totals(p1.arg_rel), "arg").select(
+        "arg", "n_entities", "max_score", F.col("total_weight").cast("double").alias("total_weight"))
+
+
+@register("tk1_top_entities", TYPING_SQL + "SELECT arg, rank, fbid, tkey, CAST(score AS DOUBLE) AS score FROM top")
+def tk1_top_entities(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    p1 = T.phase_one(tup, TYPING, dim)
+    top = T.top_entities(T.entity_scores(p1.arg_rel, p1.rel_info), TYPING)
+    return top.select("arg", F.col("rank").cast("long").alias("rank"), "fbid", "tkey",
+                      F.col("score").cast("double").alias("score"))
+
+
+@register("ag10_type_shares", TYPING_SQL + "SELECT arg, type, share, enum FROM shares")
+def ag10_type_shares(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    p1 = T.phase_one(tup, TYPING, dim)
+    top = T.top_entities(T.entity_scores(p1.arg_rel, p1.rel_info), TYPING)
+    return T.type_shares(top, dim, TYPING).select("arg", "type", "share", "enum")
+
+
+@register("tk2_top_types", TYPING_SQL + "SELECT arg, rank, type, share FROM ttypes")
+def tk2_top_types(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    p1 = T.phase_one(tup, TYPING, dim)
+    top = T.top_entities(T.entity_scores(p1.arg_rel, p1.rel_info), TYPING)
+    tt = T.top_types(T.type_shares(top, dim, TYPING), TYPING)
+    return tt.select("arg", F.col("rank").cast("long").alias("rank"), "type", "share")
+
+
+@register("ag11_type_predictions", TYPING_SQL + "SELECT * FROM pred")
+def ag11_type_predictions(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    return T.flat_predictions(T.predict_types(tup, TYPING, dim))
+
+
+@register("tk3_notable_relations", TYPING_SQL + """
+SELECT arg, string_agg(rel || ':' || printf('%.2f', weight_2dp), ', ' ORDER BY weight_2dp DESC, rel) AS rels
+FROM (SELECT *, row_number() OVER (PARTITION BY arg ORDER BY weight_2dp DESC, rel) AS rn FROM ar)
+WHERE rn <= 4 GROUP BY arg""")
+def tk3_notable_relations(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    nr = T.notable_relations(T.phase_one(tup, TYPING, dim).arg_rel)
+    return nr.select("arg", F.array_join(F.transform("rels", lambda r: F.concat(
+        r["rel"], F.lit(":"), F.format_string("%.2f", r["weight"]))), ", ").alias("rels"))

@@ -130,3 +130,129 @@ GROUPS = """grp AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+# ---------------------------------------------------------------------------
+# typing (E2)
+# ---------------------------------------------------------------------------
+
+TYPE_DIM = f"""tdim AS (
+  SELECT CASE WHEN type LIKE '/size/s%' THEN CAST(regexp_extract(regexp_extract(type, '[^/]+$'), '[0-9]+') AS INTEGER)
+              WHEN type LIKE '/brand/b%' THEN 100 + CAST(regexp_extract(regexp_extract(type, '[^/]+$'), '[0-9]+') AS INTEGER)
+              WHEN type = '/base/catalog' THEN 200
+              WHEN type = '/tv/tv_subject' THEN 201
+              WHEN type = '/business/supplier' THEN 300
+              ELSE 400 + CAST(regexp_extract(regexp_extract(type, '[^/]+$'), '[0-9]+') AS INTEGER) END AS enum,
+         type, CAST(count(*) AS INTEGER) AS instances
+  FROM (SELECT unnest({PART_TYPES}) AS type FROM part
+        UNION ALL SELECT unnest({SUPPLIER_TYPES}) AS type FROM supplier)
+  WHERE type <> '/misc/unknown'
+  GROUP BY type
+)"""
+
+
+def filt_types(x: str) -> str:
+    return (f"list_filter({x}, lambda t: NOT starts_with(t, {q(C.TYPE_DROP_PREFIX)}) "
+            f"AND NOT list_contains({arr(C.TYPE_BLACKLIST)}, t))")
+
+
+def arg_ok(a: str) -> str:
+    return (f"(length({a}) >= {C.MIN_ARG_LENGTH} AND NOT regexp_matches({a}, '[0-9]{{3}}') "
+            f"AND {a} NOT IN ({', '.join(q(w) for w in C.ARG_STOP_WORDS)}))")
+
+
+def dbl(x) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def w2(shared: str, pairs: str) -> str:
+    return (f"CASE WHEN {pairs} = 0 THEN CAST(0.0 AS DOUBLE) ELSE CAST(CAST(floor((200 * {shared} + {pairs}) / (2 * {pairs})) "
+            f"AS BIGINT) AS DOUBLE) / CAST(100.0 AS DOUBLE) END")
+
+
+def term(w: str) -> str:
+    return f"CAST(pow(CAST(10.0 AS DOUBLE), CAST(4.0 AS DOUBLE) * {w}) AS DECIMAL(20,6))"
+
+
+def typing_ctes(role="arg1", k=15, max_types=5, min_share=3, min_w=0.10, per_rel=150, args_per_rel=1000,
+                rels_per_arg=20000) -> list[str]:
+    return [TYPE_DIM, f"""ent_raw AS (
+  SELECT rel, {role}_fbid AS fbid, list_sort({filt_types(f'{role}_types')}) AS ftypes, row_id
+  FROM tuples WHERE {role}_fbid IS NOT NULL
+),
+known AS (
+  SELECT ftypes, list_sort(list_distinct(list(t))) AS types
+  FROM (SELECT ftypes, unnest(ftypes) AS t FROM (SELECT DISTINCT ftypes FROM ent_raw WHERE len(ftypes) > 0))
+  WHERE t IN (SELECT type FROM tdim)
+  GROUP BY ftypes
+),
+ent AS (
+  SELECT e.rel, e.fbid, k.types, array_to_string(k.types, ',') AS tkey,
+         md5(concat_ws('|', e.rel, e.fbid, array_to_string(k.types, ','), e.row_id)) AS h
+  FROM ent_raw e JOIN known k ON e.ftypes = k.ftypes
+),
+samp AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rel ORDER BY h, fbid, tkey) AS rn FROM ent)
+  WHERE rn <= {per_rel}
+),
+shared AS (
+  SELECT a.rel, count(*) AS shared FROM samp a JOIN samp b ON a.rel = b.rel AND a.rn < b.rn
+  WHERE len(list_intersect(a.types, b.types)) > 0 GROUP BY a.rel
+),
+stats AS (
+  SELECT rel, n_sample, shared, n_sample * (n_sample - 1) // 2 AS pairs,
+         CASE WHEN n_sample <= 1 THEN CAST(0.0 AS DOUBLE)
+              ELSE CAST(shared AS DOUBLE) / CAST(n_sample * (n_sample - 1) // 2 AS DOUBLE) END AS weight
+  FROM (SELECT s.rel, count(*) AS n_sample, coalesce(max(sh.shared), 0) AS shared
+        FROM samp s LEFT JOIN shared sh ON s.rel = sh.rel GROUP BY s.rel)
+),
+stats2 AS (SELECT *, {w2('shared', 'pairs')} AS weight_2dp FROM stats),
+rel_ent AS (SELECT DISTINCT rel, fbid, types, tkey FROM samp),
+relinfo AS (
+  SELECT s.rel, s.weight_2dp, (SELECT count(*) FROM rel_ent e WHERE e.rel = s.rel) AS n_entities
+  FROM stats2 s
+  WHERE length(s.rel) >= {C.MIN_REL_LENGTH} AND length(s.rel) <= {C.MAX_REL_LENGTH} AND s.n_sample > 0
+    AND s.weight >= {dbl(min_w)}
+),
+ra AS (
+  SELECT DISTINCT rel, {role} AS arg FROM tuples
+  WHERE {arg_ok(role)} AND rel IN (SELECT rel FROM relinfo)
+),
+ra_c AS (
+  SELECT rel, arg FROM (SELECT *, row_number() OVER (PARTITION BY rel ORDER BY md5(concat_ws('|', rel, arg)), arg) AS rn FROM ra)
+  WHERE rn <= {args_per_rel}
+),
+ar AS (
+  SELECT a.arg, a.rel, r.weight_2dp, r.n_entities
+  FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY arg ORDER BY md5(concat_ws('|', arg, rel)), rel) AS rn FROM ra_c)
+        WHERE rn <= {rels_per_arg}) a
+  JOIN relinfo r ON a.rel = r.rel
+),
+scores AS (
+  SELECT ar.arg, e.fbid, e.tkey, any_value(e.types) AS types, sum({term('ar.weight_2dp')}) AS score
+  FROM ar JOIN rel_ent e ON ar.rel = e.rel
+  GROUP BY ar.arg, e.fbid, e.tkey
+),
+totals AS (SELECT arg, sum({term('weight_2dp')} * n_entities) AS total_weight FROM ar GROUP BY arg),
+top AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY arg ORDER BY score DESC, fbid, tkey) AS rank FROM scores)
+  WHERE rank <= {k}
+),
+shares AS (
+  SELECT s.arg, s.type, s.share, d.enum FROM (
+    SELECT arg, type, count(*) AS share FROM (SELECT arg, unnest(types) AS type FROM top) GROUP BY arg, type
+  ) s JOIN tdim d ON s.type = d.type
+  WHERE s.share >= {min_share}
+),
+ttypes AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY arg ORDER BY share DESC, enum) AS rank FROM shares)
+  WHERE rank <= {max_types}
+),
+pred AS (
+  SELECT t.arg, t.types, CAST(tt.total_weight AS DOUBLE) AS total_weight, f.top_fbids
+  FROM (SELECT arg, string_agg(type || '@' || CAST(share AS VARCHAR), ', ' ORDER BY share DESC, enum) AS types
+        FROM ttypes GROUP BY arg) t
+  JOIN totals tt ON t.arg = tt.arg
+  JOIN (SELECT arg, string_agg(fbid, ',' ORDER BY rank) AS top_fbids FROM top WHERE rank <= {C.TOP_FBIDS_IN_PREDICTION} GROUP BY arg) f
+    ON t.arg = f.arg
+)"""]

@@ -75,7 +75,7 @@ def main(argv):
     from factweave.session import get_spark
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:]
-    spark = get_spark("local[8]")
+    spark = get_spark("local[8]", driver_memory="8g")
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
