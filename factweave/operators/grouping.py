@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factweave import constants as C
-from factweave.functions import md5_order
+from factweave.functions import clean_control, md5_order, span_text
 from factweave.operators.caps import cap_per_key
 
 KEY = ["arg1", "rel", "arg2"]
@@ -131,23 +131,74 @@ def answer_keys(groups: DataFrame, expand: bool = False) -> DataFrame:
         .select(*[F.coalesce(F.col(k), F.lit("")).alias(k) for k in KEY], "n_groups")
 
 
-def regroup(instances: DataFrame, parts: DataFrame, max_group_size: int = C.MAX_GROUP_SIZE) -> DataFrame:
-    """AG3 (+ ST1): merge groups that share a key.
+def first_instance_parts(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Entity parts of a group taken from its first instance (smallest inst_id, then fbids)."""
+    order = F.concat_ws("|", "inst_id", F.coalesce("arg1_fbid", F.lit("")), F.coalesce("arg2_fbid", F.lit("")))
+    e = F.struct(*[F.col(f"{r}_{c}") for r in ("arg1", "arg2") for c in ("fbid", "name", "inlinks", "types")])
+    return rows.groupBy(*by).agg(F.min_by(e, order).alias("e")).select(*by, "e.*")
 
-    ``instances``: flat (key, instance..., inst_id, batch) rows of all groups to merge;
-    ``parts``: one row per input group (key, batch, arg1_fbid, ..., arg2_types).
-    Instances are unioned, capped and deduplicated; the arg/rel parts come from the first
-    group (lowest batch) having an entity on either side, else from the first group.
+
+def linked_groups(instances: DataFrame, rows: DataFrame) -> DataFrame:
+    """Flat linked groups: key, size, and the entity parts of each group's first instance."""
+    return group_summary(instances).join(first_instance_parts(rows, KEY), KEY, "inner")
+
+
+def clean_instances(inst: DataFrame) -> DataFrame:
+    """PF7 on every token string and on the norms (tab -> space, drop \\p{C})."""
+    out = inst.withColumn("tokens", F.transform("tokens", clean_control))
+    for k in KEY:
+        if k in out.columns:
+            out = out.withColumn(k, clean_control(k))
+    return out
+
+
+def regroup(instances: DataFrame, parts: DataFrame, max_group_size: int = C.MAX_GROUP_SIZE):
+    """AG3 + TX5 + ST1: merge groups whose (re-computed) keys are equal.
+
+    ``instances``: one row per (gid, instance) of every input group, with ``batch`` (input
+    order of the group) and INSTANCE columns (confidence NULL or < 0 = unscored).
+    ``parts``: one row per input group: gid, batch, arg1_fbid, ..., arg2_types.
+
+    Steps: clean control characters (PF7), score unscored instances (TX3), key every group
+    by the normalised key of its first instance (TX4/TX5), union the instance sets (capped,
+    deduplicated) and take the arg/rel parts from the first group (lowest batch) having an
+    entity on either side, else from the first group. Returns (instances, head parts).
     """
-    inst = instances.select(*KEY, *INSTANCE, "inst_id")
-    inst = cap_per_key(inst, KEY, "inst_id", max_group_size).dropDuplicates([*KEY, "inst_id"])
-    rank = F.struct((F.col("arg1_fbid").isNotNull() | F.col("arg2_fbid").isNotNull()).cast("int").alias("linked"),
-                    (-F.col("batch")).alias("nb"))
-    cols = [c for c in parts.columns if c not in (*KEY, "batch")]
-    head = parts.groupBy(*KEY).agg(F.max_by(F.struct(*cols), rank).alias("h")).select(*KEY, "h.*")
+    from factweave.operators.score import score
+    from factweave.sources.fixtures import with_norms
+    inst = score(clean_instances(instances), only_unscored=True).withColumn("inst_id", instance_hash())
+    first = inst.groupBy("gid").agg(F.min_by(F.struct("tokens", *SPANS), "inst_id").alias("f")).select("gid", "f.*")
+    keys = with_norms(first).select("gid", *KEY)
+    inst = inst.drop(*[k for k in KEY if k in inst.columns]).join(keys, "gid", "inner")
+    inst = cap_per_key(inst.select(*KEY, *INSTANCE, "inst_id"), KEY, "inst_id", max_group_size) \
+        .dropDuplicates([*KEY, "inst_id"])
+    p = parts.drop(*[k for k in KEY if k in parts.columns]).join(keys, "gid", "inner")
+    linked = (F.col("arg1_fbid").isNotNull() | F.col("arg2_fbid").isNotNull()).cast("int")
+    cols = [c for c in p.columns if c not in (*KEY, "batch", "gid")]
+    head = p.groupBy(*KEY).agg(F.max_by(F.struct(*cols), linked * 10 - F.col("batch")).alias("h"),
+                               F.min("batch").alias("first_batch"), F.max("batch").alias("last_batch")) \
+        .select(*KEY, "h.*", "first_batch", "last_batch")
     return inst, head
 
 
-def regroup_summary(inst: DataFrame, head: DataFrame) -> DataFrame:
-    s = group_summary(inst)
-    return s.join(head, KEY, "inner")
+def relink_flag(size) -> F.Column:
+    """INC2: re-link a merged group only if size > 1 and (size < 5 or size even)."""
+    n = F.col(size) if isinstance(size, str) else size
+    return (n > C.RELINK_MIN_EXCLUSIVE) & ((n < C.RELINK_SMALL_EXCLUSIVE) | (n % 2 == 0))
+
+
+def render_groups(instances: DataFrame, parts: DataFrame) -> DataFrame:
+    """PF10: arg1, rel, arg2 (token strings of the first instance), (name,fbid) or 'none' x2,
+    then one column per distinct source sentence - as one tab-joined line."""
+    first = instances.groupBy(*KEY).agg(
+        F.min_by(F.struct("tokens", *SPANS), "inst_id").alias("f"),
+        F.array_sort(F.collect_set(F.array_join("tokens", " "))).alias("sentences"))
+    txt = [span_text("f.tokens", f"f.{p}_start", f"f.{p}_len") for p in ("arg1", "rel", "arg2")]
+    ent = [F.when(F.col(f"{r}_fbid").isNull(), F.lit("none"))
+           .otherwise(F.concat(F.lit("("), F.col(f"{r}_name"), F.lit(","), F.col(f"{r}_fbid"), F.lit(")")))
+           for r in ("arg1", "arg2")]
+    j = first.join(parts, KEY, "inner")
+    return j.select(*KEY, F.concat_ws("\t", *txt, *ent, F.array_join("sentences", "\t")).alias("line"))
+
+
+RENDER_HEADER = "\t".join(["arg1", "rel", "arg2", "arg1_entity", "arg2_entity", "sentences..."])

@@ -173,3 +173,105 @@ def tk3_notable_relations(spark, sf_dir):
     nr = T.notable_relations(T.phase_one(tup, TYPING, dim).arg_rel)
     return nr.select("arg", F.array_join(F.transform("rels", lambda r: F.concat(
         r["rel"], F.lit(":"), F.format_string("%.2f", r["weight"]))), ", ").alias("rels"))
+
+
+# ---------------------------------------------------------------------------
+# linked groups and the aggregations over them
+# ---------------------------------------------------------------------------
+
+def scored_rows(spark, sf_dir):
+    return scored_extractions(spark, sf_dir).withColumn("inst_id", G.instance_hash())
+
+
+def linked(spark, sf_dir):
+    rows = scored_rows(spark, sf_dir)
+    return G.linked_groups(G.group_instances(rows), rows)
+
+
+LINKED_SQL = S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS, S.LINKED)
+
+
+@register("ag5_inlink_ratio", LINKED_SQL + """
+SELECT CASE WHEN inl = 0 THEN CAST('inf' AS DOUBLE)
+            ELSE CAST(CAST(floor((20000 * n + inl) / (2 * inl)) AS BIGINT) AS DOUBLE) / CAST(10000.0 AS DOUBLE) END AS ratio,
+       name, fbid, n AS n_groups, inl AS inlinks
+FROM (SELECT arg1_fbid AS fbid, count(*) AS n,
+             arg_min(arg1_name, arg1 || chr(9) || rel || chr(9) || arg2) AS name,
+             CAST(arg_min(arg1_inlinks, arg1 || chr(9) || rel || chr(9) || arg2) AS BIGINT) AS inl
+      FROM lg WHERE arg1_fbid IS NOT NULL GROUP BY arg1_fbid)""")
+def ag5_inlink_ratio(spark, sf_dir):
+    return G.inlink_ratio(linked(spark, sf_dir), "arg1")
+
+
+@register("ag4_arg_pairs", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS) + """
+SELECT rel, pair FROM (
+  SELECT rel, arg1 || '+' || arg2 AS pair,
+         row_number() OVER (PARTITION BY rel ORDER BY md5(concat_ws('|', rel, arg1, arg2)), arg1 || '+' || arg2) AS rn
+  FROM grp) WHERE rn <= 1000000""")
+def ag4_arg_pairs(spark, sf_dir):
+    return G.arg_pairs(G.group_summary(grouped(spark, sf_dir)))
+
+
+@register("pf11_answer_keys", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS) + """
+SELECT coalesce(arg1, '') AS arg1, coalesce(rel, '') AS rel, coalesce(arg2, '') AS arg2, count(*) AS n_groups
+FROM grp GROUP BY GROUPING SETS ((arg1, rel, arg2), (rel, arg2), (arg1, arg2), (arg1, rel), (arg1), (rel), (arg2))""")
+def pf11_answer_keys(spark, sf_dir):
+    return G.answer_keys(G.group_summary(grouped(spark, sf_dir)), expand=True)
+
+
+@register("pf10_render_groups", LINKED_SQL + f""",
+first AS (
+  SELECT arg1, rel, arg2,
+         arg_min({{'tokens': tokens, 'arg1_start': arg1_start, 'arg1_len': arg1_len, 'rel_start': rel_start,
+                  'rel_len': rel_len, 'arg2_start': arg2_start, 'arg2_len': arg2_len}}, inst_id) AS f,
+         array_to_string(list_sort(list(DISTINCT array_to_string(tokens, ' '))), chr(9)) AS sentences
+  FROM inst GROUP BY arg1, rel, arg2
+)
+SELECT l.arg1, l.rel, l.arg2, concat_ws(chr(9),
+  {', '.join(f"array_to_string(list_slice(f.f.tokens, f.f.{p}_start + 1, f.f.{p}_start + f.f.{p}_len), ' ')" for p in ('arg1', 'rel', 'arg2'))},
+  CASE WHEN l.arg1_fbid IS NULL THEN 'none' ELSE '(' || l.arg1_name || ',' || l.arg1_fbid || ')' END,
+  CASE WHEN l.arg2_fbid IS NULL THEN 'none' ELSE '(' || l.arg2_name || ',' || l.arg2_fbid || ')' END,
+  f.sentences) AS line
+FROM lg l JOIN first f ON l.arg1 = f.arg1 AND l.rel = f.rel AND l.arg2 = f.arg2""")
+def pf10_render_groups(spark, sf_dir):
+    rows = scored_rows(spark, sf_dir)
+    return G.render_groups(G.group_instances(rows), G.first_instance_parts(rows, G.KEY))
+
+
+def batched(spark, sf_dir):
+    """Two batches of groups (md5 of the url < '8' -> batch 0); batch 1 arrives unscored."""
+    rows = scored_rows(spark, sf_dir).withColumn(
+        "batch", F.when(F.substring(F.md5("url"), 1, 1) < "8", F.lit(0)).otherwise(F.lit(1)))
+    rows = rows.withColumn("gid", F.concat_ws("|", F.col("batch").cast("string"), *G.KEY))
+    inst = rows.withColumn("confidence", F.when(F.col("batch") == 1, F.lit(None).cast("double"))
+                           .otherwise(F.col("confidence"))) \
+        .select("gid", "batch", *G.KEY, *G.INSTANCE, "inst_id").dropDuplicates(["gid", "inst_id"])
+    parts = G.first_instance_parts(rows, ["gid", "batch"])
+    return inst, parts
+
+
+@register("ag3_regroup", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS, S.BATCHED) + """
+SELECT g.arg1, g.rel, g.arg2, g.n_instances, g.max_conf,
+       struct_extract(h.e, 'arg1_fbid') AS arg1_fbid, struct_extract(h.e, 'arg2_fbid') AS arg2_fbid
+FROM grp g JOIN head h ON g.arg1 = h.arg1 AND g.rel = h.rel AND g.arg2 = h.arg2""")
+def ag3_regroup(spark, sf_dir):
+    inst, parts = batched(spark, sf_dir)
+    merged, head = G.regroup(inst, parts)
+    return G.group_summary(merged).join(head, G.KEY).select(*G.KEY, "n_instances", "max_conf", "arg1_fbid", "arg2_fbid")
+
+
+@register("inc1_upsert_groups", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS, S.BATCHED) + """,
+keys AS (SELECT arg1, rel, arg2, max(CASE WHEN batch = 0 THEN 1 ELSE 0 END) = 1 AS in_existing,
+                max(CASE WHEN batch = 1 THEN 1 ELSE 0 END) = 1 AS in_incoming
+         FROM exb GROUP BY arg1, rel, arg2)
+SELECT g.arg1, g.rel, g.arg2, g.n_instances, k.in_existing, k.in_incoming,
+       k.in_incoming AND g.n_instances > 1 AND (g.n_instances < 5 OR g.n_instances % 2 = 0) AS relink
+FROM grp g JOIN keys k ON g.arg1 = k.arg1 AND g.rel = k.rel AND g.arg2 = k.arg2""")
+def inc1_upsert_groups(spark, sf_dir):
+    from factweave.streaming.upsert import merge_batch
+    inst, parts = batched(spark, sf_dir)
+    existing = (inst.filter("batch = 0"), parts.filter("batch = 0"))
+    incoming = (inst.filter("batch = 1"), parts.filter("batch = 1"))
+    merged, head, flags = merge_batch(existing, incoming, incoming_batch=1)
+    return G.group_summary(merged).join(flags, G.KEY).select(*G.KEY, "n_instances", "in_existing", "in_incoming",
+                                                              "relink")

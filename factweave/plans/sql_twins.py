@@ -256,3 +256,36 @@ pred AS (
   JOIN (SELECT arg, string_agg(fbid, ',' ORDER BY rank) AS top_fbids FROM top WHERE rank <= {C.TOP_FBIDS_IN_PREDICTION} GROUP BY arg) f
     ON t.arg = f.arg
 )"""]
+
+
+# ---------------------------------------------------------------------------
+# linked groups, regroup, upsert
+# ---------------------------------------------------------------------------
+
+ORDER_FIRST = "concat_ws('|', inst_id, coalesce(arg1_fbid, ''), coalesce(arg2_fbid, ''))"
+ENT_STRUCT = ("{'arg1_fbid': arg1_fbid, 'arg1_name': arg1_name, 'arg1_inlinks': arg1_inlinks, 'arg1_types': arg1_types, "
+              "'arg2_fbid': arg2_fbid, 'arg2_name': arg2_name, 'arg2_inlinks': arg2_inlinks, 'arg2_types': arg2_types}")
+ENT_COLS = ["arg1_fbid", "arg1_name", "arg1_inlinks", "arg1_types", "arg2_fbid", "arg2_name", "arg2_inlinks", "arg2_types"]
+
+
+def unstruct(e: str, cols=ENT_COLS) -> str:
+    return ", ".join(f"struct_extract({e}, '{c}') AS {c}" for c in cols)
+
+
+LINKED = f"""parts AS (
+  SELECT arg1, rel, arg2, arg_min({ENT_STRUCT}, {ORDER_FIRST}) AS e FROM ex_i GROUP BY arg1, rel, arg2
+),
+lg AS (
+  SELECT g.*, {unstruct('p.e')} FROM grp g JOIN parts p ON g.arg1 = p.arg1 AND g.rel = p.rel AND g.arg2 = p.arg2
+)"""
+
+BATCHED = f"""exb AS (SELECT *, CASE WHEN substr(md5(url), 1, 1) < '8' THEN 0 ELSE 1 END AS batch FROM ex_i),
+bparts AS (
+  SELECT batch, arg1, rel, arg2, arg_min({ENT_STRUCT}, {ORDER_FIRST}) AS e FROM exb GROUP BY batch, arg1, rel, arg2
+),
+head AS (
+  SELECT arg1, rel, arg2,
+         arg_max(e, (CASE WHEN struct_extract(e, 'arg1_fbid') IS NOT NULL OR struct_extract(e, 'arg2_fbid') IS NOT NULL
+                          THEN 1 ELSE 0 END) * 10 - batch) AS e
+  FROM bparts GROUP BY arg1, rel, arg2
+)"""
