@@ -275,3 +275,141 @@ def inc1_upsert_groups(spark, sf_dir):
     merged, head, flags = merge_batch(existing, incoming, incoming_batch=1)
     return G.group_summary(merged).join(flags, G.KEY).select(*G.KEY, "n_instances", "in_existing", "in_incoming",
                                                               "relink")
+
+
+# ---------------------------------------------------------------------------
+# attach types, lookups, filters
+# ---------------------------------------------------------------------------
+
+from factweave.functions import arg_string_ok, clean_control, filter_types, rel_string_ok  # noqa: E402
+from factweave.operators import attach as AT  # noqa: E402
+from factweave.operators.score import span_valid  # noqa: E402
+
+
+@register("jn2_attach_types", TYPING_SQL + f"""
+SELECT t.arg1, t.rel, t.arg2, t.row_id, t.arg1_fbid,
+       array_to_string(CASE WHEN p.pt IS NOT NULL AND len({S.filt_types('t.arg1_types')}) = 0 THEN p.pt
+                            ELSE t.arg1_types END, ',') AS arg1_types,
+       (p.pt IS NOT NULL AND len({S.filt_types('t.arg1_types')}) = 0) AS types_attached
+FROM tuples t
+LEFT JOIN (SELECT arg, list_sort(list(DISTINCT type)) AS pt FROM ttypes GROUP BY arg) p
+  ON (CASE WHEN length(t.arg1) >= {S.C.MIN_ARG_LENGTH} THEN t.arg1 END) = p.arg""")
+def jn2_attach_types(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    pred = T.predict_types(tup, TYPING, dim)
+    out = AT.attach_types(tup, pred, "arg1")
+    return out.select("arg1", "rel", "arg2", "row_id", "arg1_fbid", F.array_join("arg1_types", ",").alias("arg1_types"),
+                      "types_attached")
+
+
+@register("jn4_type_lookup", S.with_(S.TYPE_DIM, S.EXTRACTIONS, S.TUPLES) + """
+SELECT t.type, d.enum, count(*) AS n FROM (SELECT unnest(arg1_types) AS type FROM tuples) t
+LEFT JOIN tdim d ON t.type = d.type GROUP BY t.type, d.enum""")
+def jn4_type_lookup(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    ts = tup.select(F.explode("arg1_types").alias("type"))
+    known, unknown = AT.types_to_ints(ts, dim)
+    return known.unionByName(unknown.withColumn("enum", F.lit(None).cast("int"))) \
+        .groupBy("type", "enum").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("pf2_type_filter", S.with_(S.EXTRACTIONS, S.TUPLES) + f"""
+SELECT array_to_string(arg1_types, ',') AS raw, array_to_string({S.filt_types('arg1_types')}, ',') AS kept, count(*) AS n
+FROM tuples GROUP BY ALL""")
+def pf2_type_filter(spark, sf_dir):
+    tup = FX.tuples(spark, sf_dir)
+    return tup.groupBy(F.array_join("arg1_types", ",").alias("raw"),
+                       F.array_join(filter_types("arg1_types"), ",").alias("kept")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("pf3_arg_filter", S.with_(S.EXTRACTIONS, S.TUPLES) + f"""
+SELECT role, arg, {S.arg_ok('arg')} AS ok, count(*) AS n FROM (
+  SELECT 'arg1' AS role, arg1 AS arg FROM tuples UNION ALL SELECT 'arg2' AS role, arg2 AS arg FROM tuples
+) GROUP BY role, arg""")
+def pf3_arg_filter(spark, sf_dir):
+    tup = FX.tuples(spark, sf_dir)
+    a = tup.select(F.lit("arg1").alias("role"), F.col("arg1").alias("arg")) \
+        .unionByName(tup.select(F.lit("arg2").alias("role"), F.col("arg2").alias("arg")))
+    return a.groupBy("role", "arg").agg(F.count(F.lit(1)).alias("n")).withColumn("ok", arg_string_ok("arg"))
+
+
+def stoplist(spark, sf_dir):
+    """Entity stop list for the fixture: part entities whose key is divisible by 11."""
+    return FX.read(spark, sf_dir, "part").filter(F.col("p_partkey") % 11 == 0) \
+        .select(F.concat(F.lit("m."), F.col("p_partkey").cast("string")).alias("fbid"))
+
+
+@register("pf4_entity_filter", S.with_(S.EXTRACTIONS, S.TUPLES, *S.typing_ctes("arg1")) + """
+SELECT l.rel, l.n_linked, coalesce(k.n_kept, 0) AS n_kept FROM
+  (SELECT rel, count(*) AS n_linked FROM tuples WHERE arg1_fbid IS NOT NULL GROUP BY rel) l
+LEFT JOIN (SELECT rel, count(*) AS n_kept FROM ent
+           WHERE fbid NOT IN (SELECT 'm.' || CAST(p_partkey AS VARCHAR) FROM part WHERE p_partkey % 11 = 0)
+           GROUP BY rel) k ON l.rel = k.rel""")
+def pf4_entity_filter(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    ent = T.entity_occurrences(tup, TYPING, dim, stoplist=stoplist(spark, sf_dir))
+    linked_n = tup.filter(F.col("arg1_fbid").isNotNull()).groupBy("rel").agg(F.count(F.lit(1)).alias("n_linked"))
+    kept = ent.groupBy("rel").agg(F.count(F.lit(1)).alias("n_kept"))
+    return linked_n.join(kept, "rel", "left").select("rel", "n_linked", F.coalesce("n_kept", F.lit(0)).alias("n_kept"))
+
+
+@register("pf5_relation_filter", TYPING_SQL + f"""
+SELECT rel, n_sample, weight,
+       (length(rel) >= {S.C.MIN_REL_LENGTH} AND length(rel) <= {S.C.MAX_REL_LENGTH} AND n_sample > 0
+        AND weight >= CAST(0.1 AS DOUBLE)) AS kept
+FROM stats2""")
+def pf5_relation_filter(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    st = T.relation_stats(T.relation_sample(T.entity_occurrences(tup, TYPING, dim), TYPING))
+    return st.select("rel", "n_sample", "weight",
+                     (rel_string_ok("rel") & (F.col("n_sample") > 0) & (F.col("weight") >= F.lit(TYPING.min_rel_weight))).alias("kept"))
+
+
+@register("pf7_clean_control", """
+SELECT doc_id, length(text) AS n_before, length(c) AS n_after, md5(c) AS h
+FROM (SELECT doc_id, text, regexp_replace(replace(text, chr(9), ' '), '\\p{C}', '', 'g') AS c FROM documents)""")
+def pf7_clean_control(spark, sf_dir):
+    d = FX.read(spark, sf_dir, "documents").select("doc_id", "text")
+    c = clean_control("text")
+    return d.select("doc_id", F.length("text").alias("n_before"), F.length(c).alias("n_after"), F.md5(c).alias("h"))
+
+
+@register("pf8_span_validity", S.with_(S.EXTRACTIONS) + """
+SELECT l_orderkey, l_linenumber, arg2s, valid, count(*) AS n FROM (
+  SELECT l_orderkey, l_linenumber, arg2_start + CAST(l_linenumber % 3 AS INTEGER) AS arg2s,
+         arg1_start >= 0 AND arg1_len > 0 AND arg1_start + arg1_len <= len(tokens)
+     AND rel_start >= 0 AND rel_len > 0 AND rel_start + rel_len <= len(tokens)
+     AND arg2_start + CAST(l_linenumber % 3 AS INTEGER) >= 0 AND arg2_len > 0
+     AND arg2_start + CAST(l_linenumber % 3 AS INTEGER) + arg2_len <= len(tokens) AS valid
+  FROM ex) GROUP BY ALL""")
+def pf8_span_validity(spark, sf_dir):
+    ex = FX.extractions(spark, sf_dir).withColumn("arg2_start", F.col("arg2_start") + (F.col("l_linenumber") % 3).cast("int"))
+    return ex.groupBy("l_orderkey", "l_linenumber", F.col("arg2_start").alias("arg2s"), span_valid().alias("valid")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+SAMPLE_FRACTION = 0.1
+
+
+def md5_threshold(frac: float) -> str:
+    return format(int(frac * 16**8), "08x")
+
+
+@register("pf9_sample_groups", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS) + f"""
+SELECT arg1, rel, arg2, n_instances FROM grp
+WHERE substr(md5(concat_ws('|', arg1, rel, arg2)), 1, 8) < '{md5_threshold(SAMPLE_FRACTION)}'""")
+def pf9_sample_groups(spark, sf_dir):
+    from factweave.operators.filters import bernoulli_sample
+    g = G.group_summary(grouped(spark, sf_dir)).select(*G.KEY, "n_instances")
+    return bernoulli_sample(g, SAMPLE_FRACTION, G.KEY)
+
+
+@register("pf12_surface_strings", S.with_(S.EXTRACTIONS) + f"""
+SELECT url, array_to_string(tokens, ' ') AS sentence,
+       {', '.join(f"array_to_string({S.sl('tokens', p + '_start', p + '_len')}, ' ') AS {p}_text" for p in ('arg1', 'rel', 'arg2'))}
+FROM ex""")
+def pf12_surface_strings(spark, sf_dir):
+    from factweave.functions import span_text
+    ex = FX.extractions(spark, sf_dir)
+    return ex.select("url", F.array_join("tokens", " ").alias("sentence"),
+                     *[span_text("tokens", f"{p}_start", f"{p}_len").alias(f"{p}_text") for p in ("arg1", "rel", "arg2")])
