@@ -413,3 +413,56 @@ def pf12_surface_strings(spark, sf_dir):
     ex = FX.extractions(spark, sf_dir)
     return ex.select("url", F.array_join("tokens", " ").alias("sentence"),
                      *[span_text("tokens", f"{p}_start", f"{p}_len").alias(f"{p}_text") for p in ("arg1", "rel", "arg2")])
+
+
+# ---------------------------------------------------------------------------
+# text -> triples (TX1-TX4) and E1 end to end on documents
+# ---------------------------------------------------------------------------
+
+from factweave.operators import text as TX  # noqa: E402
+from factweave.functions import span_text  # noqa: E402
+
+TEXT_SQL = S.with_(S.text_ctes())
+SPAN_COLS = ["arg1_start", "arg1_len", "rel_start", "rel_len", "arg2_start", "arg2_len"]
+
+
+def doc_extractions(spark, sf_dir):
+    return TX.document_extractions(FX.read(spark, sf_dir, "documents"))
+
+
+@register("tx1_annotate", S.with_(S.text_ctes(), S.annotate_cte()) + """
+SELECT doc_id, sentence, array_to_string(ptags, ' ') AS postags, array_to_string(chunks, ' ') AS chunks FROM ann""")
+def tx1_annotate(spark, sf_dir):
+    docs = FX.read(spark, sf_dir, "documents").filter(F.col("lang") == "en")
+    a = TX.annotate(TX.sentences(docs, url_col=None))
+    return a.select("doc_id", "sentence", F.array_join("postags", " ").alias("postags"),
+                    F.array_join("chunks", " ").alias("chunks"))
+
+
+@register("tx2_extract_triples", TEXT_SQL + f"""
+SELECT url, sentence, {', '.join(SPAN_COLS)},
+       {', '.join(f"array_to_string({S.sl('tokens', p + '_start', p + '_len')}, ' ') AS {p}_text" for p in ('arg1', 'rel', 'arg2'))}
+FROM tex_raw""")
+def tx2_extract_triples(spark, sf_dir):
+    ex = doc_extractions(spark, sf_dir)
+    return ex.select("url", "sentence", *SPAN_COLS,
+                     *[span_text("tokens", f"{p}_start", f"{p}_len").alias(f"{p}_text") for p in ("arg1", "rel", "arg2")])
+
+
+@register("tx3_confidence", TEXT_SQL + f"SELECT url, sentence, {', '.join(SPAN_COLS)}, confidence FROM tex")
+def tx3_confidence(spark, sf_dir):
+    return score(doc_extractions(spark, sf_dir)).select("url", "sentence", *SPAN_COLS, "confidence")
+
+
+@register("tx4_normalize_keys", TEXT_SQL + f"SELECT url, sentence, {', '.join(SPAN_COLS)}, arg1, rel, arg2 FROM tex")
+def tx4_normalize_keys(spark, sf_dir):
+    return FX.with_norms(doc_extractions(spark, sf_dir)).select("url", "sentence", *SPAN_COLS, "arg1", "rel", "arg2")
+
+
+@register("e1_sentences_to_groups", TEXT_SQL + """
+SELECT arg1, rel, arg2, count(*) AS n_instances, count(DISTINCT url) AS n_urls,
+       max(confidence) AS max_conf, min(confidence) AS min_conf
+FROM tinst GROUP BY arg1, rel, arg2""")
+def e1_sentences_to_groups(spark, sf_dir):
+    ex = score(FX.with_norms(doc_extractions(spark, sf_dir)))
+    return G.group_summary(G.group_instances(ex))

@@ -289,3 +289,72 @@ head AS (
                           THEN 1 ELSE 0 END) * 10 - batch) AS e
   FROM bparts GROUP BY arg1, rel, arg2
 )"""
+
+
+# ---------------------------------------------------------------------------
+# text (TX1, TX2, E1)
+# ---------------------------------------------------------------------------
+
+def text_ctes() -> str:
+    from factweave.operators.text import CLASS_WORDS, MIN_TOKENS, SENT_SPLIT, TOKEN_RE, TRIPLE_RE_PLAIN
+    cls = " ".join(f"WHEN t IN ({', '.join(q(w) for w in CLASS_WORDS[k])}) THEN '{k}'" for k in ("D", "P", "C", "V", "R"))
+    return f"""sents AS (
+  SELECT DISTINCT doc_id, url, sentence FROM (
+    SELECT doc_id, concat_ws('/', source, CAST(doc_id AS VARCHAR)) AS url,
+           unnest(regexp_split_to_array(text, {q(SENT_SPLIT)})) AS sentence
+    FROM documents WHERE lang = 'en')
+),
+toks AS (
+  SELECT * FROM (SELECT *, regexp_extract_all(lower(sentence), {q(TOKEN_RE)}, 0) AS tokens FROM sents)
+  WHERE len(tokens) >= {MIN_TOKENS}
+),
+tg AS (
+  SELECT *, {', '.join(f"regexp_extract_all(tags, {q(TRIPLE_RE_PLAIN)}, {i}) AS g{i}" for i in range(1, 5))}
+  FROM (SELECT *, array_to_string(list_transform(tokens, lambda t: CASE {cls} WHEN t LIKE '%ly' THEN 'R' ELSE 'N' END), '') AS tags
+        FROM toks)
+),
+mm AS (
+  SELECT *, length(g1[k]) AS l1, length(g2[k]) AS l2, length(g3[k]) AS l3, length(g4[k]) AS l4
+  FROM (SELECT doc_id, url, sentence, tokens, g1, g2, g3, g4, unnest(range(1, len(g2) + 1)) AS k FROM tg)
+),
+tex_raw AS (
+  SELECT doc_id, url, sentence, tokens, 'documents' AS corpus,
+         CAST(a1s AS INTEGER) AS arg1_start, CAST(l2 AS INTEGER) AS arg1_len,
+         CAST(a1s + l2 AS INTEGER) AS rel_start, CAST(l3 AS INTEGER) AS rel_len,
+         CAST(a1s + l2 + l3 AS INTEGER) AS arg2_start, CAST(l4 AS INTEGER) AS arg2_len
+  FROM (SELECT *, coalesce(sum(l1 + l2 + l3 + l4) OVER (PARTITION BY doc_id, sentence ORDER BY k
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + l1 AS a1s FROM mm)
+),
+tex AS (
+  SELECT *,
+    {norm_arg(sl('tokens', 'arg1_start', 'arg1_len'))} AS arg1,
+    {norm_rel(sl('tokens', 'rel_start', 'rel_len'))} AS rel,
+    {norm_arg(sl('tokens', 'arg2_start', 'arg2_len'))} AS arg2,
+    {conf_sql()} AS confidence
+  FROM tex_raw
+),
+tex_i AS (
+  SELECT *, md5(concat_ws('|', array_to_string(tokens, ' '), arg1_start, arg1_len, rel_start, rel_len,
+      arg2_start, arg2_len, url, corpus, CAST(confidence AS DECIMAL(9,6)))) AS inst_id
+  FROM tex
+),
+tinst AS (
+  SELECT DISTINCT arg1, rel, arg2, url, confidence, inst_id
+  FROM (SELECT *, row_number() OVER (PARTITION BY arg1, rel, arg2 ORDER BY inst_id) AS rn FROM tex_i)
+  WHERE rn <= {C.MAX_GROUP_SIZE}
+)"""
+
+
+def annotate_cte() -> str:
+    pt = " ".join(f"WHEN t = {q(w)} THEN {q(tag)}" for w, tag in C.LEXICON.items())
+    return f"""ann AS (
+  SELECT doc_id, sentence, tokens, ptags,
+         list_transform(ct, lambda c, i: CASE WHEN c IS NULL THEN 'O'
+              ELSE (CASE WHEN i = 1 OR ct[i - 1] IS DISTINCT FROM c THEN 'B-' ELSE 'I-' END) || c END) AS chunks
+  FROM (SELECT *, list_transform(ptags, lambda g: CASE WHEN g IN ('DT', 'NN', 'NNS', 'CD', 'PRP') THEN 'NP'
+                      WHEN starts_with(g, 'VB') OR g IN ('MD', 'RB') THEN 'VP'
+                      WHEN g IN ('IN', 'TO') THEN 'PP' END) AS ct
+        FROM (SELECT *, list_transform(tokens, lambda t: CASE {pt}
+                 WHEN regexp_matches(t, '^[0-9]+$') THEN 'CD' WHEN t LIKE '%ly' THEN 'RB' WHEN t LIKE '%ing' THEN 'VBG'
+                 WHEN t LIKE '%ed' THEN 'VBD' WHEN t LIKE '%s' THEN 'NNS' ELSE 'NN' END) AS ptags FROM toks))
+)"""
