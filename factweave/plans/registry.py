@@ -466,3 +466,80 @@ FROM tinst GROUP BY arg1, rel, arg2""")
 def e1_sentences_to_groups(spark, sf_dir):
     ex = score(FX.with_norms(doc_extractions(spark, sf_dir)))
     return G.group_summary(G.group_instances(ex))
+
+
+# ---------------------------------------------------------------------------
+# linking (TX6, TX7, JN5-JN8, AG12)
+# ---------------------------------------------------------------------------
+
+from factweave.operators import linking as L  # noqa: E402
+
+LINK_SQL = S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS, S.LINKED, S.LINK_TABLES, S.FIRST_INST, S.LINK_BEST)
+LINK_OUT = ["arg1_fbid", "arg1_name", "arg1_score", "arg2_fbid", "arg2_name", "arg2_score"]
+
+
+def linked_result(spark, sf_dir, min_freq: int = 0):
+    rows = scored_rows(spark, sf_dir)
+    inst = G.group_instances(rows)
+    parts = G.first_instance_parts(rows, G.KEY)
+    if min_freq:
+        keep = G.frequency_filter(G.group_summary(inst), min_freq=min_freq).select(*G.KEY)
+        inst, parts = inst.join(keep, G.KEY, "left_semi"), parts.join(keep, G.KEY, "left_semi")
+    anchors, ents = FX.link_tables(spark, sf_dir)
+    return L.link_groups(inst, parts, anchors, ents), parts, inst
+
+
+@register("jn6_link_groups", LINK_SQL + f"SELECT arg1, rel, arg2, {', '.join(LINK_OUT)} FROM linked")
+def jn6_link_groups(spark, sf_dir):
+    out, _, _ = linked_result(spark, sf_dir)
+    return out.select(*G.KEY, *LINK_OUT)
+
+
+@register("jn7_link_frequent_groups", LINK_SQL + f"""
+SELECT l.arg1, l.rel, l.arg2, {', '.join('l.' + c for c in LINK_OUT)} FROM linked l
+JOIN grp g ON l.arg1 = g.arg1 AND l.rel = g.rel AND l.arg2 = g.arg2 WHERE g.n_instances >= 2""")
+def jn7_link_frequent_groups(spark, sf_dir):
+    out, _, _ = linked_result(spark, sf_dir, min_freq=2)
+    return out.select(*G.KEY, *LINK_OUT)
+
+
+@register("jn5_link_arguments", LINK_SQL + """
+SELECT arg1, rel, arg2, role, struct_extract(b, 'fbid') AS fbid, struct_extract(b, 'score') AS score FROM best""")
+def jn5_link_arguments(spark, sf_dir):
+    out, _, _ = linked_result(spark, sf_dir)
+    r = [out.filter(F.col(f"{x}_fbid").isNotNull()).select(*G.KEY, F.lit(x).alias("role"), F.col(f"{x}_fbid").alias("fbid"),
+                                                            F.col(f"{x}_score").alias("score")) for x in ("arg1", "arg2")]
+    return r[0].unionByName(r[1])
+
+
+@register("tx6_head_phrases", LINK_SQL + "SELECT arg_text, head FROM heads")
+def tx6_head_phrases(spark, sf_dir):
+    rows = scored_rows(spark, sf_dir)
+    anchors, _ = FX.link_tables(spark, sf_dir)
+    rep = L.head_phrase_report(G.group_instances(rows), anchors)
+    return rep.select("arg_text", "head").distinct()
+
+
+@register("tx7_head_phrase_report", LINK_SQL + """
+SELECT r.arg1, r.rel, r.arg2, r.role, r.arg_text, h.head FROM roles r JOIN heads h ON r.arg_text = h.arg_text""")
+def tx7_head_phrase_report(spark, sf_dir):
+    rows = scored_rows(spark, sf_dir)
+    anchors, _ = FX.link_tables(spark, sf_dir)
+    return L.head_phrase_report(G.group_instances(rows), anchors).select(*G.KEY, "role", "arg_text", "head")
+
+
+@register("ag12_link_diff", LINK_SQL + """
+SELECT role,
+       count_if(b IS NOT NULL) AS links_before, count_if(a IS NOT NULL) AS links_after,
+       count_if(b IS NULL AND a IS NOT NULL) AS new_links, count_if(b IS NOT NULL AND a IS NULL) AS lost_links,
+       count_if(b IS NOT NULL AND a IS NOT NULL AND a <> b) AS changed_links,
+       count(DISTINCT b) AS fbids_before, count(DISTINCT a) AS fbids_after
+FROM (SELECT 'arg1' AS role, p.arg1_fbid AS b, l.arg1_fbid AS a FROM lg p FULL OUTER JOIN linked l
+        ON p.arg1 = l.arg1 AND p.rel = l.rel AND p.arg2 = l.arg2
+      UNION ALL
+      SELECT 'arg2', p.arg2_fbid, l.arg2_fbid FROM lg p FULL OUTER JOIN linked l
+        ON p.arg1 = l.arg1 AND p.rel = l.rel AND p.arg2 = l.arg2)
+GROUP BY role""")
+def ag12_link_diff(spark, sf_dir):
+    out, parts, _ = linked_result(spark, sf_dir)
+    return L.link_diff(parts, out)

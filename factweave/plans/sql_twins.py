@@ -358,3 +358,81 @@ def annotate_cte() -> str:
                  WHEN regexp_matches(t, '^[0-9]+$') THEN 'CD' WHEN t LIKE '%ly' THEN 'RB' WHEN t LIKE '%ing' THEN 'VBG'
                  WHEN t LIKE '%ed' THEN 'VBD' WHEN t LIKE '%s' THEN 'NNS' ELSE 'NN' END) AS ptags FROM toks))
 )"""
+
+
+# ---------------------------------------------------------------------------
+# linking (TX6, JN5-JN7, AG12, TX7)
+# ---------------------------------------------------------------------------
+
+LINK_TABLES = f"""pcnt AS (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey),
+scnt AS (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY l_suppkey),
+anchors AS (
+  SELECT lower(p_name) AS anchor, 'm.' || CAST(p_partkey AS VARCHAR) AS fbid, coalesce(n, 0) AS link_count
+  FROM part LEFT JOIN pcnt ON p_partkey = l_partkey
+  UNION ALL
+  SELECT lower(s_name), 's.' || CAST(s_suppkey AS VARCHAR), coalesce(n, 0)
+  FROM supplier LEFT JOIN scnt ON s_suppkey = l_suppkey
+),
+ents AS (
+  SELECT 'm.' || CAST(p_partkey AS VARCHAR) AS fbid, p_name || ' ' || p_brand AS name, coalesce(n, 0) AS inlinks,
+         {PART_TYPES} AS types, [lower(p_brand)] AS context
+  FROM part LEFT JOIN pcnt ON p_partkey = l_partkey
+  UNION ALL
+  SELECT 's.' || CAST(s_suppkey AS VARCHAR), s_name, coalesce(n, 0), {SUPPLIER_TYPES}, [lower(n_name)]
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN scnt ON s_suppkey = l_suppkey
+),
+amax AS (SELECT max(len(string_split(anchor, ' '))) AS L FROM anchors)"""
+
+FIRST_INST = """gfirst AS (
+  SELECT arg1, rel, arg2,
+         arg_min({'tokens': tokens, 'arg1_start': arg1_start, 'arg1_len': arg1_len, 'rel_start': rel_start,
+                  'rel_len': rel_len, 'arg2_start': arg2_start, 'arg2_len': arg2_len}, inst_id) AS f
+  FROM inst GROUP BY arg1, rel, arg2
+),
+gsrc AS (
+  SELECT arg1, rel, arg2, list_distinct(flatten(list(list_transform(tokens, lambda w: lower(w))))) AS src_tokens
+  FROM inst GROUP BY arg1, rel, arg2
+),
+roles AS (
+  SELECT g.arg1, g.rel, g.arg2, r.role,
+         array_to_string(CASE WHEN r.role = 'arg1' THEN list_slice(g.f.tokens, g.f.arg1_start + 1, g.f.arg1_start + g.f.arg1_len)
+                               ELSE list_slice(g.f.tokens, g.f.arg2_start + 1, g.f.arg2_start + g.f.arg2_len) END, ' ') AS arg_text
+  FROM gfirst g CROSS JOIN (VALUES ('arg1'), ('arg2')) r(role)
+),
+targs AS (SELECT DISTINCT arg_text, string_split(lower(arg_text), ' ') AS t FROM roles),
+subs AS (
+  SELECT arg_text, ln, i, array_to_string(list_slice(t, i, i + ln - 1), ' ') AS phrase
+  FROM (SELECT arg_text, t, ln, unnest(range(1, len(t) - ln + 2)) AS i
+        FROM (SELECT arg_text, t, unnest(range(1, least(len(t), (SELECT L FROM amax)) + 1)) AS ln FROM targs))
+),
+heads AS (
+  SELECT a.arg_text, coalesce(b.head, lower(a.arg_text)) AS head
+  FROM (SELECT DISTINCT arg_text FROM targs) a
+  LEFT JOIN (SELECT arg_text, arg_max(phrase, {'ln': ln, 'ni': -i}) AS head
+             FROM subs WHERE phrase IN (SELECT anchor FROM anchors) GROUP BY arg_text) b ON a.arg_text = b.arg_text
+)"""
+
+LINK_BEST = """q AS (
+  SELECT r.arg1, r.rel, r.arg2, r.role, h.head, s.src_tokens
+  FROM roles r JOIN heads h ON r.arg_text = h.arg_text
+  JOIN gsrc s ON r.arg1 = s.arg1 AND r.rel = s.rel AND r.arg2 = s.arg2
+  WHERE length(h.head) >= 3
+),
+best AS (
+  SELECT arg1, rel, arg2, role,
+         arg_min({'fbid': fbid, 'name': name, 'inlinks': inlinks, 'types': types, 'score': score},
+                 {'ns': -score, 'fbid': fbid}) AS b
+  FROM (SELECT q.arg1, q.rel, q.arg2, q.role, e.fbid, e.name, e.inlinks, e.types,
+               a.link_count * (1 + len(list_intersect(e.context, q.src_tokens))) AS score
+        FROM q JOIN anchors a ON q.head = a.anchor JOIN ents e ON a.fbid = e.fbid)
+  GROUP BY arg1, rel, arg2, role
+),
+linked AS (
+  SELECT g.arg1, g.rel, g.arg2,
+         struct_extract(b1.b, 'fbid') AS arg1_fbid, struct_extract(b1.b, 'score') AS arg1_score,
+         struct_extract(b2.b, 'fbid') AS arg2_fbid, struct_extract(b2.b, 'score') AS arg2_score,
+         struct_extract(b1.b, 'name') AS arg1_name, struct_extract(b2.b, 'name') AS arg2_name
+  FROM gfirst g
+  LEFT JOIN best b1 ON g.arg1 = b1.arg1 AND g.rel = b1.rel AND g.arg2 = b1.arg2 AND b1.role = 'arg1'
+  LEFT JOIN best b2 ON g.arg1 = b2.arg1 AND g.rel = b2.rel AND g.arg2 = b2.arg2 AND b2.role = 'arg2'
+)"""

@@ -116,3 +116,29 @@ def type_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(F.col("type") == "/business/supplier", F.lit(300))
             .otherwise(F.lit(400) + F.regexp_extract(num, "[0-9]+", 0).cast("int")))
     return t.select(enum.alias("enum"), "type", "instances")
+
+
+def link_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Linking tables for the fixture: (anchors, entities).
+
+    anchors(anchor, fbid, link_count): lower-case part names -> part entities and supplier
+    names -> supplier entities; link_count = lineitems of the entity. entities(fbid, name,
+    inlinks, types, context): context = the part's brand / the supplier's nation, which the
+    source sentences mention, so context decides between parts sharing a name.
+    """
+    li = read(spark, sf_dir, "lineitem")
+    pc = li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    sc = li.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    p = read(spark, sf_dir, "part").join(pc, F.col("p_partkey") == F.col("l_partkey"), "left")
+    s = read(spark, sf_dir, "supplier").join(F.broadcast(read(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey")) \
+        .join(sc, F.col("s_suppkey") == F.col("l_suppkey"), "left")
+    pf = F.concat(F.lit("m."), F.col("p_partkey").cast("string"))
+    sf = F.concat(F.lit("s."), F.col("s_suppkey").cast("string"))
+    anchors = p.select(F.lower("p_name").alias("anchor"), pf.alias("fbid"), F.coalesce("n", F.lit(0)).alias("link_count")) \
+        .unionByName(s.select(F.lower("s_name").alias("anchor"), sf.alias("fbid"), F.coalesce("n", F.lit(0)).alias("link_count")))
+    ents = p.select(pf.alias("fbid"), F.concat_ws(" ", "p_name", "p_brand").alias("name"),
+                    F.coalesce("n", F.lit(0)).alias("inlinks"), part_types().alias("types"),
+                    F.array(F.lower("p_brand")).alias("context")) \
+        .unionByName(s.select(sf.alias("fbid"), F.col("s_name").alias("name"), F.coalesce("n", F.lit(0)).alias("inlinks"),
+                              supplier_types().alias("types"), F.array(F.lower("n_name")).alias("context")))
+    return anchors, ents
