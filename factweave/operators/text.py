@@ -83,13 +83,22 @@ def tokenize(sents: DataFrame) -> DataFrame:
     return sents.withColumn("tokens", toks).filter(F.size("tokens") >= MIN_TOKENS)
 
 
+def with_chunks(df: DataFrame, postags: str = "postags", out: str = "chunks") -> DataFrame:
+    """BIO chunk tags from POS tags: B- when the chunk type differs from the previous token's.
+
+    The look-back zips the chunk types with a copy shifted by one (``zip_with`` evaluates
+    both arrays once), so the cost stays linear in sentence length.
+    """
+    ct = F.transform(postags, chunk_type)
+    prev = F.concat(F.array(F.lit(None).cast("string")), F.slice(ct, 1, F.greatest(F.size(ct) - 1, F.lit(0))))
+    tags = F.zip_with(ct, prev, lambda c, p: F.when(c.isNull(), F.lit("O")).otherwise(F.concat(
+        F.when(p.isNull() | (p != c), F.lit("B-")).otherwise(F.lit("I-")), c)))
+    return df.withColumn(out, tags)
+
+
 def annotate(sents: DataFrame) -> DataFrame:
     """TX1: tokens, POS tags and BIO chunk tags (arrays)."""
-    t = tokenize(sents).withColumn("postags", F.transform("tokens", penn_tag))
-    ct = F.transform("postags", chunk_type)
-    chunks = F.transform(ct, lambda c, i: F.when(c.isNull(), F.lit("O")).otherwise(F.concat(
-        F.when((i == 0) | ~F.coalesce(F.element_at(ct, i) == c, F.lit(False)), F.lit("B-")).otherwise(F.lit("I-")), c)))
-    return t.withColumn("chunks", chunks)
+    return with_chunks(tokenize(sents).withColumn("postags", F.transform("tokens", penn_tag)))
 
 
 def extract(sents: DataFrame, url_col: str = "url") -> DataFrame:

@@ -436,3 +436,42 @@ linked AS (
   LEFT JOIN best b1 ON g.arg1 = b1.arg1 AND g.rel = b1.rel AND g.arg2 = b1.arg2 AND b1.role = 'arg1'
   LEFT JOIN best b2 ON g.arg1 = b2.arg1 AND g.rel = b2.rel AND g.arg2 = b2.arg2 AND b2.role = 'arg2'
 )"""
+
+
+# ---------------------------------------------------------------------------
+# record formats (SRC3, SRC4, SRC6-SRC8)
+# ---------------------------------------------------------------------------
+
+def record_ctes() -> str:
+    from factweave.sources.records import RECORD_FIELDS
+    span = lambda lst, p: f"array_to_string({sl(lst, 't.' + p + '_start', 't.' + p + '_len')}, ' ')"
+    fields = ", ".join(f"CAST({c} AS VARCHAR)" for c in RECORD_FIELDS)
+    return f"""rec AS (
+  SELECT t.url AS docname, 'relphrase' AS extractorType, t.arg1_start AS sentenceid, t.rel_start AS eid, t.url,
+         md5(replace(t.sentence, chr(9), ' ')) AS hashes, t.confidence,
+         {span('t.tokens', 'arg1')} AS arg1, {span('t.tokens', 'rel')} AS rel, {span('t.tokens', 'arg2')} AS arg2,
+         t.arg1 AS norm1Arg1, t.rel AS norm1Rel, t.arg2 AS norm1Arg2,
+         {span('t.tokens', 'arg1')} AS norm2Arg1, {span('t.tokens', 'rel')} AS norm2Rel, {span('t.tokens', 'arg2')} AS norm2Arg2,
+         {span('a.ptags', 'arg1')} AS norm1Arg1PosTags, {span('a.ptags', 'rel')} AS norm1RelPosTags,
+         {span('a.ptags', 'arg2')} AS norm1Arg2PosTags,
+         {span('a.ptags', 'arg1')} AS norm2Arg1PosTags, {span('a.ptags', 'rel')} AS norm2RelPosTags,
+         {span('a.ptags', 'arg2')} AS norm2Arg2PosTags,
+         'ARG1' AS arg1Tag, 'REL' AS relTag, 'ARG2' AS arg2Tag,
+         concat_ws(chr(9), replace(t.sentence, chr(9), ' '), array_to_string(t.tokens, ' '),
+                   array_to_string(a.ptags, ' '), array_to_string(a.chunks, ' ')) AS dataString
+  FROM tex t JOIN ann a ON t.doc_id = a.doc_id AND t.sentence = a.sentence
+),
+rec_lines AS (
+  SELECT docname, CASE WHEN eid % 7 = 0 THEN array_to_string(list_slice(string_split(v, chr(9)), 1, 20), chr(9)) ELSE v END AS value
+  FROM (SELECT docname, eid, concat_ws(chr(9), {fields}) AS v FROM rec)
+),
+rec_parsed AS (
+  SELECT * FROM (
+    SELECT {', '.join(
+        (f"TRY_CAST(p[{i + 1}] AS INTEGER) AS {c}" if c in ('sentenceid', 'eid') else
+         f"TRY_CAST(p[{i + 1}] AS DOUBLE) AS {c}" if c == 'confidence' else f"p[{i + 1}] AS {c}")
+        for i, c in enumerate(RECORD_FIELDS[:-1]))},
+           array_to_string(list_slice(p, 26, len(p)), chr(9)) AS dataString
+    FROM (SELECT string_split(value, chr(9)) AS p FROM rec_lines) WHERE len(p) >= 26)
+  WHERE sentenceid IS NOT NULL AND eid IS NOT NULL AND confidence IS NOT NULL
+)"""
