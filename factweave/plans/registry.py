@@ -637,3 +637,42 @@ def src4_layered_sentences(spark, sf_dir):
                      .otherwise(F.col("chunks"))).withColumn("url", F.col("doc_id").cast("string"))
     r = RC.read_layered(RC.write_layered(a))
     return r.select("url", F.size("tokens").cast("long").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
+
+
+# ---------------------------------------------------------------------------
+# lookups, compositions, bounded reads, counters
+# ---------------------------------------------------------------------------
+
+@register("jn9_find_groups", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS, S.BATCHED) + """
+SELECT DISTINCT arg1, rel, arg2 FROM exb e WHERE batch = 0
+  AND EXISTS (SELECT 1 FROM exb i WHERE i.batch = 1 AND i.arg1 = e.arg1 AND i.rel = e.rel AND i.arg2 = e.arg2)""")
+def jn9_find_groups(spark, sf_dir):
+    """Identity query: existing (batch 0) groups that an incoming (batch 1) group would hit."""
+    inst, parts = batched(spark, sf_dir)
+    existing = parts.filter("batch = 0").join(inst.select("gid", *G.KEY).distinct(), "gid").select(*G.KEY).distinct()
+    incoming = parts.filter("batch = 1").join(inst.select("gid", *G.KEY).distinct(), "gid").select(*G.KEY).distinct()
+    return existing.join(incoming, G.KEY, "left_semi")
+
+
+@register("jn8_group_and_link", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS) + "SELECT * FROM grp")
+def jn8_group_and_link(spark, sf_dir):
+    """Group + frequency filter 0..max; linking is skipped by default, as in the original job."""
+    from factweave.plans.pipelines import group_and_link
+    return group_and_link(scored_extractions(spark, sf_dir).persist(), link=False)
+
+
+@register("tk4_bounded_read")
+def tk4_bounded_read(spark, sf_dir):
+    """First n rows per input file (n = 100 documents by doc_id); rows-only check."""
+    from factweave.operators.caps import top_n_per_key
+    d = FX.read(spark, sf_dir, "documents").select("doc_id", "lang", F.input_file_name().alias("file"))
+    return top_n_per_key(d, ["file"], [F.col("doc_id")], 100).drop("file")
+
+
+@register("ag13_run_counters")
+def ag13_run_counters(spark, sf_dir):
+    """Counters observed while the grouped rows flow (rows, linked, invalid spans); rows-only."""
+    from factweave.streaming.ingest import run_counters
+    rows, obs = run_counters(scored_extractions(spark, sf_dir), "extractions")
+    return G.group_summary(G.group_instances(rows)).agg(F.count(F.lit(1)).alias("groups"),
+                                                        F.sum("n_instances").alias("instances"))
