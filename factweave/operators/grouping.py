@@ -8,6 +8,7 @@ never lands whole in one task.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -169,9 +170,12 @@ def regroup(instances: DataFrame, parts: DataFrame, max_group_size: int = C.MAX_
     inst = score(clean_instances(instances), only_unscored=True).withColumn("inst_id", instance_hash())
     first = inst.groupBy("gid").agg(F.min_by(F.struct("tokens", *SPANS), "inst_id").alias("f")).select("gid", "f.*")
     keys = with_norms(first).select("gid", *KEY)
-    inst = inst.drop(*[k for k in KEY if k in inst.columns]).join(keys, "gid", "inner")
-    inst = cap_per_key(inst.select(*KEY, *INSTANCE, "inst_id"), KEY, "inst_id", max_group_size) \
-        .dropDuplicates([*KEY, "inst_id"])
+    keys = keys.persist(StorageLevel.MEMORY_AND_DISK)  # joined twice (instances, parts)
+    # re-keyed instances feed the cap (histogram, rows, cut-off bucket): computed once
+    inst = inst.drop(*[k for k in KEY if k in inst.columns]).join(keys, "gid", "inner") \
+        .select(*KEY, *INSTANCE, "inst_id").persist(StorageLevel.MEMORY_AND_DISK)
+    inst = cap_per_key(inst, KEY, "inst_id", max_group_size).dropDuplicates([*KEY, "inst_id"]) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     p = parts.drop(*[k for k in KEY if k in parts.columns]).join(keys, "gid", "inner")
     linked = (F.col("arg1_fbid").isNotNull() | F.col("arg2_fbid").isNotNull()).cast("int")
     cols = [c for c in p.columns if c not in (*KEY, "batch", "gid")]
