@@ -79,10 +79,11 @@ def ag2_group_cap(spark, sf_dir):
 from factweave.operators import typing as T  # noqa: E402
 
 TYPING = T.TyperSettings(role="arg1", min_share_score=3)
-TYPING_SQL = S.with_(S.EXTRACTIONS, S.TUPLES, *S.typing_ctes("arg1", k=TYPING.max_similar_entities,
-                                                            max_types=TYPING.max_predicted_types,
-                                                            min_share=TYPING.min_share_score,
-                                                            min_w=TYPING.min_rel_weight))
+TYPING_CTES = [S.EXTRACTIONS, S.TUPLES, *S.typing_ctes("arg1", k=TYPING.max_similar_entities,
+                                                         max_types=TYPING.max_predicted_types,
+                                                         min_share=TYPING.min_share_score,
+                                                         min_w=TYPING.min_rel_weight)]
+TYPING_SQL = S.with_(*TYPING_CTES)
 
 
 def typing_inputs(spark, sf_dir):
@@ -676,3 +677,102 @@ def ag13_run_counters(spark, sf_dir):
     rows, obs = run_counters(scored_extractions(spark, sf_dir), "extractions")
     return G.group_summary(G.group_instances(rows)).agg(F.count(F.lit(1)).alias("groups"),
                                                         F.sum("n_instances").alias("instances"))
+
+
+# ---------------------------------------------------------------------------
+# typer text formats (SRC5, SRC9, SRC11-SRC14)
+# ---------------------------------------------------------------------------
+
+from factweave.sources import codecs as CD  # noqa: E402
+
+RELINFO_LINES = """ent_enum AS (
+  SELECT e.rel, e.fbid, e.tkey, list_sort(list(d.enum)) AS enums
+  FROM (SELECT rel, fbid, tkey, unnest(types) AS type FROM rel_ent WHERE rel IN (SELECT rel FROM relinfo)) e
+  JOIN tdim d ON e.type = d.type GROUP BY e.rel, e.fbid, e.tkey
+),
+rl AS (
+  SELECT r.rel, array_to_string(list_transform(list_concat([r.rel, printf('%.2f', r.weight_2dp)], coalesce(x.es, []::VARCHAR[])),
+                                               lambda p: replace(p, ':', '_COLON_')), ':') AS line
+  FROM relinfo r LEFT JOIN (
+    SELECT rel, list(concat_ws(',', fbid, array_to_string(list_transform(enums, lambda v: CAST(v AS VARCHAR)), ','))
+                     ORDER BY fbid, tkey) AS es
+    FROM ent_enum GROUP BY rel) x ON r.rel = x.rel
+)"""
+
+PRED_LINES = """plines AS (
+  SELECT t.arg, concat_ws(chr(9), replace(t.arg, chr(9), '_TAB_'), replace(t.types_s, chr(9), '_TAB_'), '',
+                          CAST(CAST(tt.total_weight AS DECIMAL(38,2)) AS VARCHAR), replace(f.fbids, chr(9), '_TAB_')) AS value,
+         t.types_s, CAST(CAST(CAST(tt.total_weight AS DECIMAL(38,2)) AS VARCHAR) AS DOUBLE) AS total_weight, f.fbids
+  FROM (SELECT arg, string_agg(replace(type, '@', '_ATSYM_') || '@' || CAST(share AS VARCHAR), ', ' ORDER BY share DESC, enum) AS types_s
+        FROM ttypes GROUP BY arg) t
+  JOIN totals tt ON t.arg = tt.arg
+  JOIN (SELECT arg, string_agg(fbid, ',' ORDER BY rank) AS fbids FROM top WHERE rank <= 5 GROUP BY arg) f ON t.arg = f.arg
+)"""
+
+
+def typing_phase_one(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    return T.phase_one(tup, TYPING, dim), dim
+
+
+@register("src12_relinfo_codec", S.with_(*TYPING_CTES, RELINFO_LINES) + "SELECT rel, line FROM rl")
+def src12_relinfo_codec(spark, sf_dir):
+    p1, dim = typing_phase_one(spark, sf_dir)
+    return CD.encode_rel_info(p1.rel_info, dim)
+
+
+@register("src12_relinfo_decode", S.with_(*TYPING_CTES, RELINFO_LINES) + """
+SELECT r.rel, r.weight_2dp AS weight, count(*) AS n_entities
+FROM relinfo r JOIN (SELECT DISTINCT rel, fbid FROM rel_ent) e ON r.rel = e.rel GROUP BY r.rel, r.weight_2dp""")
+def src12_relinfo_decode(spark, sf_dir):
+    p1, dim = typing_phase_one(spark, sf_dir)
+    d = CD.decode_rel_info(CD.encode_rel_info(p1.rel_info, dim))
+    return d.select("rel", "weight", F.size("entities").cast("long").alias("n_entities"))
+
+
+@register("src11_phase_one_lines", S.with_(*TYPING_CTES, RELINFO_LINES) + """
+SELECT replace(a.arg, chr(9), '_TAB_') || chr(9) || replace(l.line, chr(9), '_TAB_') AS value
+FROM ar a JOIN rl l ON a.rel = l.rel""")
+def src11_phase_one_lines(spark, sf_dir):
+    p1, dim = typing_phase_one(spark, sf_dir)
+    return CD.phase_one_lines(p1.arg_rel, CD.encode_rel_info(p1.rel_info, dim))
+
+
+@register("src13_prediction_text", S.with_(*TYPING_CTES, PRED_LINES) + "SELECT arg, value FROM plines")
+def src13_prediction_text(spark, sf_dir):
+    tup, dim = typing_inputs(spark, sf_dir)
+    return CD.encode_prediction(T.predict_types(tup, TYPING, dim))
+
+
+@register("src14_prediction_parse", S.with_(*TYPING_CTES, PRED_LINES) + """
+SELECT arg, types_s AS types, total_weight, fbids AS top_fbids FROM plines
+WHERE substr(md5(arg), 1, 1) NOT IN ('0', '1')""")
+def src14_prediction_parse(spark, sf_dir):
+    """Lines of args whose md5 starts with '0' carry only an unknown type, with '1' lose
+    their last column: both kinds are dropped by the parser."""
+    tup, dim = typing_inputs(spark, sf_dir)
+    lines = CD.encode_prediction(T.predict_types(tup, TYPING, dim))
+    parts = F.split("value", "\t", -1)
+    h = F.substring(F.md5("arg"), 1, 1)
+    bad_type = F.array_join(F.concat(F.slice(parts, 1, 1), F.array(F.lit("/misc/unknown@3")), F.slice(parts, 3, 3)), "\t")
+    short = F.array_join(F.slice(parts, 1, 4), "\t")
+    lines = lines.select(F.when(h == "0", bad_type).when(h == "1", short).otherwise(F.col("value")).alias("value"))
+    d = CD.decode_prediction(lines, dim)
+    return d.select("arg", F.array_join(F.transform("types", lambda t: F.concat(t["type"], F.lit("@"), t["share"].cast("string"))),
+                                        ", ").alias("types"),
+                    "total_weight", F.array_join("top_fbids", ",").alias("top_fbids"))
+
+
+@register("src9_type_dictionary", S.with_(S.TYPE_DIM) + "SELECT enum, type, instances FROM tdim")
+def src9_type_dictionary(spark, sf_dir):
+    dim = FX.type_dim(spark, sf_dir)
+    bad = spark.range(1).select(F.lit("x\t/broken").alias("value"))  # too few fields: dropped
+    return CD.read_type_dim(CD.write_type_dim(dim).unionByName(bad))
+
+
+@register("src5_group_records", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS) + "SELECT arg1, rel, arg2, n_instances FROM grp")
+def src5_group_records(spark, sf_dir):
+    nested = G.nest_groups(grouped(spark, sf_dir))
+    back = CD.groups_from_json(CD.groups_to_json(nested), nested.schema)
+    return back.select(F.col("arg1.norm").alias("arg1"), F.col("rel.norm").alias("rel"), F.col("arg2.norm").alias("arg2"),
+                       F.size("instances").cast("long").alias("n_instances"))

@@ -32,7 +32,7 @@ def tab_split(col: str = "value") -> F.Column:
 def read_raw_sentences(lines: DataFrame, col: str = "value") -> DataFrame:
     """SRC3: ``sentence ⇥ url [⇥ ignored...]``; fewer than two fields -> dropped."""
     p = lines.select(tab_split(col).alias("p"))
-    return p.filter(F.size("p") >= 2).select(F.col("p")[0].alias("sentence"), F.col("p")[1].alias("url"))
+    return p.filter(F.size("p") >= 2).select(F.try_element_at("p", F.lit(1)).alias("sentence"), F.try_element_at("p", F.lit(2)).alias("url"))
 
 
 def write_layered(df: DataFrame) -> DataFrame:
@@ -46,8 +46,8 @@ def read_layered(lines: DataFrame, col: str = "value") -> DataFrame:
     layers must have equal lengths, else the line yields nothing."""
     p = lines.select(tab_split(col).alias("p")).filter(F.size("p") >= 4)
     ws = r"\s"
-    x = p.select(F.split(F.col("p")[0], ws).alias("tokens"), F.split(F.col("p")[1], ws).alias("postags"),
-                 F.split(F.col("p")[2], ws).alias("chunks"), F.col("p")[3].alias("url"))
+    x = p.select(F.split(F.try_element_at("p", F.lit(1)), ws).alias("tokens"), F.split(F.try_element_at("p", F.lit(2)), ws).alias("postags"),
+                 F.split(F.try_element_at("p", F.lit(3)), ws).alias("chunks"), F.try_element_at("p", F.lit(4)).alias("url"))
     return x.filter((F.size("tokens") == F.size("postags")) & (F.size("postags") == F.size("chunks")))
 
 
@@ -62,7 +62,7 @@ def read_records(lines: DataFrame, col: str = "value") -> DataFrame:
     p = lines.select(tab_split(col).alias("p")).filter(F.size("p") >= len(RECORD_FIELDS))
     cols = []
     for i, name in enumerate(RECORD_FIELDS[:-1]):
-        c = F.col("p")[i]
+        c = F.try_element_at("p", F.lit(i + 1))
         if name in INT_FIELDS:
             c = c.try_cast("int")
         elif name in DOUBLE_FIELDS:
