@@ -776,3 +776,42 @@ def src5_group_records(spark, sf_dir):
     back = CD.groups_from_json(CD.groups_to_json(nested), nested.schema)
     return back.select(F.col("arg1.norm").alias("arg1"), F.col("rel.norm").alias("rel"), F.col("arg2.norm").alias("arg2"),
                        F.size("instances").cast("long").alias("n_instances"))
+
+
+# ---------------------------------------------------------------------------
+# older extraction layout (SRC15) and bracket chunk text (SRC16)
+# ---------------------------------------------------------------------------
+
+from factweave.sources import old_layout as OL  # noqa: E402
+
+
+def old_layout_lines(spark, sf_dir):
+    """Text extractions written in the old layout: domain, bracketed sentence, arg1, rel,
+    arg2 ranges as [start, end], url path. Rows with (arg1_start + rel_len) % 11 = 0 get a
+    three-number arg2 range and rows with % 13 = 0 an arg2 range past the sentence end:
+    both must be dropped."""
+    docs = FX.read(spark, sf_dir, "documents")
+    ex = TX.with_chunks(TX.document_extractions(docs).withColumn("postags", F.transform("tokens", TX.penn_tag)))
+    rng = lambda s, ln: F.concat(F.lit("["), s.cast("string"), F.lit(", "), (s + ln).cast("string"), F.lit("]"))
+    m = (F.col("arg1_start") + F.col("rel_len"))
+    a2 = F.when(m % 11 == 0, F.concat(F.lit("[1, 2, "), F.col("arg2_start").cast("string"), F.lit("]"))) \
+        .when(m % 13 == 0, rng(F.size("tokens"), F.col("arg2_len"))) \
+        .otherwise(rng(F.col("arg2_start"), F.col("arg2_len")))
+    dom = F.concat(F.lit("http://"), F.substring_index("url", "/", 1))
+    path = F.concat(F.lit("/"), F.substring_index("url", "/", -1))
+    return ex.select(F.concat_ws("\t", dom, OL.to_bracketed(), rng(F.col("arg1_start"), F.col("arg1_len")),
+                                 rng(F.col("rel_start"), F.col("rel_len")), a2, path).alias("value"))
+
+
+@register("src15_old_layout", S.with_(S.text_ctes(), S.annotate_cte()) + f"""
+SELECT 'http://' || split_part(t.url, '/', 1) || '/' || split_part(t.url, '/', 2) AS url,
+       {', '.join('t.' + c for c in SPAN_COLS)},
+       array_to_string(t.tokens, ' ') AS tokens, array_to_string(a.ptags, ' ') AS postags,
+       array_to_string(a.chunks, ' ') AS chunks
+FROM tex_raw t JOIN ann a ON t.doc_id = a.doc_id AND t.sentence = a.sentence
+WHERE (t.arg1_start + t.rel_len) % 11 <> 0 AND (t.arg1_start + t.rel_len) % 13 <> 0""")
+def src15_old_layout(spark, sf_dir):
+    out = OL.convert_old_layout(old_layout_lines(spark, sf_dir), arg1_col=2, rel_col=3, arg2_col=4, sent_col=1,
+                                url_dom_col=0, url_path_col=5)
+    return out.select("url", *SPAN_COLS, F.array_join("tokens", " ").alias("tokens"),
+                      F.array_join("postags", " ").alias("postags"), F.array_join("chunks", " ").alias("chunks"))
