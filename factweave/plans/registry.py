@@ -815,3 +815,24 @@ def src15_old_layout(spark, sf_dir):
                                 url_dom_col=0, url_path_col=5)
     return out.select("url", *SPAN_COLS, F.array_join("tokens", " ").alias("tokens"),
                       F.array_join("postags", " ").alias("postags"), F.array_join("chunks", " ").alias("chunks"))
+
+
+@register("inc3_singleton_groups", S.with_(S.EXTRACTIONS) + """
+SELECT arg1, rel, arg2, inst_id, confidence, CAST(1 AS BIGINT) AS n_instances FROM ex_i""")
+def inc3_singleton_groups(spark, sf_dir):
+    from factweave.streaming.upsert import singleton_groups
+    inst, parts = singleton_groups(scored_extractions(spark, sf_dir).select(*G.KEY, *G.INSTANCE), batch=1)
+    return inst.select(*G.KEY, "inst_id", "confidence", F.lit(1).cast("long").alias("n_instances"))
+
+
+@register("pf1_inlink_ratio_arg2", LINKED_SQL + """
+SELECT CASE WHEN inl = 0 THEN CAST('inf' AS DOUBLE)
+            ELSE CAST(CAST(floor((20000 * n + inl) / (2 * inl)) AS BIGINT) AS DOUBLE) / CAST(10000.0 AS DOUBLE) END AS ratio,
+       name, fbid, n AS n_groups, inl AS inlinks
+FROM (SELECT arg2_fbid AS fbid, count(*) AS n,
+             arg_min(arg2_name, arg1 || chr(9) || rel || chr(9) || arg2) AS name,
+             CAST(arg_min(arg2_inlinks, arg1 || chr(9) || rel || chr(9) || arg2) AS BIGINT) AS inl
+      FROM lg WHERE arg2_fbid IS NOT NULL GROUP BY arg2_fbid)""")
+def pf1_inlink_ratio_arg2(spark, sf_dir):
+    """Role selection: the inlink job on the arg2 role (any value but 'arg1' selects arg2)."""
+    return G.inlink_ratio(linked(spark, sf_dir), "anything-else")
