@@ -57,3 +57,26 @@ def test_relink_rule(spark):
 def test_frequency_filter_inclusive(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "n_instances long")
     assert df.transform(lambda d: G.frequency_filter(d, 2, 3)).count() == 2
+
+
+def test_weights_between_zero_and_one(spark):
+    from tests.conftest import SF_SMALL
+    from factweave.plans import registry as R
+    tup, dim = R.typing_inputs(spark, SF_SMALL)
+    st = T.relation_stats(T.relation_sample(T.entity_occurrences(tup, R.TYPING, dim), R.TYPING))
+    r = st.agg(F.min("weight"), F.max("weight"), F.max("n_sample")).first()
+    assert 0.0 <= r[0] <= r[1] <= 1.0 and r[2] <= R.TYPING.max_entities_write_per_rel
+
+
+def test_regroup_is_idempotent(spark):
+    from tests.conftest import SF_SMALL
+    from factweave.plans import registry as R
+    inst, parts = R.batched(spark, SF_SMALL)
+    m1, h1 = G.regroup(inst, parts)
+    again_inst = m1.withColumn("gid", F.concat_ws("|", *G.KEY)).withColumn("batch", F.lit(0))
+    again_parts = h1.drop("first_batch", "last_batch").withColumn("gid", F.concat_ws("|", *G.KEY)).withColumn("batch", F.lit(0))
+    m2, h2 = G.regroup(again_inst, again_parts)
+    key = lambda df: sorted(map(tuple, df.select(*G.KEY, "inst_id").collect()))
+    assert key(m1) == key(m2)
+    hk = lambda df: sorted(map(tuple, df.select(*G.KEY, "arg1_fbid", "arg2_fbid").collect()))
+    assert hk(h1) == hk(h2)
