@@ -141,7 +141,8 @@ def entity_scores(arg_rel: DataFrame, rel_info: DataFrame) -> DataFrame:
     """AG9: score(arg, entity) = sum over shared relations of 10^(4·weight_2dp)."""
     ents = rel_info.select("rel", F.explode("entities").alias("e")).select("rel", "e.fbid", "e.types", "e.tkey")
     x = arg_rel.select("arg", "rel", exp_weight("weight_2dp").alias("term")).join(ents, "rel", "inner")
-    return x.groupBy("arg", "fbid", "tkey").agg(F.first("types").alias("types"), F.sum("term").alias("score"))
+    # types is determined by tkey: grouping by it keeps the aggregation hash-based (no array buffer)
+    return x.groupBy("arg", "fbid", "tkey", "types").agg(F.sum("term").alias("score"))
 
 
 def arg_totals(arg_rel: DataFrame) -> DataFrame:
