@@ -153,6 +153,13 @@ def clean_instances(inst: DataFrame) -> DataFrame:
     return out
 
 
+def rekey_groups(instances: DataFrame) -> DataFrame:
+    """TX5: the normalised key of every group (``gid``) recomputed from its first instance."""
+    from factweave.sources.fixtures import with_norms
+    first = instances.groupBy("gid").agg(F.min_by(F.struct("tokens", *SPANS), "inst_id").alias("f")).select("gid", "f.*")
+    return with_norms(first).select("gid", *KEY)
+
+
 def regroup(instances: DataFrame, parts: DataFrame, max_group_size: int = C.MAX_GROUP_SIZE):
     """AG3 + TX5 + ST1: merge groups whose (re-computed) keys are equal.
 
@@ -168,8 +175,7 @@ def regroup(instances: DataFrame, parts: DataFrame, max_group_size: int = C.MAX_
     from factweave.operators.score import score
     from factweave.sources.fixtures import with_norms
     inst = score(clean_instances(instances), only_unscored=True).withColumn("inst_id", instance_hash())
-    first = inst.groupBy("gid").agg(F.min_by(F.struct("tokens", *SPANS), "inst_id").alias("f")).select("gid", "f.*")
-    keys = with_norms(first).select("gid", *KEY)
+    keys = rekey_groups(inst)
     keys = keys.persist(StorageLevel.MEMORY_AND_DISK)  # joined twice (instances, parts)
     # re-keyed instances feed the cap (histogram, rows, cut-off bucket): computed once
     inst = inst.drop(*[k for k in KEY if k in inst.columns]).join(keys, "gid", "inner") \

@@ -836,3 +836,11 @@ FROM (SELECT arg2_fbid AS fbid, count(*) AS n,
 def pf1_inlink_ratio_arg2(spark, sf_dir):
     """Role selection: the inlink job on the arg2 role (any value but 'arg1' selects arg2)."""
     return G.inlink_ratio(linked(spark, sf_dir), "anything-else")
+
+
+@register("tx5_rekey_groups", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS) + """
+SELECT arg1 || '|' || rel || '|' || arg2 AS gid, arg1, rel, arg2 FROM grp""")
+def tx5_rekey_groups(spark, sf_dir):
+    """Stored groups (gid = their stored key) re-keyed from their first instance."""
+    inst = grouped(spark, sf_dir).withColumn("gid", F.concat_ws("|", *G.KEY))
+    return G.rekey_groups(inst)
