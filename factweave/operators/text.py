@@ -110,13 +110,12 @@ def extract(sents: DataFrame, url_col: str = "url") -> DataFrame:
                                          + F.length(x["g4"])))
     x = t.select("*", F.posexplode("m").alias("k", "mm"))
     before = F.aggregate(F.slice("lens", 1, F.col("k")), F.lit(0), lambda a, b: a + b)
-    x = x.withColumn("arg1_start", (before + F.length("mm.g1")).cast("int")) \
-        .withColumn("arg1_len", F.length("mm.g2").cast("int")) \
-        .withColumn("rel_start", (F.col("arg1_start") + F.col("arg1_len")).cast("int")) \
-        .withColumn("rel_len", F.length("mm.g3").cast("int")) \
-        .withColumn("arg2_start", (F.col("rel_start") + F.col("rel_len")).cast("int")) \
-        .withColumn("arg2_len", F.length("mm.g4").cast("int"))
-    return x.drop("m", "lens", "mm", "tags")
+    a1s = before + F.length("mm.g1")
+    l1, l2, l3 = F.length("mm.g2"), F.length("mm.g3"), F.length("mm.g4")
+    keep = [c for c in x.columns if c not in ("m", "lens", "mm", "tags", "k")]
+    return x.select(*keep, a1s.cast("int").alias("arg1_start"), l1.cast("int").alias("arg1_len"),
+                    (a1s + l1).cast("int").alias("rel_start"), l2.cast("int").alias("rel_len"),
+                    (a1s + l1 + l2).cast("int").alias("arg2_start"), l3.cast("int").alias("arg2_len"))
 
 
 def document_extractions(docs: DataFrame, lang: str | None = "en") -> DataFrame:

@@ -83,9 +83,11 @@ def extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_norms(ex: DataFrame) -> DataFrame:
     """Add the grouping key (arg1, rel, arg2) computed by the key normaliser (TX4)."""
-    return ex.withColumn("arg1", normalize_arg_tokens(span_tokens("tokens", "arg1_start", "arg1_len"))) \
-             .withColumn("rel", normalize_rel_tokens(span_tokens("tokens", "rel_start", "rel_len"))) \
-             .withColumn("arg2", normalize_arg_tokens(span_tokens("tokens", "arg2_start", "arg2_len")))
+    keep = [c for c in ex.columns if c not in ("arg1", "rel", "arg2")]
+    return ex.select(*keep,
+                     normalize_arg_tokens(span_tokens("tokens", "arg1_start", "arg1_len")).alias("arg1"),
+                     normalize_rel_tokens(span_tokens("tokens", "rel_start", "rel_len")).alias("rel"),
+                     normalize_arg_tokens(span_tokens("tokens", "arg2_start", "arg2_len")).alias("arg2"))
 
 
 def tuples(spark: SparkSession, sf_dir: str) -> DataFrame:
