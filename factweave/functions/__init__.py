@@ -84,8 +84,3 @@ def weight_2dp(shared, pairs) -> Column:
 def exp_weight(w2) -> Column:
     """10^(4·w), as DECIMAL(20,6) so that sums do not depend on the order of addition."""
     return F.pow(F.lit(10.0), F.lit(4.0) * col(w2)).cast("decimal(20,6)")
-
-
-def fmt_2dp_decimal(d) -> Column:
-    """Half-up 2-dp text of a decimal (Java '%.2f' semantics)."""
-    return F.format_number(col(d).cast("decimal(38,6)"), 2)

@@ -844,3 +844,26 @@ def tx5_rekey_groups(spark, sf_dir):
     """Stored groups (gid = their stored key) re-keyed from their first instance."""
     inst = grouped(spark, sf_dir).withColumn("gid", F.concat_ws("|", *G.KEY))
     return G.rekey_groups(inst)
+
+
+@register("inc2_relink_groups", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS, S.LINKED, S.BATCHED, S.LINK_TABLES,
+                                        S.FIRST_INST, S.LINK_BEST) + """,
+keys AS (SELECT arg1, rel, arg2, max(CASE WHEN batch = 1 THEN 1 ELSE 0 END) = 1 AS in_incoming
+         FROM exb GROUP BY arg1, rel, arg2),
+flags AS (SELECT g.arg1, g.rel, g.arg2,
+                 k.in_incoming AND g.n_instances > 1 AND (g.n_instances < 5 OR g.n_instances % 2 = 0) AS relink
+          FROM grp g JOIN keys k ON g.arg1 = k.arg1 AND g.rel = k.rel AND g.arg2 = k.arg2)
+SELECT f.arg1, f.rel, f.arg2, f.relink AS relinked,
+       CASE WHEN f.relink THEN l.arg1_fbid ELSE struct_extract(h.e, 'arg1_fbid') END AS arg1_fbid,
+       CASE WHEN f.relink THEN l.arg2_fbid ELSE struct_extract(h.e, 'arg2_fbid') END AS arg2_fbid
+FROM flags f
+JOIN head h ON f.arg1 = h.arg1 AND f.rel = h.rel AND f.arg2 = h.arg2
+JOIN linked l ON f.arg1 = l.arg1 AND f.rel = l.rel AND f.arg2 = l.arg2""")
+def inc2_relink_groups(spark, sf_dir):
+    from factweave.streaming.upsert import merge_batch, relink_groups
+    inst, parts = batched(spark, sf_dir)
+    merged, head, flags = merge_batch((inst.filter("batch = 0"), parts.filter("batch = 0")),
+                                      (inst.filter("batch = 1"), parts.filter("batch = 1")), incoming_batch=1)
+    anchors, ents = FX.link_tables(spark, sf_dir)
+    out = relink_groups(merged, head, flags, anchors, ents)
+    return out.select(*G.KEY, "relinked", "arg1_fbid", "arg2_fbid")

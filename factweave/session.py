@@ -59,8 +59,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the session has none (local tests) a scratch folder is created and set.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)  # named by the cluster conf but not yet registered on the context
         return d
     d = tempfile.mkdtemp(prefix="factweave-ckpt-")
     spark.conf.set("spark.checkpoint.dir", d)
