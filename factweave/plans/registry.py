@@ -38,7 +38,8 @@ def scored_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.group_instances(scored_extractions(spark, sf_dir).persist())
+    """Capped, deduplicated group instances, persisted: downstream steps read them several times."""
+    return G.group_instances(scored_extractions(spark, sf_dir).persist()).persist()
 
 
 # ---------------------------------------------------------------------------
@@ -189,7 +190,7 @@ def scored_rows(spark, sf_dir):
 
 def linked(spark, sf_dir):
     rows = scored_rows(spark, sf_dir)
-    return G.linked_groups(G.group_instances(rows), rows)
+    return G.linked_groups(G.group_instances(rows).persist(), rows)
 
 
 LINKED_SQL = S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS, S.LINKED)
@@ -484,7 +485,7 @@ LINK_OUT = ["arg1_fbid", "arg1_name", "arg1_score", "arg2_fbid", "arg2_name", "a
 
 def linked_result(spark, sf_dir, min_freq: int = 0):
     rows = scored_rows(spark, sf_dir)
-    inst = G.group_instances(rows)
+    inst = G.group_instances(rows).persist()
     parts = G.first_instance_parts(rows, G.KEY)
     if min_freq:
         keep = G.frequency_filter(G.group_summary(inst), min_freq=min_freq).select(*G.KEY)
