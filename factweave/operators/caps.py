@@ -62,12 +62,22 @@ def cap_per_key(df: DataFrame, keys: list[str], order_hash: str, n: int,
     return out
 
 
+PARTITION_GROUP = 1024  # input partitions merged per first-level top-k group
+
+
 def top_n_per_key(df: DataFrame, keys: list[str], order: list, n: int, rank_col: str = "rank") -> DataFrame:
-    """Top-n per key by an arbitrary total order, for small n (<= 1 000).
+    """Top-n per key by an arbitrary total order (small n), exact and bounded for hot keys.
 
-    Planned as a map-side partial ``WindowGroupLimit`` before the shuffle and a final one
-    after it, so a hot key sends at most n rows per map task; used where the order is a
-    computed score rather than a hash (top similar entities, top types).
+    Two levels, each planned as a map-side partial ``WindowGroupLimit`` plus a final one:
+    level 1 ranks within (key, group of ``PARTITION_GROUP`` input partitions), so one of its
+    tasks receives at most n rows per input partition of its group; level 2 ranks per key
+    over the level-1 survivors, at most n per level-1 task, i.e. n x shuffle partitions -
+    independent of the data size. The top n of the per-group top n's is the exact top n.
+    The group id is the input partition index: which rows meet at level 1 may vary on a
+    retry, the result cannot.
     """
+    w1 = Window.partitionBy(*keys, "_pg").orderBy(*order)
+    lvl1 = df.withColumn("_pg", (F.spark_partition_id() / PARTITION_GROUP).cast("int")) \
+        .withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= n).drop("_r1", "_pg")
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
+    return lvl1.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)

@@ -32,3 +32,16 @@ def test_hot_key_and_duplicates(spark):
 def test_random(spark, data, n):
     df = spark.createDataFrame(data, "k int, v int").withColumn("h", md5_order("k", "v"))
     assert rows(cap_per_key(df, ["k"], "h", n, tiebreak=["v"])) == rows(brute(df, n))
+
+
+def test_top_n_two_level_equals_brute_force(spark):
+    from factweave.operators.caps import top_n_per_key
+    # a hot key spread over many input partitions, scores with ties broken by v
+    data = [(0, (i * 37) % 101, i) for i in range(5000)] + [(k, (v * 13) % 17, v) for k in range(1, 40) for v in range(30)]
+    df = spark.createDataFrame(data, "k int, s int, v int").repartition(16)
+    order = [F.col("s").desc(), F.col("v")]
+    got = top_n_per_key(df, ["k"], order, 15)
+    w = Window.partitionBy("k").orderBy(*order)
+    want = df.withColumn("rank", F.row_number().over(w)).filter("rank <= 15")
+    assert sorted(map(tuple, got.select("k", "s", "v", "rank").collect())) == \
+        sorted(map(tuple, want.select("k", "s", "v", "rank").collect()))
