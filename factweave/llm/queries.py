@@ -6,15 +6,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from factweave.llm.common import table
+from factweave.llm.quality import quality_scores
+from factweave.llm.secrets import secret_scan
+from factweave.llm.simhash import simhash_components
 from factweave.llm.token_counts import token_counts
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_secret_scans": op1_secret_scans,
+    "op6_simhash": op6_simhash,
     "op9_token_counts": op9_token_counts,
+    "op10_quality": op10_quality,
 }
 SQL: dict[str, str] = {}
 
