@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from factweave.llm import chat
 from factweave.llm.common import table
 from factweave.llm.quality import quality_scores
 from factweave.llm.secrets import secret_scan
@@ -20,6 +21,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.chat_digests(chat.format_chats(rows.unionByName(chat.control_conversation(spark))))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
@@ -31,10 +37,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op6_simhash": op6_simhash,
+    "op8_chat_formatting": op8_chat_formatting,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op8_chat_formatting": chat.SQL}
 
 
 def registered() -> tuple[dict, dict]:
