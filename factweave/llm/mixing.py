@@ -83,14 +83,14 @@ def multipliers(sizes: DataFrame, goal: DataFrame) -> DataFrame:
     hist = stored(sizes.filter("size > 0").groupBy("key", "size").agg(F.count(F.lit(1)).alias("n")))
     stats = hist.groupBy("key").agg((F.sum(F.col("n") * F.col("size").cast("double") * F.col("size")) / F.sum(F.col("n") * F.col("size"))).alias("scale"), F.min("size").alias("least"))
     p = goal.join(stats, "key", "left")
-    ratio = F.col("target") / F.col("source_size")
-    z = F.col("least") / F.col("scale")
+    ratio = F.try_divide("target", "source_size")
+    z = F.try_divide(F.col("least").cast("double"), "scale")
     bound = ratio >= MOST - 1e-12
     start = F.log(ratio)
     p = stored(p.select("key", "source_size", "target", "scale",
                         F.when(bound | F.col("scale").isNull(), None).otherwise(start).alias("multiplier"),
-                        F.when(ratio >= 1, F.lit(0.0)).otherwise(F.log(ratio) / z).alias("lo"),
-                        F.when(ratio <= 1, F.lit(0.0)).otherwise(F.log(F.lit(float(MOST))) / z).alias("hi")))
+                        F.when(ratio >= 1, F.lit(0.0)).otherwise(F.try_divide(F.log(ratio), z)).alias("lo"),
+                        F.when(ratio <= 1, F.lit(0.0)).otherwise(F.try_divide(F.log(F.lit(float(MOST))), z)).alias("hi")))
     whole = lambda x: F.sum(F.round(x * _UNIT).cast("long")) / _UNIT
     for _ in range(STEPS):
         r = rate()

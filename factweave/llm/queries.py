@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from factweave.llm import chat
 from factweave.llm.common import table
+from factweave.llm.mixing import mix_sizes
+from factweave.llm.packing import pack
 from factweave.llm.quality import quality_scores
 from factweave.llm.secrets import secret_scan
 from factweave.llm.simhash import simhash_components
+from factweave.llm.substrings import dedup_substrings
 from factweave.llm.token_counts import token_counts
 
 
@@ -17,6 +20,18 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(table(spark, sf_dir, "documents"), window=50)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=2048, end_id=1)
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sizes(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
@@ -36,6 +51,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_packing": op4_packing,
+    "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_token_counts": op9_token_counts,
