@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from factweave.llm import chat
+from factweave.llm import chat, topk
 from factweave.llm.common import table
 from factweave.llm.mixing import mix_sizes
 from factweave.llm.packing import pack
@@ -20,6 +21,10 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"), window=50)
 
@@ -51,6 +56,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op2_top_k": op2_top_k,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
@@ -59,7 +65,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
 }
-SQL: dict[str, str] = {"op8_chat_formatting": chat.SQL}
+SQL: dict[str, str] = {"op2_top_k": topk.SQL, "op8_chat_formatting": chat.SQL}
 
 
 def registered() -> tuple[dict, dict]:
