@@ -40,13 +40,13 @@ STEPS, CLOSE = 80, 1e-7
 _UNIT = 1024.0      # sums count 1/1024 words as integers
 
 
-def sized(docs: DataFrame, keep: list[str]) -> DataFrame:
+def sized(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` of ``docs`` plus ``size``, the number of words of ``text``."""
-    rows = docs.select(*keep, *([] if "text" in keep else ["text"]))
+    rows = docs.select(*keep, *([] if text in keep else [text]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields) + ", size long"
 
     def run(batches):
-        for part, texts in byte_chunks(batches, "text"):
+        for part, texts in byte_chunks(batches, text):
             yield [part.column(i) for i in range(len(keep))] + [pa.array([len(t.split()) for t in texts], pa.int64())]
 
     return map_text(rows, run, schema)
@@ -149,7 +149,7 @@ def plan_mix(sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def taken(rows: DataFrame, found: DataFrame, edge: DataFrame) -> DataFrame:
     """``rows`` (doc_id, key, size and more) with source_size, target and ``taken``, the words the mix takes."""
-    more = [c for c in rows.columns]
+    more = rows.columns
     x = _rounded(rows.join(found, "key").join(edge.withColumnRenamed("doc_id", "edge_id").withColumnRenamed("key", "edge_key").withColumnRenamed("size", "edge_size"),
                                               (F.col("key") == F.col("edge_key")) & F.col("doc_id").eqNullSafe(F.col("edge_id")) & (F.col("size") == F.col("edge_size")), "left")) \
         .withColumn("priority", _priority())
@@ -170,14 +170,18 @@ def mix(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     sizes = stored(sized(docs, ["doc_id", "source"]).select(F.col("doc_id").cast("long").alias("doc_id"), "size", source_key(F.col("source")).alias("key")))
     found, edge = plan_mix(sizes)
-    rows = sized(docs, columns).withColumn("key", source_key(F.col("source")))
+    names = [f"c{i}" for i in range(len(columns))]  # names of the input cannot clash with those added here
+    at = dict(zip(columns, names))
+    rows = docs.toDF(*names)
+    rows = sized(rows.select(*names, F.col(at["doc_id"]).cast("long").alias("doc_id"), source_key(F.col(at["source"])).alias("key")), [*names, "doc_id", "key"], at["text"])
     x = taken(rows, found, edge).filter("taken > 0")
     rest = F.col("taken") % F.col("size")
     copy = F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int")))
     x = x.select("*", copy.alias("copy")).withColumn("part", F.when((rest > 0) & (F.col("copy") * F.col("size") > F.col("taken")), rest))
-    words = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)), F.lit(1), F.col("part").cast("int")), " ")
-    text = F.when(F.col("part").isNotNull(), words).otherwise(F.col("text"))
-    out = {c: F.col(c) for c in columns} | {"text": text}
-    if "n_chars" in columns:
-        out["n_chars"] = F.when(F.col("part").isNotNull(), F.length(words).cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars"))
+    cut = F.col("part").isNotNull()
+    words = F.array_join(F.slice(F.regexp_extract_all(at["text"], F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)), F.lit(1), F.col("part").cast("int")), " ")
+    out = {c: F.col(n) for c, n in at.items()}
+    out["text"] = F.when(cut, words).otherwise(out["text"])
+    if "n_chars" in out:
+        out["n_chars"] = F.when(cut, F.length(words).cast(dict(docs.dtypes)["n_chars"])).otherwise(out["n_chars"])
     return x.select(*[c.alias(n) for n, c in out.items()])

@@ -124,7 +124,7 @@ def pack(docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int =
             padding = np.where(long & (long - 1) == 0, 0, limit - long)
             out = [pa.array(names, pa.int64()).take(pa.array(doc)), a - doc_start[doc], b - a, crc, sizes[doc], first + seq, a - cuts[seq], long, padding]
             if with_ids:
-                out.append([ids[x:y].astype(np.int64) for x, y in zip(a.tolist(), b.tolist())])
+                out.append(pa.ListArray.from_arrays(pa.array(np.append(a, b[-1]), pa.int32()), pa.array(ids.astype(np.int32))))
             first += len(cuts) - 1
             return out
 
@@ -142,4 +142,4 @@ def pack(docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int =
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, padding long"
     return map_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), run,
-                    schema + (", ids array<long>" if with_ids else ""))
+                    schema + (", ids array<int>" if with_ids else ""))

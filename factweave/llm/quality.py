@@ -213,25 +213,32 @@ def learn(docs: DataFrame, labels: DataFrame) -> Network | None:
     return train([bytes(r.text) for r in got], [r.quality for r in got])
 
 
-def score_documents(docs: DataFrame, net: Network | None, threshold: float = PREDICT_AT) -> DataFrame:
-    """(doc_id, score, predicted) plus all other columns of ``docs``; the added names replace columns of the same name."""
-    others = [c for c in docs.columns if c not in ("score", "predicted")]
-    rows = docs.select(*others)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", score double, predicted int"
-    text = others.index("text")
+def _scorer(net: Network | None):
+    tables = net.pair_tables() if net else []
+    return lambda texts: score(net, texts, tables) if net else np.ones(len(texts))
 
+
+def keep_good(docs: DataFrame, net: Network | None, threshold: float = PREDICT_AT) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose text scores at least ``threshold``."""
     def run(batches):
-        tables = net.pair_tables() if net else []
+        scorer = _scorer(net)
         for part, texts in byte_chunks(batches, "text"):
-            s = score(net, texts, tables) if net else np.ones(len(texts))
-            yield [part.column(i) for i in range(len(others))] + [pa.array(s), pa.array((s >= threshold).astype(np.int32))]
+            kept = part.filter(pa.array(scorer(texts) >= threshold))
+            yield [kept.column(i) for i in range(kept.num_columns)]
 
-    assert text >= 0
-    return map_text(rows, run, schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return map_text(docs, run, schema)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = PREDICT_AT) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document."""
     net = learn(docs, labels)
-    scored = score_documents(docs.select("doc_id", "text"), net, threshold)
+
+    def run(batches):
+        scorer = _scorer(net)
+        for part, texts in byte_chunks(batches, "text"):
+            s = scorer(texts)
+            yield part.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))
+
+    scored = map_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), run, "doc_id long, score double, predicted int")
     return scored.select("doc_id", (~in_training()).alias("held_out"), "score", "predicted")

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from factweave.llm import chat, topk
 from factweave.llm.common import table
+from factweave.llm.embedding_dedup import embedding_dedup
 from factweave.llm.mixing import mix_sizes
 from factweave.llm.packing import pack
 from factweave.llm.quality import quality_scores
-from factweave.llm.secrets import secret_scan
+from factweave.llm.secret_scan import secret_scan
 from factweave.llm.simhash import simhash_components
 from factweave.llm.substrings import dedup_substrings
 from factweave.llm.token_counts import token_counts
@@ -41,6 +42,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.chat_digests(chat.format_chats(rows.unionByName(chat.control_conversation(spark))))
@@ -61,6 +66,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
     "op6_simhash": op6_simhash,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
@@ -70,4 +76,6 @@ SQL: dict[str, str] = {"op2_top_k": topk.SQL, "op8_chat_formatting": chat.SQL}
 
 def registered() -> tuple[dict, dict]:
     """(queries, SQL) to register."""
-    return dict(QUERIES), dict(SQL)
+    import corpus_pipeline
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return QUERIES | {"pipeline": corpus_pipeline.run}, SQL | sql
