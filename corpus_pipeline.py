@@ -42,7 +42,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=2048, end_id=1, with_ids=True)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=2048, end_id=1,
+                        ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"), with_ids=True)
 
 
 STAGES = [

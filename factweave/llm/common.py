@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-CHUNK_BYTES = 4 << 20  # text handled at once inside a Python task
+CHUNK_BYTES = 4 << 20   # text handled at once inside a Python task
+TOKEN_BYTES = 12 << 20  # ... where texts are tokenized: more text shares its distinct words
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factweave.llm.common import byte_chunks, map_text
+from factweave.llm.common import TOKEN_BYTES, byte_chunks, map_text
 from factweave.llm.tokenizing import pieces_for
 
 LINE_TOKENS = 1 << 20
@@ -99,11 +99,13 @@ def best_cuts(at: np.ndarray, penalty: np.ndarray, limit: int) -> list[int]:
     return [0, *reversed(cuts)]
 
 
-def pack(docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int = 1, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int = 1, with_ids: bool = False,
+         ranks_path: str | None = None) -> DataFrame:
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_tokens, padding);
-    with ``with_ids`` also ``ids``. The pieces of a sequence, by offset, are its tokens without gaps."""
+    with ``with_ids`` also ``ids``. The pieces of a sequence, by offset, are its tokens without gaps. ``ranks_path``: the
+    tokenizer's vocabulary as a rank file, for speed (see ``tokenizing``)."""
     def run(batches):
-        encoder, ends = pieces_for(tokenizer_path, False), sentence_ends(tokenizer_path)
+        encoder, ends = pieces_for(tokenizer_path, False, ranks_path), sentence_ends(tokenizer_path)
         first = TaskContext.get().partitionId() << 40
         line, names, tokens = [], [], 0
 
@@ -128,7 +130,7 @@ def pack(docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int =
             first += len(cuts) - 1
             return out
 
-        for rows, texts in byte_chunks(batches, "text"):
+        for rows, texts in byte_chunks(batches, "text", TOKEN_BYTES):
             for name, packed in zip(rows.column(0).to_pylist(), encoder.ids(texts)):
                 ids = np.frombuffer(packed, "<u4")
                 line.append(np.append(ids, np.uint32(end_id)))

@@ -31,7 +31,8 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=2048, end_id=1)
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=2048, end_id=1,
+                ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

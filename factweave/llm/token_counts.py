@@ -1,6 +1,6 @@
 """Token counts: batch encoding in Arrow functions that return lengths only.
 
-Batches are balanced by bytes (about 4 MB of text at once, whatever the number of rows), and texts
+Batches are balanced by bytes (about 12 MB of text at once, whatever the number of rows), and texts
 are split at safe boundaries (``tokenizing``), so one very long text costs no more memory than its
 own bytes. One pass over the table, no shuffle; memory per worker is a batch plus a bounded cache.
 
@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factweave.llm.common import byte_chunks, map_text
+from factweave.llm.common import TOKEN_BYTES, byte_chunks, map_text
 from factweave.llm.tokenizing import pieces_for
 
 
@@ -22,7 +22,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col
     """(doc_id, n_bytes, n_tokens, over_limit) of every whole text."""
     def count(batches):
         encoder = pieces_for(tokenizer_path, True)
-        for rows, texts in byte_chunks(batches, "text"):
+        for rows, texts in byte_chunks(batches, "text", TOKEN_BYTES):
             n = encoder.lengths(texts)
             yield rows.column(0), pa.array(map(len, texts), pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())
 
