@@ -34,16 +34,12 @@ ARG_STOP_WORDS = ["one", "two", "three", "four", "five", "some", "any", "all"]
 MIN_ARG_LENGTH = 4          # arguments shorter than this are neither typed nor joined
 MIN_REL_LENGTH = 4          # relation strings of length <= 3 are dropped
 MAX_REL_LENGTH = 100        # ... and longer than 100
-MIN_LINK_ARG_LENGTH = 3     # shortest argument sent to the linker
-MAX_GROUP_SIZE = 40_000     # instances read per group
-MAX_PAIRS_PER_REL = 1_000_000
 
 # Typer settings as a command-line run uses them.
 MAX_SIMILAR_ENTITIES = 15
 MAX_PREDICTED_TYPES = 5
 MIN_SHARE_SCORE = 10
 MIN_REL_WEIGHT = 0.10
-MAX_ENTITIES_READ_PER_REL = 5_000
 MAX_ENTITIES_WRITE_PER_REL = 150
 MAX_REL_INFOS_READ_PER_ARG = 20_000
 MAX_ARGS_PER_REL_INFO = 1_000

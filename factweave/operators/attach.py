@@ -5,11 +5,10 @@ only when its own *filtered* type set is empty (so a tuple whose only types are
 blacklisted or '/base/' counts as untyped and is overwritten, Q9); other tuples pass
 unchanged; several predictions for one argument fan out, as in the original.
 
-JN3: the original salts arguments shorter than 4 characters with a random prefix on both
-sides so that these hot short keys spread out - and, with independent salts, (almost) never
-match. We give such keys a NULL join key instead: the same result without randomness,
-and NULL keys never meet in the join. Real skew on long keys is left to adaptive
-execution's skew-join splitting; the prediction side has one row per argument.
+JN3: the original salts arguments shorter than 4 characters with a random prefix on both sides so
+that these hot short keys spread out, and loses their matches by it. Here every key joins as it is;
+a hot key's side of the join is split by adaptive execution, and the prediction side has one row
+per argument.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factweave import constants as C
 from factweave.functions import filter_types
 
 
@@ -31,7 +29,7 @@ def attach_types(tuples: DataFrame, predictions: DataFrame, role: str = "arg1")
         raise ValueError("role must be either arg1 or arg2")
     p = predictions.select(F.col("arg").alias("_k"),
                            F.array_sort(F.array_distinct(F.transform("types", lambda t: t["type"]))).alias("_pt"))
-    t = tuples.withColumn("_k", F.when(F.length(role) >= C.MIN_ARG_LENGTH, F.col(role)))
+    t = tuples.withColumn("_k", F.col(role))
     j = t.join(p, "_k", "left")
     untyped = F.size(filter_types(f"{role}_types")) == 0
     new = F.when(F.col("_pt").isNotNull() & untyped, F.col("_pt")).otherwise(F.col(f"{role}_types"))

@@ -2,18 +2,17 @@
 
 Internal form (SURVEY §4.3): flat instance rows carrying their group key; the nested
 ExtractionGroup is produced only on output (``nest_groups``). All aggregations are partial
-(map-side) first, and caps use ``cap_per_key``, so one key holding a third of the rows
-never lands whole in one task.
+(map-side) first and nothing is capped unless the caller asks for it (AG2), so one key holding
+a third of the rows never lands whole in one task and loses no row.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factweave import constants as C
-from factweave.functions import clean_control, md5_order, span_text
+from factweave.functions import clean_control, span_text
 from factweave.operators.caps import cap_per_key
 
 KEY = ["arg1", "rel", "arg2"]
@@ -21,21 +20,34 @@ SPANS = ["arg1_start", "arg1_len", "rel_start", "rel_len", "arg2_start", "arg2_l
 INSTANCE = ["tokens", *SPANS, "url", "corpus", "confidence"]
 
 
-def instance_hash() -> F.Column:
+def prefixed(c) -> Column:
+    """A value with its length in front, ``~`` for NULL: joined values cannot run into each other."""
+    s = (F.col(c) if isinstance(c, str) else c).cast("string")
+    return F.coalesce(F.concat(F.length(s), F.lit(":"), s), F.lit("~"))
+
+
+def row_hash(*cols) -> Column:
+    """md5 over length-prefixed values: equal hash <=> equal values, NULLs included."""
+    return F.md5(F.concat_ws("|", *[prefixed(c) for c in cols]))
+
+
+def instance_hash() -> Column:
     """md5 over every instance field: equal hash <=> equal instance (ties interchangeable)."""
-    return md5_order(F.array_join("tokens", " "), *SPANS, "url", "corpus",
-                     F.col("confidence").cast("decimal(9,6)"))
+    tokens = F.array_join(F.transform("tokens", prefixed), ",")
+    return row_hash(tokens, *SPANS, "url", "corpus", F.col("confidence").cast("decimal(9,6)"))
 
 
-def group_instances(extractions: DataFrame, max_group_size: int = C.MAX_GROUP_SIZE) -> DataFrame:
-    """AG1 + AG2 + ST3: cap each key at ``max_group_size`` raw rows (md5 order), then dedup.
+def group_instances(extractions: DataFrame, max_group_size: int | None = None) -> DataFrame:
+    """AG1 + ST3: the distinct instances of every key; with ``max_group_size`` (AG2) of at most so
+    many raw rows per key, in md5 order.
 
     Input: flat extractions with KEY and INSTANCE columns. Output: one row per distinct
     (key, instance) with ``inst_id`` (the instance hash). Dedup groups by (key, inst_id), so a
     hot key is spread over all shuffle partitions.
     """
     x = extractions.select(*KEY, *INSTANCE).withColumn("inst_id", instance_hash())
-    x = cap_per_key(x, KEY, "inst_id", max_group_size)
+    if max_group_size is not None:
+        x = cap_per_key(x, KEY, "inst_id", max_group_size)
     return x.dropDuplicates([*KEY, "inst_id"])
 
 
@@ -49,6 +61,17 @@ def group_summary(instances: DataFrame) -> DataFrame:
     )
 
 
+def summarize(extractions: DataFrame) -> DataFrame:
+    """``group_summary`` of raw extractions without forming instances: only the key, the url, the
+    confidence and the instance hash reach the shuffle."""
+    narrow = extractions.select(*KEY, "url", "confidence", instance_hash().alias("inst_id"))
+    return narrow.groupBy(*KEY).agg(
+        F.countDistinct("inst_id").alias("n_instances"),
+        F.countDistinct("url").alias("n_urls"),
+        F.max("confidence").alias("max_conf"),
+        F.min("confidence").alias("min_conf"))
+
+
 def frequency_filter(groups: DataFrame, min_freq: int = 0, max_freq: int = 2**31 - 1,
                      size_col: str = "n_instances") -> DataFrame:
     """PF6: keep a group iff min_freq <= size <= max_freq (inclusive)."""
@@ -82,21 +105,10 @@ def nest_groups(instances: DataFrame, parts: DataFrame | None = None) -> DataFra
         "instances")
 
 
-def arg_pairs(groups: DataFrame, max_pairs: int = C.MAX_PAIRS_PER_REL) -> DataFrame:
-    """AG4: per relation, the ``arg1+arg2`` pairs of its groups (not deduplicated), capped.
-
-    Long form (rel, pair, ord): the scalable output; ``arg_pair_lines`` renders the
-    one-line-per-relation text form.
-    """
-    x = groups.select("rel", F.concat_ws("+", "arg1", "arg2").alias("pair"),
-                      md5_order("rel", "arg1", "arg2").alias("_h"))
-    return cap_per_key(x, ["rel"], "_h", max_pairs, tiebreak=["pair"]).drop("_h")
-
-
-def arg_pair_lines(pairs: DataFrame) -> DataFrame:
-    """rel ⇥ pair ⇥ pair ... (one row per relation; bounded by the pair cap)."""
-    return pairs.groupBy("rel").agg(F.array_sort(F.collect_list("pair")).alias("pairs")) \
-        .select(F.concat_ws("\t", "rel", F.array_join("pairs", "\t")).alias("value"))
+def arg_pairs(groups: DataFrame) -> DataFrame:
+    """AG4: per relation, the ``arg1+arg2`` pairs of its groups (not deduplicated), in long form: no row
+    ever holds a whole relation."""
+    return groups.select("rel", F.concat_ws("+", "arg1", "arg2").alias("pair"))
 
 
 def inlink_ratio(groups: DataFrame, role: str = "arg1") -> DataFrame:
@@ -139,9 +151,19 @@ def first_instance_parts(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.groupBy(*by).agg(F.min_by(e, order).alias("e")).select(*by, "e.*")
 
 
-def linked_groups(instances: DataFrame, rows: DataFrame) -> DataFrame:
-    """Flat linked groups: key, size, and the entity parts of each group's first instance."""
-    return group_summary(instances).join(first_instance_parts(rows, KEY), KEY, "inner")
+def linked_groups(rows: DataFrame) -> DataFrame:
+    """Flat linked groups: key, size, and the entity parts of each group's first instance.
+
+    One pass over ``rows`` (with ``inst_id``): rows of one instance meet first, then the instances of a group.
+    """
+    parts = [f"{r}_{c}" for r in ("arg1", "arg2") for c in ("fbid", "name", "inlinks", "types")]
+    order = F.struct(F.coalesce("arg1_fbid", F.lit("")), F.coalesce("arg2_fbid", F.lit("")))
+    one = rows.groupBy(*KEY, "inst_id").agg(F.first("url").alias("url"), F.first("confidence").alias("confidence"),
+                                            F.min_by(F.struct(*parts), order).alias("e"))
+    return one.groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("n_instances"), F.countDistinct("url").alias("n_urls"),
+        F.max("confidence").alias("max_conf"), F.min("confidence").alias("min_conf"),
+        F.min_by("e", "inst_id").alias("e")).select(*KEY, "n_instances", "n_urls", "max_conf", "min_conf", "e.*")
 
 
 def clean_instances(inst: DataFrame) -> DataFrame:
@@ -160,7 +182,7 @@ def rekey_groups(instances: DataFrame) -> DataFrame:
     return with_norms(first).select("gid", *KEY)
 
 
-def regroup(instances: DataFrame, parts: DataFrame, max_group_size: int = C.MAX_GROUP_SIZE):
+def regroup(instances: DataFrame, parts: DataFrame):
     """AG3 + TX5 + ST1: merge groups whose (re-computed) keys are equal.
 
     ``instances``: one row per (gid, instance) of every input group, with ``batch`` (input
@@ -168,31 +190,27 @@ def regroup(instances: DataFrame, parts: DataFrame, max_group_size: int = C.MAX_
     ``parts``: one row per input group: gid, batch, arg1_fbid, ..., arg2_types.
 
     Steps: clean control characters (PF7), score unscored instances (TX3), key every group
-    by the normalised key of its first instance (TX4/TX5), union the instance sets (capped,
-    deduplicated) and take the arg/rel parts from the first group (lowest batch) having an
-    entity on either side, else from the first group. Returns (instances, head parts).
+    by the normalised key of its first instance (TX4/TX5), union the instance sets (whole,
+    deduplicated) and take the arg/rel parts from the first group (lowest batch, then gid) having
+    an entity on either side, else from the first group. Returns (instances, head parts).
     """
     from factweave.operators.score import score
     from factweave.sources.fixtures import with_norms
     inst = score(clean_instances(instances), only_unscored=True).withColumn("inst_id", instance_hash())
     keys = rekey_groups(inst)
-    keys = keys.persist(StorageLevel.MEMORY_AND_DISK)  # joined twice (instances, parts)
-    # re-keyed instances feed the cap (histogram, rows, cut-off bucket): computed once
     inst = inst.drop(*[k for k in KEY if k in inst.columns]).join(keys, "gid", "inner") \
-        .select(*KEY, *INSTANCE, "inst_id").persist(StorageLevel.MEMORY_AND_DISK)
-    inst = cap_per_key(inst, KEY, "inst_id", max_group_size).dropDuplicates([*KEY, "inst_id"]) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+        .select(*KEY, *INSTANCE, "inst_id").dropDuplicates([*KEY, "inst_id"])
     p = parts.drop(*[k for k in KEY if k in parts.columns]).join(keys, "gid", "inner")
-    linked = (F.col("arg1_fbid").isNotNull() | F.col("arg2_fbid").isNotNull()).cast("int")
+    unlinked = (F.col("arg1_fbid").isNull() & F.col("arg2_fbid").isNull()).cast("int")
     cols = [c for c in p.columns if c not in (*KEY, "batch", "gid")]
-    head = p.groupBy(*KEY).agg(F.max_by(F.struct(*cols), linked * 10 - F.col("batch")).alias("h"),
+    head = p.groupBy(*KEY).agg(F.min_by(F.struct(*cols), F.struct(unlinked.alias("u"), "batch", "gid")).alias("h"),
                                F.min("batch").alias("first_batch"), F.max("batch").alias("last_batch")) \
         .select(*KEY, "h.*", "first_batch", "last_batch")
     return inst, head
 
 
-def relink_flag(size) -> F.Column:
-    """INC2: re-link a merged group only if size > 1 and (size < 5 or size even)."""
+def relink_flag(size) -> Column:
+    """The original's rule for re-linking: only if size > 1 and (size < 5 or size even). An explicit option."""
     n = F.col(size) if isinstance(size, str) else size
     return (n > C.RELINK_MIN_EXCLUSIVE) & ((n < C.RELINK_SMALL_EXCLUSIVE) | (n % 2 == 0))
 

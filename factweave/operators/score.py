@@ -22,7 +22,7 @@ def span_valid(tokens="tokens") -> Column:
     for p in ("arg1", "rel", "arg2"):
         s, ln = F.col(f"{p}_start"), F.col(f"{p}_len")
         ok = ok & s.isNotNull() & ln.isNotNull() & (s >= 0) & (ln > 0) & (s + ln <= n)
-    return ok
+    return F.coalesce(ok, F.lit(False))  # NULL tokens: invalid, not unknown
 
 
 def features(tokens="tokens") -> dict[str, Column]:

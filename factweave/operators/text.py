@@ -3,18 +3,21 @@
 The original runs per-row libraries (a statistical chunker, a relation-phrase extractor)
 inside map tasks. Here both are column expressions, so they stay in whole-stage codegen:
 
-* TX1 - sentences by a regex split, tokens by ``regexp_extract_all``, Penn tags from a
-  closed-class lexicon plus suffix rules, BIO chunk tags from each token's neighbour.
+* TX1 - every sentence of every text, whatever its language (a repeated sentence is a row of its
+  own, ``sid`` is its place); tokens are words of letters and marks, numbers, and single other
+  characters; Penn tags from a closed-class lexicon plus suffix rules (SYM for characters that are
+  neither letter nor number), BIO chunk tags from each token's neighbour.
 * TX2 - every token becomes one class character (V verb/auxiliary, D determiner,
-  P preposition, C conjunction/pronoun, R adverb, N other), so string offset = token
+  P preposition, C conjunction/pronoun, R adverb, O punctuation, N other), so string offset = token
   offset; a relation is ``V`` or ``V[NDR]*P`` (longest), with the nearest noun phrase
   ``D?N+`` on either side (after the published relation-phrase pattern). Matches do not
   overlap; their token spans come from the running length of earlier matches.
 
 The pattern is anchored with ``\\G``: each match must start where the previous one ended,
 which keeps the leading ``(.*?)`` from rescanning the rest of the sentence at every start
-position (quadratic time on long sentences). Matches are the same as without the anchor,
-so whole sentences of any length are processed - no token cap.
+position, and a first noun phrase starts at a determiner or at the head of its noun run only, so a
+run without a verb is tried once. Both leave the matches as they are and make the search linear:
+whole sentences of any length are processed.
 """
 
 from __future__ import annotations
@@ -25,10 +28,10 @@ from pyspark.sql import functions as F
 from factweave import constants as C
 
 SENT_SPLIT = r"[.!?]\s+|\n+"
-TOKEN_RE = "[a-z]+|[0-9]+"
-MIN_TOKENS = 3
+TOKEN_RE = r"\p{L}[\p{L}\p{M}]*|\p{N}+|[^ \t\n\r\f\x0B\p{L}\p{N}]"
+WORD_RE = r"^[\p{L}\p{N}]"
 # (arg1 NP)(relation)(arg2 NP) over the class string, preceded by the gap since the last match
-TRIPLE_RE_SPARK = r"\G(.*?)(D?N++)(V(?:[NDR]*+P)?)(D?N++)"
+TRIPLE_RE_SPARK = r"\G(.*?)(DN++|(?<![DN])N++)(V(?:[NDR]*+P)?)(D?N++)"
 TRIPLE_RE_PLAIN = r"(.*?)(D?N+)(V(?:[NDR]*P)?)(D?N+)"
 
 
@@ -52,7 +55,7 @@ def token_class(t: Column) -> Column:
     for k in ("D", "P", "C", "V", "R"):
         cond = t.isin(*CLASS_WORDS[k])
         e = F.when(cond, F.lit(k)) if e is None else e.when(cond, F.lit(k))
-    return e.when(t.endswith("ly"), F.lit("R")).otherwise(F.lit("N"))
+    return e.when(~t.rlike(WORD_RE), F.lit("O")).when(t.endswith("ly"), F.lit("R")).otherwise(F.lit("N"))
 
 
 def penn_tag(t: Column) -> Column:
@@ -60,7 +63,7 @@ def penn_tag(t: Column) -> Column:
     e = None
     for w, tag in C.LEXICON.items():
         e = F.when(t == w, F.lit(tag)) if e is None else e.when(t == w, F.lit(tag))
-    return (e.when(t.rlike("^[0-9]+$"), F.lit("CD")).when(t.endswith("ly"), F.lit("RB"))
+    return (e.when(~t.rlike(WORD_RE), F.lit("SYM")).when(t.rlike("^[0-9]+$"), F.lit("CD")).when(t.endswith("ly"), F.lit("RB"))
             .when(t.endswith("ing"), F.lit("VBG")).when(t.endswith("ed"), F.lit("VBD"))
             .when(t.endswith("s"), F.lit("NNS")).otherwise(F.lit("NN")))
 
@@ -72,15 +75,14 @@ def chunk_type(tag: Column) -> Column:
 
 
 def sentences(docs: DataFrame, text_col: str = "text", id_cols=("doc_id",), url_col: str | None = "source") -> DataFrame:
-    """Distinct (id, sentence) rows of every document, whole texts."""
+    """(id, sid, sentence) rows of every document, whole texts; ``sid`` is the sentence's place."""
     keep = [*id_cols] + ([url_col] if url_col else [])
-    s = docs.select(*keep, F.explode(F.split(F.col(text_col), SENT_SPLIT)).alias("sentence"))
-    return s.dropDuplicates([*id_cols, "sentence"])
+    return docs.select(*keep, F.posexplode(F.split(F.col(text_col), SENT_SPLIT)).alias("sid", "sentence"))
 
 
 def tokenize(sents: DataFrame) -> DataFrame:
     toks = F.regexp_extract_all(F.lower("sentence"), F.lit(TOKEN_RE), 0)
-    return sents.withColumn("tokens", toks).filter(F.size("tokens") >= MIN_TOKENS)
+    return sents.withColumn("tokens", toks).filter(F.size("tokens") > 0)
 
 
 def with_chunks(df: DataFrame, postags: str = "postags", out: str = "chunks") -> DataFrame:
@@ -104,24 +106,22 @@ def annotate(sents: DataFrame) -> DataFrame:
 def extract(sents: DataFrame, url_col: str = "url") -> DataFrame:
     """TX2: one row per triple with token spans; sentences without a match yield nothing."""
     t = tokenize(sents).withColumn("tags", F.array_join(F.transform("tokens", token_class), ""))
-    g = [F.regexp_extract_all("tags", F.lit(TRIPLE_RE_SPARK), i) for i in range(1, 5)]
-    t = t.withColumn("m", F.arrays_zip(*[x.alias(f"g{i}") for i, x in enumerate(g, 1)]))
-    t = t.withColumn("lens", F.transform("m", lambda x: F.length(x["g1"]) + F.length(x["g2"]) + F.length(x["g3"])
-                                         + F.length(x["g4"])))
+    # the search runs once; the groups are taken from each match
+    t = t.withColumn("m", F.regexp_extract_all("tags", F.lit(TRIPLE_RE_SPARK), 0)).filter(F.size("m") > 0)
+    t = t.withColumn("lens", F.transform("m", F.length))
     x = t.select("*", F.posexplode("m").alias("k", "mm"))
+    x = x.withColumns({f"g{i}": F.length(F.regexp_extract("mm", TRIPLE_RE_SPARK, i)) for i in range(1, 5)})
     before = F.aggregate(F.slice("lens", 1, F.col("k")), F.lit(0), lambda a, b: a + b)
-    a1s = before + F.length("mm.g1")
-    l1, l2, l3 = F.length("mm.g2"), F.length("mm.g3"), F.length("mm.g4")
-    keep = [c for c in x.columns if c not in ("m", "lens", "mm", "tags", "k")]
+    a1s = before + F.col("g1")
+    l1, l2, l3 = F.col("g2"), F.col("g3"), F.col("g4")
+    keep = [c for c in x.columns if c not in ("m", "lens", "mm", "tags", "k", "g1", "g2", "g3", "g4")]
     return x.select(*keep, a1s.cast("int").alias("arg1_start"), l1.cast("int").alias("arg1_len"),
                     (a1s + l1).cast("int").alias("rel_start"), l2.cast("int").alias("rel_len"),
                     (a1s + l1 + l2).cast("int").alias("arg2_start"), l3.cast("int").alias("arg2_len"))
 
 
-def document_extractions(docs: DataFrame, lang: str | None = "en") -> DataFrame:
-    """E1 front half: documents -> extraction rows (tokens, spans, url, corpus)."""
-    if lang:
-        docs = docs.filter(F.col("lang") == lang)
+def document_extractions(docs: DataFrame) -> DataFrame:
+    """E1 front half: documents -> extraction rows (tokens, spans, url, corpus), all languages."""
     s = sentences(docs.withColumn("url", F.concat_ws("/", "source", F.col("doc_id").cast("string"))),
                   id_cols=("doc_id",), url_col="url")
     return extract(s).withColumn("corpus", F.lit("documents"))

@@ -1,41 +1,23 @@
-"""End-to-end compositions of the operators (E1, E2, E3 of SURVEY §3)."""
+"""End-to-end compositions of the operators (E3 of SURVEY §3)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from factweave.operators import attach as AT
 from factweave.operators import grouping as G
 from factweave.operators import linking as L
-from factweave.operators import text as TX
-from factweave.operators import typing as T
-from factweave.operators.score import score
-from factweave.sources.fixtures import with_norms
 
 
 def group_and_link(extractions: DataFrame, link: bool = False, min_freq: int = 0, max_freq: int = 2**31 - 1,
                    anchors: DataFrame | None = None, entities: DataFrame | None = None) -> DataFrame:
     """JN7/JN8: group, frequency-filter and (optionally) link. The original's group+link job
     never links (Q4); ``link=True`` runs JN6 on the kept groups."""
-    inst = G.group_instances(extractions)
-    summary = G.frequency_filter(G.group_summary(inst), min_freq, max_freq)
+    summary = G.frequency_filter(G.summarize(extractions), min_freq, max_freq)
     if not link:
         return summary
+    inst = G.group_instances(extractions)
     keep = summary.select(*G.KEY)
     inst = inst.join(keep, G.KEY, "left_semi")
     parts = G.first_instance_parts(extractions.withColumn("inst_id", G.instance_hash()), G.KEY) \
         .join(keep, G.KEY, "left_semi")
     return summary.join(L.link_groups(inst, parts, anchors, entities), G.KEY)
-
-
-def sentences_to_groups(documents: DataFrame, lang: str = "en", min_freq: int = 0) -> DataFrame:
-    """E1: documents -> sentences -> triples -> scores -> keys -> groups (-> frequency filter)."""
-    ex = score(with_norms(TX.document_extractions(documents, lang)))
-    return G.frequency_filter(G.group_summary(G.group_instances(ex)), min_freq)
-
-
-def type_and_attach(tuples: DataFrame, type_dim: DataFrame, settings: T.TyperSettings,
-                    stoplist: DataFrame | None = None) -> DataFrame:
-    """E2: predict types for unlinkable arguments, then attach them to untyped tuples."""
-    pred = T.predict_types(tuples, settings, type_dim, stoplist)
-    return AT.attach_types(tuples, pred, settings.role)

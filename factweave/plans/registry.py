@@ -6,6 +6,7 @@ fixture views). Columns are flat and aliased identically on both sides.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +39,12 @@ def scored_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Capped, deduplicated group instances, persisted: downstream steps read them several times."""
-    return G.group_instances(scored_extractions(spark, sf_dir).persist()).persist()
+    """The distinct instances of every group."""
+    return G.group_instances(scored_extractions(spark, sf_dir))
+
+
+def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.summarize(scored_extractions(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -49,13 +54,13 @@ def grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("ag1_group_extractions",
           S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS) + "SELECT * FROM grp")
 def ag1_group_extractions(spark, sf_dir):
-    return G.group_summary(grouped(spark, sf_dir))
+    return summary(spark, sf_dir)
 
 
 @register("pf6_frequency_filter",
           S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS) + "SELECT * FROM grp WHERE n_instances BETWEEN 2 AND 2147483647")
 def pf6_frequency_filter(spark, sf_dir):
-    return G.frequency_filter(G.group_summary(grouped(spark, sf_dir)), min_freq=2)
+    return G.frequency_filter(summary(spark, sf_dir), min_freq=2)
 
 
 AG2_CAP = 2  # small cap so that it binds on the fixture (groups of 1-6 instances)
@@ -183,14 +188,12 @@ def tk3_notable_relations(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def scored_rows(spark, sf_dir):
-    """Scored fixture extractions, persisted: the base table that each query reads several
-    times (caps, parts, linking). bench.py clears the cache between queries."""
-    return scored_extractions(spark, sf_dir).withColumn("inst_id", G.instance_hash()).persist()
+    """Scored fixture extractions with their instance hash."""
+    return scored_extractions(spark, sf_dir).withColumn("inst_id", G.instance_hash())
 
 
 def linked(spark, sf_dir):
-    rows = scored_rows(spark, sf_dir)
-    return G.linked_groups(G.group_instances(rows).persist(), rows)
+    return G.linked_groups(scored_rows(spark, sf_dir))
 
 
 LINKED_SQL = S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS, S.LINKED)
@@ -209,19 +212,16 @@ def ag5_inlink_ratio(spark, sf_dir):
 
 
 @register("ag4_arg_pairs", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS) + """
-SELECT rel, pair FROM (
-  SELECT rel, arg1 || '+' || arg2 AS pair,
-         row_number() OVER (PARTITION BY rel ORDER BY md5(concat_ws('|', rel, arg1, arg2)), arg1 || '+' || arg2) AS rn
-  FROM grp) WHERE rn <= 1000000""")
+SELECT rel, arg1 || '+' || arg2 AS pair FROM grp""")
 def ag4_arg_pairs(spark, sf_dir):
-    return G.arg_pairs(G.group_summary(grouped(spark, sf_dir)))
+    return G.arg_pairs(summary(spark, sf_dir))
 
 
 @register("pf11_answer_keys", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS) + """
 SELECT coalesce(arg1, '') AS arg1, coalesce(rel, '') AS rel, coalesce(arg2, '') AS arg2, count(*) AS n_groups
 FROM grp GROUP BY GROUPING SETS ((arg1, rel, arg2), (rel, arg2), (arg1, arg2), (arg1, rel), (arg1), (rel), (arg2))""")
 def pf11_answer_keys(spark, sf_dir):
-    return G.answer_keys(G.group_summary(grouped(spark, sf_dir)), expand=True)
+    return G.answer_keys(summary(spark, sf_dir), expand=True)
 
 
 @register("pf10_render_groups", LINKED_SQL + f""",
@@ -244,11 +244,11 @@ def pf10_render_groups(spark, sf_dir):
 
 
 def batched(spark, sf_dir):
-    """Two batches of groups (md5 of the url < '8' -> batch 0); batch 1 arrives unscored."""
-    rows = scored_rows(spark, sf_dir).withColumn(
-        "batch", F.when(F.substring(F.md5("url"), 1, 1) < "8", F.lit(0)).otherwise(F.lit(1)))
-    rows = rows.withColumn("gid", F.concat_ws("|", F.col("batch").cast("string"), *G.KEY))
-    inst = rows.withColumn("confidence", F.when(F.col("batch") == 1, F.lit(None).cast("double"))
+    """Three batches of groups (by the md5 of the url: 0, 3 and 12); batch 12 arrives unscored."""
+    digit = F.substring(F.md5("url"), 1, 1)
+    rows = scored_rows(spark, sf_dir).withColumn("batch", F.when(digit < "5", F.lit(0)).when(digit < "a", F.lit(3)).otherwise(F.lit(12)))
+    rows = rows.withColumn("gid", G.row_hash("batch", *G.KEY))
+    inst = rows.withColumn("confidence", F.when(F.col("batch") == 12, F.lit(None).cast("double"))
                            .otherwise(F.col("confidence"))) \
         .select("gid", "batch", *G.KEY, *G.INSTANCE, "inst_id").dropDuplicates(["gid", "inst_id"])
     parts = G.first_instance_parts(rows, ["gid", "batch"])
@@ -266,18 +266,18 @@ def ag3_regroup(spark, sf_dir):
 
 
 @register("inc1_upsert_groups", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS, S.BATCHED) + """,
-keys AS (SELECT arg1, rel, arg2, max(CASE WHEN batch = 0 THEN 1 ELSE 0 END) = 1 AS in_existing,
-                max(CASE WHEN batch = 1 THEN 1 ELSE 0 END) = 1 AS in_incoming
+keys AS (SELECT arg1, rel, arg2, max(CASE WHEN batch < 12 THEN 1 ELSE 0 END) = 1 AS in_existing,
+                max(CASE WHEN batch = 12 THEN 1 ELSE 0 END) = 1 AS in_incoming
          FROM exb GROUP BY arg1, rel, arg2)
 SELECT g.arg1, g.rel, g.arg2, g.n_instances, k.in_existing, k.in_incoming,
-       k.in_incoming AND g.n_instances > 1 AND (g.n_instances < 5 OR g.n_instances % 2 = 0) AS relink
+       k.in_incoming AS relink
 FROM grp g JOIN keys k ON g.arg1 = k.arg1 AND g.rel = k.rel AND g.arg2 = k.arg2""")
 def inc1_upsert_groups(spark, sf_dir):
     from factweave.streaming.upsert import merge_batch
     inst, parts = batched(spark, sf_dir)
-    existing = (inst.filter("batch = 0"), parts.filter("batch = 0"))
-    incoming = (inst.filter("batch = 1"), parts.filter("batch = 1"))
-    merged, head, flags = merge_batch(existing, incoming, incoming_batch=1)
+    existing = (inst.filter("batch < 12"), parts.filter("batch < 12"))
+    incoming = (inst.filter("batch = 12"), parts.filter("batch = 12"))
+    merged, head, flags = merge_batch(existing, incoming, incoming_batch=12)
     return G.group_summary(merged).join(flags, G.KEY).select(*G.KEY, "n_instances", "in_existing", "in_incoming",
                                                               "relink")
 
@@ -298,7 +298,7 @@ SELECT t.arg1, t.rel, t.arg2, t.row_id, t.arg1_fbid,
        (p.pt IS NOT NULL AND len({S.filt_types('t.arg1_types')}) = 0) AS types_attached
 FROM tuples t
 LEFT JOIN (SELECT arg, list_sort(list(DISTINCT type)) AS pt FROM ttypes GROUP BY arg) p
-  ON (CASE WHEN length(t.arg1) >= {S.C.MIN_ARG_LENGTH} THEN t.arg1 END) = p.arg""")
+  ON t.arg1 = p.arg""")
 def jn2_attach_types(spark, sf_dir):
     tup, dim = typing_inputs(spark, sf_dir)
     pred = T.predict_types(tup, TYPING, dim)
@@ -405,7 +405,7 @@ SELECT arg1, rel, arg2, n_instances FROM grp
 WHERE substr(md5(concat_ws('|', arg1, rel, arg2)), 1, 8) < '{md5_threshold(SAMPLE_FRACTION)}'""")
 def pf9_sample_groups(spark, sf_dir):
     from factweave.operators.filters import bernoulli_sample
-    g = G.group_summary(grouped(spark, sf_dir)).select(*G.KEY, "n_instances")
+    g = summary(spark, sf_dir).select(*G.KEY, "n_instances")
     return bernoulli_sample(g, SAMPLE_FRACTION, G.KEY)
 
 
@@ -438,7 +438,7 @@ def doc_extractions(spark, sf_dir):
 @register("tx1_annotate", S.with_(S.text_ctes(), S.annotate_cte()) + """
 SELECT doc_id, sentence, array_to_string(ptags, ' ') AS postags, array_to_string(chunks, ' ') AS chunks FROM ann""")
 def tx1_annotate(spark, sf_dir):
-    docs = FX.read(spark, sf_dir, "documents").filter(F.col("lang") == "en")
+    docs = FX.read(spark, sf_dir, "documents")
     a = TX.annotate(TX.sentences(docs, url_col=None))
     return a.select("doc_id", "sentence", F.array_join("postags", " ").alias("postags"),
                     F.array_join("chunks", " ").alias("chunks"))
@@ -470,7 +470,7 @@ SELECT arg1, rel, arg2, count(*) AS n_instances, count(DISTINCT url) AS n_urls,
 FROM tinst GROUP BY arg1, rel, arg2""")
 def e1_sentences_to_groups(spark, sf_dir):
     ex = score(FX.with_norms(doc_extractions(spark, sf_dir)))
-    return G.group_summary(G.group_instances(ex))
+    return G.summarize(ex)
 
 
 # ---------------------------------------------------------------------------
@@ -485,7 +485,7 @@ LINK_OUT = ["arg1_fbid", "arg1_name", "arg1_score", "arg2_fbid", "arg2_name", "a
 
 def linked_result(spark, sf_dir, min_freq: int = 0):
     rows = scored_rows(spark, sf_dir)
-    inst = G.group_instances(rows).persist()
+    inst = G.group_instances(rows)
     parts = G.first_instance_parts(rows, G.KEY)
     if min_freq:
         keep = G.frequency_filter(G.group_summary(inst), min_freq=min_freq).select(*G.KEY)
@@ -580,10 +580,11 @@ def text_records(spark, sf_dir):
 
 
 def record_lines(spark, sf_dir):
-    rec = text_records(spark, sf_dir)
-    v = rec.select("docname", "eid", F.concat_ws("\t", *[F.col(c).cast("string") for c in RC.RECORD_FIELDS]).alias("v"))
-    bad = F.array_join(F.slice(F.split("v", "\t", -1), 1, 20), "\t")
-    return v.select("docname", F.when(F.col("eid") % 7 == 0, bad).otherwise(F.col("v")).alias("value"))
+    fields = F.split("value", "\t", -1)
+    at = {c: fields[RC.RECORD_FIELDS.index(c)] for c in ("docname", "eid")}
+    bad = F.array_join(F.slice(fields, 1, 20), "\t")
+    return RC.write_records(text_records(spark, sf_dir)) \
+        .select(at["docname"].alias("docname"), F.when(at["eid"].cast("int") % 7 == 0, bad).otherwise(F.col("value")).alias("value"))
 
 
 @register("src8_write_records", REC_SQL + "SELECT docname, value FROM rec_lines")
@@ -633,7 +634,7 @@ SELECT url, len(tk) AS n_tokens, array_to_string(tk, ' ') AS tokens FROM (
   WHERE len(p) >= 4)
 WHERE len(tk) = len(pt) AND len(pt) = len(ch)""")
 def src4_layered_sentences(spark, sf_dir):
-    docs = FX.read(spark, sf_dir, "documents").filter(F.col("lang") == "en")
+    docs = FX.read(spark, sf_dir, "documents")
     a = TX.annotate(TX.sentences(docs, url_col=None))
     a = a.withColumn("chunks", F.when(F.col("doc_id") % 5 == 0, F.slice("chunks", 1, F.greatest(F.size("chunks") - 1, F.lit(0))))
                      .otherwise(F.col("chunks"))).withColumn("url", F.col("doc_id").cast("string"))
@@ -646,13 +647,12 @@ def src4_layered_sentences(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 @register("jn9_find_groups", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS, S.BATCHED) + """
-SELECT DISTINCT arg1, rel, arg2 FROM exb e WHERE batch = 0
-  AND EXISTS (SELECT 1 FROM exb i WHERE i.batch = 1 AND i.arg1 = e.arg1 AND i.rel = e.rel AND i.arg2 = e.arg2)""")
+SELECT DISTINCT arg1, rel, arg2 FROM exb e WHERE batch < 12
+  AND EXISTS (SELECT 1 FROM exb i WHERE i.batch = 12 AND i.arg1 = e.arg1 AND i.rel = e.rel AND i.arg2 = e.arg2)""")
 def jn9_find_groups(spark, sf_dir):
-    """Identity query: existing (batch 0) groups that an incoming (batch 1) group would hit."""
-    inst, parts = batched(spark, sf_dir)
-    existing = parts.filter("batch = 0").join(inst.select("gid", *G.KEY).distinct(), "gid").select(*G.KEY).distinct()
-    incoming = parts.filter("batch = 1").join(inst.select("gid", *G.KEY).distinct(), "gid").select(*G.KEY).distinct()
+    """Identity query: existing (batches before 12) groups that an incoming (batch 12) group would hit."""
+    inst, _ = batched(spark, sf_dir)
+    existing, incoming = (inst.filter(c).select(*G.KEY).distinct() for c in ("batch < 12", "batch = 12"))
     return existing.join(incoming, G.KEY, "left_semi")
 
 
@@ -660,24 +660,47 @@ def jn9_find_groups(spark, sf_dir):
 def jn8_group_and_link(spark, sf_dir):
     """Group + frequency filter 0..max; linking is skipped by default, as in the original job."""
     from factweave.plans.pipelines import group_and_link
-    return group_and_link(scored_extractions(spark, sf_dir).persist(), link=False)
+    return group_and_link(scored_extractions(spark, sf_dir), link=False)
 
 
-@register("tk4_bounded_read")
+@register("tk4_bounded_read", """
+SELECT doc_id, lang, rank FROM (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) AS rank FROM documents) WHERE rank <= 100""")
 def tk4_bounded_read(spark, sf_dir):
-    """First n rows per input file (n = 100 documents by doc_id); rows-only check."""
+    """First n rows per input file (n = 100 documents by doc_id); the tables of the check are one file each."""
     from factweave.operators.caps import top_n_per_key
     d = FX.read(spark, sf_dir, "documents").select("doc_id", "lang", F.input_file_name().alias("file"))
-    return top_n_per_key(d, ["file"], [F.col("doc_id")], 100).drop("file")
+    return top_n_per_key(d, ["file"], [F.col("doc_id")], 100).select("doc_id", "lang", F.col("rank").cast("long").alias("rank"))
 
 
-@register("ag13_run_counters")
+@register("ag13_run_counters", S.with_(S.EXTRACTIONS) + """
+SELECT count(*) AS rows, count(arg1_fbid) AS arg1_linked, count(arg2_fbid) AS arg2_linked, count_if(confidence IS NULL) AS invalid_spans
+FROM ex""")
 def ag13_run_counters(spark, sf_dir):
-    """Counters observed while the grouped rows flow (rows, linked, invalid spans); rows-only."""
+    """Counters observed while the rows flow into their sink (rows, linked, invalid spans), as the run reports them."""
     from factweave.streaming.ingest import run_counters
     rows, obs = run_counters(scored_extractions(spark, sf_dir), "extractions")
-    return G.group_summary(G.group_instances(rows)).agg(F.count(F.lit(1)).alias("groups"),
-                                                        F.sum("n_instances").alias("instances"))
+    rows.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([obs.get], "rows long, arg1_linked long, arg2_linked long, invalid_spans long")
+
+
+@register("src17_new_files", """
+WITH f AS (SELECT page_id, url AS path, length(html) AS length, split_part(regexp_extract(url, '[^/]*$'), '.', 1) AS stem FROM pages)
+SELECT path, length, stem FROM f s WHERE page_id % 2 = 0
+  AND NOT EXISTS (SELECT 1 FROM f t WHERE t.page_id % 2 = 1 AND t.length > 0 AND t.stem = s.stem)""")
+def src17_new_files(spark, sf_dir):
+    """SRC17 + JN10 + ST4 over page addresses: the even pages are the source listing, the odd ones the target."""
+    from factweave.streaming.ingest import new_files
+    f = FX.read(spark, sf_dir, "pages").select("page_id", F.col("url").alias("path"), F.length("html").cast("long").alias("length"))
+    return new_files(f.filter("page_id % 2 = 0").drop("page_id"), f.filter("page_id % 2 = 1")).select("path", "length", "stem")
+
+
+@register("jn4_types_to_strings", S.with_(S.TYPE_DIM) + """
+SELECT e.type_enum, d.type FROM (SELECT enum AS type_enum FROM tdim UNION ALL SELECT enum + 7 FROM tdim) e JOIN tdim d ON e.type_enum = d.enum""")
+def jn4_types_to_strings(spark, sf_dir):
+    """JN4, number to string: numbers that no type has are dropped."""
+    dim = FX.type_dim(spark, sf_dir)
+    ints = dim.select(F.col("enum").alias("type_enum")).unionByName(dim.select((F.col("enum") + 7).alias("type_enum")))
+    return AT.types_to_strings(ints, dim).select("type_enum", "type")
 
 
 # ---------------------------------------------------------------------------
@@ -701,13 +724,16 @@ rl AS (
 )"""
 
 PRED_LINES = """plines AS (
-  SELECT t.arg, concat_ws(chr(9), replace(t.arg, chr(9), '_TAB_'), replace(t.types_s, chr(9), '_TAB_'), '',
+  SELECT t.arg, concat_ws(chr(9), replace(t.arg, chr(9), '_TAB_'), replace(t.types_s, chr(9), '_TAB_'), replace(coalesce(n.rels, ''), chr(9), '_TAB_'),
                           CAST(CAST(tt.total_weight AS DECIMAL(38,2)) AS VARCHAR), replace(f.fbids, chr(9), '_TAB_')) AS value,
          t.types_s, CAST(CAST(CAST(tt.total_weight AS DECIMAL(38,2)) AS VARCHAR) AS DOUBLE) AS total_weight, f.fbids
   FROM (SELECT arg, string_agg(replace(type, '@', '_ATSYM_') || '@' || CAST(share AS VARCHAR), ', ' ORDER BY share DESC, enum) AS types_s
         FROM ttypes GROUP BY arg) t
   JOIN totals tt ON t.arg = tt.arg
   JOIN (SELECT arg, string_agg(fbid, ',' ORDER BY rank) AS fbids FROM top WHERE rank <= 5 GROUP BY arg) f ON t.arg = f.arg
+  LEFT JOIN (SELECT arg, string_agg(replace(rel, ':', '_COLON_') || ':' || printf('%.2f', weight_2dp), ', ' ORDER BY weight_2dp DESC, rel) AS rels
+             FROM (SELECT *, row_number() OVER (PARTITION BY arg ORDER BY weight_2dp DESC, rel) AS rn FROM ar) WHERE rn <= 4 GROUP BY arg) n
+    ON t.arg = n.arg
 )"""
 
 
@@ -742,7 +768,7 @@ def src11_phase_one_lines(spark, sf_dir):
 @register("src13_prediction_text", S.with_(*TYPING_CTES, PRED_LINES) + "SELECT arg, value FROM plines")
 def src13_prediction_text(spark, sf_dir):
     tup, dim = typing_inputs(spark, sf_dir)
-    return CD.encode_prediction(T.predict_types(tup, TYPING, dim))
+    return CD.encode_prediction(T.predict_types(tup, dataclasses.replace(TYPING, keep_rel_string=True), dim))
 
 
 @register("src14_prediction_parse", S.with_(*TYPING_CTES, PRED_LINES) + """
@@ -804,16 +830,36 @@ def old_layout_lines(spark, sf_dir):
                                  rng(F.col("rel_start"), F.col("rel_len")), a2, path).alias("value"))
 
 
+def read_old_layout(lines):
+    return OL.convert_old_layout(lines, arg1_col=2, rel_col=3, arg2_col=4, sent_col=1, url_dom_col=0, url_path_col=5)
+
+
+@register("inc6_line_ingest", S.with_(S.text_ctes()) + """
+SELECT arg1, rel, arg2, count(*) AS n FROM (
+  SELECT DISTINCT arg1, rel, arg2, tokens, arg1_start, arg1_len, rel_start, rel_len, arg2_start, arg2_len, url FROM tex
+  WHERE (arg1_start + rel_len) % 11 <> 0 AND (arg1_start + rel_len) % 13 <> 0) GROUP BY arg1, rel, arg2
+UNION ALL
+SELECT NULL, 'skipped lines', NULL, count(*) FROM tex WHERE (arg1_start + rel_len) % 11 = 0 OR (arg1_start + rel_len) % 13 = 0""")
+def inc6_line_ingest(spark, sf_dir):
+    """INC6: lines to groups (their sizes), and how many lines the converter skipped."""
+    lines = old_layout_lines(spark, sf_dir)
+    good = FX.with_norms(read_old_layout(lines)).withColumn("corpus", F.lit("documents"))
+    groups = G.summarize(score(good)).select(*G.KEY, F.col("n_instances").alias("n"))
+    none = F.lit(None).cast("string")
+    kinds = lines.select(F.lit(1).alias("one")).unionByName(good.select(F.lit(-1).alias("one")))
+    skipped = kinds.agg(F.coalesce(F.sum("one"), F.lit(0)).alias("n")).select(none.alias("arg1"), F.lit("skipped lines").alias("rel"), none.alias("arg2"), "n")
+    return groups.unionByName(skipped)
+
+
 @register("src15_old_layout", S.with_(S.text_ctes(), S.annotate_cte()) + f"""
 SELECT 'http://' || split_part(t.url, '/', 1) || '/' || split_part(t.url, '/', 2) AS url,
        {', '.join('t.' + c for c in SPAN_COLS)},
        array_to_string(t.tokens, ' ') AS tokens, array_to_string(a.ptags, ' ') AS postags,
        array_to_string(a.chunks, ' ') AS chunks
-FROM tex_raw t JOIN ann a ON t.doc_id = a.doc_id AND t.sentence = a.sentence
+FROM tex_raw t JOIN ann a ON t.doc_id = a.doc_id AND t.sid = a.sid
 WHERE (t.arg1_start + t.rel_len) % 11 <> 0 AND (t.arg1_start + t.rel_len) % 13 <> 0""")
 def src15_old_layout(spark, sf_dir):
-    out = OL.convert_old_layout(old_layout_lines(spark, sf_dir), arg1_col=2, rel_col=3, arg2_col=4, sent_col=1,
-                                url_dom_col=0, url_path_col=5)
+    out = read_old_layout(old_layout_lines(spark, sf_dir))
     return out.select("url", *SPAN_COLS, F.array_join("tokens", " ").alias("tokens"),
                       F.array_join("postags", " ").alias("postags"), F.array_join("chunks", " ").alias("chunks"))
 
@@ -840,19 +886,18 @@ def pf1_inlink_ratio_arg2(spark, sf_dir):
 
 
 @register("tx5_rekey_groups", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS) + """
-SELECT arg1 || '|' || rel || '|' || arg2 AS gid, arg1, rel, arg2 FROM grp""")
+SELECT """ + S.row_hash("arg1", "rel", "arg2") + """ AS gid, arg1, rel, arg2 FROM grp""")
 def tx5_rekey_groups(spark, sf_dir):
     """Stored groups (gid = their stored key) re-keyed from their first instance."""
-    inst = grouped(spark, sf_dir).withColumn("gid", F.concat_ws("|", *G.KEY))
+    inst = grouped(spark, sf_dir).withColumn("gid", G.row_hash(*G.KEY))
     return G.rekey_groups(inst)
 
 
 @register("inc2_relink_groups", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS, S.LINKED, S.BATCHED, S.LINK_TABLES,
                                         S.FIRST_INST, S.LINK_BEST) + """,
-keys AS (SELECT arg1, rel, arg2, max(CASE WHEN batch = 1 THEN 1 ELSE 0 END) = 1 AS in_incoming
+keys AS (SELECT arg1, rel, arg2, max(CASE WHEN batch = 12 THEN 1 ELSE 0 END) = 1 AS in_incoming
          FROM exb GROUP BY arg1, rel, arg2),
-flags AS (SELECT g.arg1, g.rel, g.arg2,
-                 k.in_incoming AND g.n_instances > 1 AND (g.n_instances < 5 OR g.n_instances % 2 = 0) AS relink
+flags AS (SELECT g.arg1, g.rel, g.arg2, k.in_incoming AS relink
           FROM grp g JOIN keys k ON g.arg1 = k.arg1 AND g.rel = k.rel AND g.arg2 = k.arg2)
 SELECT f.arg1, f.rel, f.arg2, f.relink AS relinked,
        CASE WHEN f.relink THEN l.arg1_fbid ELSE struct_extract(h.e, 'arg1_fbid') END AS arg1_fbid,
@@ -863,8 +908,8 @@ JOIN linked l ON f.arg1 = l.arg1 AND f.rel = l.rel AND f.arg2 = l.arg2""")
 def inc2_relink_groups(spark, sf_dir):
     from factweave.streaming.upsert import merge_batch, relink_groups
     inst, parts = batched(spark, sf_dir)
-    merged, head, flags = merge_batch((inst.filter("batch = 0"), parts.filter("batch = 0")),
-                                      (inst.filter("batch = 1"), parts.filter("batch = 1")), incoming_batch=1)
+    merged, head, flags = merge_batch((inst.filter("batch < 12"), parts.filter("batch < 12")),
+                                      (inst.filter("batch = 12"), parts.filter("batch = 12")), incoming_batch=12)
     anchors, ents = FX.link_tables(spark, sf_dir)
     out = relink_groups(merged, head, flags, anchors, ents)
     return out.select(*G.KEY, "relinked", "arg1_fbid", "arg2_fbid")

@@ -1,9 +1,9 @@
 """DuckDB SQL twins of the registered queries (the correctness oracle).
 
 Each twin restates the fixture views of ``sources.fixtures`` and the operator's semantics
-in plain SQL over the driver's pre-registered views. The oracle uses straightforward
-windows (``row_number``) where the Spark side uses the skew-safe cap; both keep the first n
-rows of each key in the same md5 order.
+in plain SQL over the driver's pre-registered views. Where an operator caps or samples (AG2, AG6),
+the oracle uses straightforward windows (``row_number``) and the Spark side the skew-safe cap; both
+keep the first n rows of each key in the same md5 order.
 """
 
 from __future__ import annotations
@@ -33,6 +33,18 @@ def norm_rel(lst: str) -> str:
     return f"array_to_string(list_transform({kept}, lambda t: {STEM.format(t='t')}), ' ')"
 
 
+def prefixed(x: str) -> str:
+    return f"coalesce(length(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '~')"
+
+
+def row_hash(*xs: str) -> str:
+    return f"md5(concat_ws('|', {', '.join(prefixed(x) for x in xs)}))"
+
+
+INST_ID = row_hash(f"array_to_string(list_transform(tokens, lambda t: {prefixed('t')}), ',')", "arg1_start", "arg1_len", "rel_start",
+                   "rel_len", "arg2_start", "arg2_len", "url", "corpus", "CAST(confidence AS DECIMAL(9,6))")
+
+
 def sl(tokens: str, start: str, length: str) -> str:
     return f"list_slice({tokens}, {start} + 1, {start} + {length})"
 
@@ -103,8 +115,7 @@ ex AS (
   FROM ex_raw
 ),
 ex_i AS (
-  SELECT *, md5(concat_ws('|', array_to_string(tokens, ' '), arg1_start, arg1_len, rel_start, rel_len,
-      arg2_start, arg2_len, url, corpus, CAST(confidence AS DECIMAL(9,6)))) AS inst_id
+  SELECT *, {INST_ID} AS inst_id
   FROM ex
 )"""
 
@@ -114,11 +125,10 @@ TUPLES = """tuples AS (
   FROM ex
 )"""
 
-INSTANCES = f"""inst AS (
+INSTANCES = """inst AS (
   SELECT DISTINCT arg1, rel, arg2, tokens, arg1_start, arg1_len, rel_start, rel_len, arg2_start, arg2_len,
          url, corpus, confidence, inst_id
-  FROM (SELECT *, row_number() OVER (PARTITION BY arg1, rel, arg2 ORDER BY inst_id) AS rn FROM ex_i)
-  WHERE rn <= {C.MAX_GROUP_SIZE}
+  FROM ex_i
 )"""
 
 GROUPS = """grp AS (
@@ -279,15 +289,17 @@ lg AS (
   SELECT g.*, {unstruct('p.e')} FROM grp g JOIN parts p ON g.arg1 = p.arg1 AND g.rel = p.rel AND g.arg2 = p.arg2
 )"""
 
-BATCHED = f"""exb AS (SELECT *, CASE WHEN substr(md5(url), 1, 1) < '8' THEN 0 ELSE 1 END AS batch FROM ex_i),
+BATCHED = f"""exb AS (SELECT *, CASE WHEN substr(md5(url), 1, 1) < '5' THEN 0 WHEN substr(md5(url), 1, 1) < 'a' THEN 3 ELSE 12 END AS batch
+  FROM ex_i),
 bparts AS (
   SELECT batch, arg1, rel, arg2, arg_min({ENT_STRUCT}, {ORDER_FIRST}) AS e FROM exb GROUP BY batch, arg1, rel, arg2
 ),
 head AS (
-  SELECT arg1, rel, arg2,
-         arg_max(e, (CASE WHEN struct_extract(e, 'arg1_fbid') IS NOT NULL OR struct_extract(e, 'arg2_fbid') IS NOT NULL
-                          THEN 1 ELSE 0 END) * 10 - batch) AS e
-  FROM bparts GROUP BY arg1, rel, arg2
+  SELECT arg1, rel, arg2, e FROM (
+    SELECT *, row_number() OVER (PARTITION BY arg1, rel, arg2 ORDER BY
+      CASE WHEN struct_extract(e, 'arg1_fbid') IS NOT NULL OR struct_extract(e, 'arg2_fbid') IS NOT NULL THEN 0 ELSE 1 END, batch) AS rn
+    FROM bparts)
+  WHERE rn = 1
 )"""
 
 
@@ -296,33 +308,32 @@ head AS (
 # ---------------------------------------------------------------------------
 
 def text_ctes() -> str:
-    from factweave.operators.text import CLASS_WORDS, MIN_TOKENS, SENT_SPLIT, TOKEN_RE, TRIPLE_RE_PLAIN
+    from factweave.operators.text import CLASS_WORDS, SENT_SPLIT, TOKEN_RE, TRIPLE_RE_PLAIN, WORD_RE
     cls = " ".join(f"WHEN t IN ({', '.join(q(w) for w in CLASS_WORDS[k])}) THEN '{k}'" for k in ("D", "P", "C", "V", "R"))
     return f"""sents AS (
-  SELECT DISTINCT doc_id, url, sentence FROM (
-    SELECT doc_id, concat_ws('/', source, CAST(doc_id AS VARCHAR)) AS url,
-           unnest(regexp_split_to_array(text, {q(SENT_SPLIT)})) AS sentence
-    FROM documents WHERE lang = 'en')
+  SELECT doc_id, url, unnest(s) AS sentence, unnest(range(1, len(s) + 1)) AS sid FROM (
+    SELECT doc_id, concat_ws('/', source, CAST(doc_id AS VARCHAR)) AS url, regexp_split_to_array(text, {q(SENT_SPLIT)}) AS s
+    FROM documents)
 ),
 toks AS (
   SELECT * FROM (SELECT *, regexp_extract_all(lower(sentence), {q(TOKEN_RE)}, 0) AS tokens FROM sents)
-  WHERE len(tokens) >= {MIN_TOKENS}
+  WHERE len(tokens) > 0
 ),
 tg AS (
   SELECT *, {', '.join(f"regexp_extract_all(tags, {q(TRIPLE_RE_PLAIN)}, {i}) AS g{i}" for i in range(1, 5))}
-  FROM (SELECT *, array_to_string(list_transform(tokens, lambda t: CASE {cls} WHEN t LIKE '%ly' THEN 'R' ELSE 'N' END), '') AS tags
+  FROM (SELECT *, array_to_string(list_transform(tokens, lambda t: CASE {cls} WHEN NOT regexp_matches(t, {q(WORD_RE)}) THEN 'O' WHEN t LIKE '%ly' THEN 'R' ELSE 'N' END), '') AS tags
         FROM toks)
 ),
 mm AS (
   SELECT *, length(g1[k]) AS l1, length(g2[k]) AS l2, length(g3[k]) AS l3, length(g4[k]) AS l4
-  FROM (SELECT doc_id, url, sentence, tokens, g1, g2, g3, g4, unnest(range(1, len(g2) + 1)) AS k FROM tg)
+  FROM (SELECT doc_id, url, sid, sentence, tokens, g1, g2, g3, g4, unnest(range(1, len(g2) + 1)) AS k FROM tg)
 ),
 tex_raw AS (
-  SELECT doc_id, url, sentence, tokens, 'documents' AS corpus,
+  SELECT doc_id, url, sid, sentence, tokens, 'documents' AS corpus,
          CAST(a1s AS INTEGER) AS arg1_start, CAST(l2 AS INTEGER) AS arg1_len,
          CAST(a1s + l2 AS INTEGER) AS rel_start, CAST(l3 AS INTEGER) AS rel_len,
          CAST(a1s + l2 + l3 AS INTEGER) AS arg2_start, CAST(l4 AS INTEGER) AS arg2_len
-  FROM (SELECT *, coalesce(sum(l1 + l2 + l3 + l4) OVER (PARTITION BY doc_id, sentence ORDER BY k
+  FROM (SELECT *, coalesce(sum(l1 + l2 + l3 + l4) OVER (PARTITION BY doc_id, sid ORDER BY k
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + l1 AS a1s FROM mm)
 ),
 tex AS (
@@ -334,27 +345,23 @@ tex AS (
   FROM tex_raw
 ),
 tex_i AS (
-  SELECT *, md5(concat_ws('|', array_to_string(tokens, ' '), arg1_start, arg1_len, rel_start, rel_len,
-      arg2_start, arg2_len, url, corpus, CAST(confidence AS DECIMAL(9,6)))) AS inst_id
+  SELECT *, {INST_ID} AS inst_id
   FROM tex
 ),
-tinst AS (
-  SELECT DISTINCT arg1, rel, arg2, url, confidence, inst_id
-  FROM (SELECT *, row_number() OVER (PARTITION BY arg1, rel, arg2 ORDER BY inst_id) AS rn FROM tex_i)
-  WHERE rn <= {C.MAX_GROUP_SIZE}
-)"""
+tinst AS (SELECT DISTINCT arg1, rel, arg2, url, confidence, inst_id FROM tex_i)"""
 
 
 def annotate_cte() -> str:
     pt = " ".join(f"WHEN t = {q(w)} THEN {q(tag)}" for w, tag in C.LEXICON.items())
+    from factweave.operators.text import WORD_RE
     return f"""ann AS (
-  SELECT doc_id, sentence, tokens, ptags,
+  SELECT doc_id, sid, sentence, tokens, ptags,
          list_transform(ct, lambda c, i: CASE WHEN c IS NULL THEN 'O'
               ELSE (CASE WHEN i = 1 OR ct[i - 1] IS DISTINCT FROM c THEN 'B-' ELSE 'I-' END) || c END) AS chunks
   FROM (SELECT *, list_transform(ptags, lambda g: CASE WHEN g IN ('DT', 'NN', 'NNS', 'CD', 'PRP') THEN 'NP'
                       WHEN starts_with(g, 'VB') OR g IN ('MD', 'RB') THEN 'VP'
                       WHEN g IN ('IN', 'TO') THEN 'PP' END) AS ct
-        FROM (SELECT *, list_transform(tokens, lambda t: CASE {pt}
+        FROM (SELECT *, list_transform(tokens, lambda t: CASE {pt} WHEN NOT regexp_matches(t, {q(WORD_RE)}) THEN 'SYM'
                  WHEN regexp_matches(t, '^[0-9]+$') THEN 'CD' WHEN t LIKE '%ly' THEN 'RB' WHEN t LIKE '%ing' THEN 'VBG'
                  WHEN t LIKE '%ed' THEN 'VBD' WHEN t LIKE '%s' THEN 'NNS' ELSE 'NN' END) AS ptags FROM toks))
 )"""
@@ -416,7 +423,6 @@ LINK_BEST = """q AS (
   SELECT r.arg1, r.rel, r.arg2, r.role, h.head, s.src_tokens
   FROM roles r JOIN heads h ON r.arg_text = h.arg_text
   JOIN gsrc s ON r.arg1 = s.arg1 AND r.rel = s.rel AND r.arg2 = s.arg2
-  WHERE length(h.head) >= 3
 ),
 best AS (
   SELECT arg1, rel, arg2, role,
@@ -459,7 +465,7 @@ def record_ctes() -> str:
          'ARG1' AS arg1Tag, 'REL' AS relTag, 'ARG2' AS arg2Tag,
          concat_ws(chr(9), replace(t.sentence, chr(9), ' '), array_to_string(t.tokens, ' '),
                    array_to_string(a.ptags, ' '), array_to_string(a.chunks, ' ')) AS dataString
-  FROM tex t JOIN ann a ON t.doc_id = a.doc_id AND t.sentence = a.sentence
+  FROM tex t JOIN ann a ON t.doc_id = a.doc_id AND t.sid = a.sid
 ),
 rec_lines AS (
   SELECT docname, CASE WHEN eid % 7 = 0 THEN array_to_string(list_slice(string_split(v, chr(9)), 1, 20), chr(9)) ELSE v END AS value

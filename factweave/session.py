@@ -1,9 +1,8 @@
 """Spark session and cluster-facing helpers.
 
-Settings that matter at scale live here: adaptive execution (runtime broadcast
-choice and skew-join splitting), a raised window-group-limit threshold so that the
-per-key caps of the pipeline (150 … 1 000 000 rows per key) are pruned map-side
-before the shuffle, and a checkpoint directory read from the session.
+Settings that matter at scale: adaptive execution (runtime broadcast choice, skew-join splitting,
+partition coalescing) and a checkpoint folder read from the session. The number of shuffle
+partitions is the cluster's own setting.
 """
 
 from __future__ import annotations
@@ -13,68 +12,59 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Largest per-key cap used by the pipeline (pairs per relation); the optimizer plans
-# `row_number() <= n` as a partial (map-side) WindowGroupLimit only below this threshold.
-WINDOW_GROUP_LIMIT_THRESHOLD = 1_000_001
-
 SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.optimizer.windowGroupLimitThreshold": str(WINDOW_GROUP_LIMIT_THRESHOLD),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "factweave",
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "factweave",
               driver_memory: str | None = None, extra: dict | None = None) -> SparkSession:
     """Local or cluster session with the settings the operators are tuned for."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if driver_memory:
         b = b.config("spark.driver.memory", driver_memory)
     for k, v in {**SESSION_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    configure(spark)
-    return spark
+    return configure(spark)
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session (e.g. the driver's)."""
     for k, v in SESSION_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static or locked settings stay as the cluster set them
-            pass
+        spark.conf.set(k, v)
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a scratch folder is created and set.
+    Where it is unset, a local session (tests) gets a scratch folder of its own; on a cluster there is
+    none, because a machine-local folder is not visible to the other machines.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(d)  # named by the cluster conf but not yet registered on the context
-        return d
-    d = tempfile.mkdtemp(prefix="factweave-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not d and sc.master.startswith("local"):
+        d = tempfile.mkdtemp(prefix="factweave-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", d)
+    if d and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)  # named by the configuration but not yet registered on the context
     return d
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Reliable checkpoint into the shared folder (survives executor loss); without such a folder ``df`` as it is."""
+    return df.checkpoint(eager=True) if checkpoint_dir(df.sparkSession) else df
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -81,17 +81,19 @@ def encode_prediction(pred: DataFrame) -> DataFrame:
 def decode_prediction(lines: DataFrame, type_dim: DataFrame, col: str = "value") -> DataFrame:
     """SRC14: needs >= 5 tab fields; types unknown to the dictionary are dropped and a line
     without a known type is dropped; the total uses a plain double parse."""
-    p = lines.select(F.transform(F.split(col, "\t", -1), lambda x: esc(x, C.ESC_TAB, "\t")).alias("p")) \
+    # equal lines are decoded once and repeated at the end, so a line is its own key
+    lines = lines.groupBy(F.col(col).alias("_line")).agg(F.count(F.lit(1)).alias("_times"))
+    p = lines.select("_line", "_times", F.transform(F.split("_line", "\t", -1), lambda x: esc(x, C.ESC_TAB, "\t")).alias("p")) \
         .filter(F.size("p") >= 5)
-    p = p.select(F.try_element_at("p", F.lit(1)).alias("arg"), F.try_element_at("p", F.lit(2)).alias("types_s"), F.try_element_at("p", F.lit(3)).alias("rels_s"),
-                 F.try_element_at("p", F.lit(4)).try_cast("double").alias("total_weight"), F.split(F.try_element_at("p", F.lit(5)), ",", -1).alias("top_fbids"),
-                 F.md5(F.concat_ws("\t", "p")).alias("_line"))
+    p = p.select("_line", "_times", F.try_element_at("p", F.lit(1)).alias("arg"), F.try_element_at("p", F.lit(2)).alias("types_s"),
+                 F.try_element_at("p", F.lit(3)).alias("rels_s"), F.try_element_at("p", F.lit(4)).try_cast("double").alias("total_weight"),
+                 F.split(F.try_element_at("p", F.lit(5)), ",", -1).alias("top_fbids"))
     t = p.select("_line", F.posexplode(F.split("types_s", ", ", -1)).alias("i", "ts")) \
         .select("_line", "i", F.split("ts", "@", -1).alias("x")).filter(F.size("x") >= 2) \
         .select("_line", "i", esc(F.col("x")[0], C.ESC_AT, "@").alias("type"), F.col("x")[1].try_cast("int").alias("share"))
     t = t.join(type_dim.select("type", "enum"), "type", "inner").filter(F.col("share").isNotNull())
     t = t.groupBy("_line").agg(F.array_sort(F.collect_list(F.struct("i", "type", "enum", "share"))).alias("t"))
-    out = p.join(t, "_line", "inner")
+    out = p.join(t, "_line", "inner").withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
     rels = F.filter(F.transform(F.split("rels_s", ", ", -1), lambda r: F.split(r, ":", -1)), lambda x: F.size(x) >= 2)
     return out.select("arg", F.transform("t", lambda x: F.struct(x["type"].alias("type"), x["enum"].alias("enum"),
                                                                   x["share"].alias("share"))).alias("types"),

@@ -23,8 +23,6 @@ from pyspark.sql import functions as F
 from factweave.functions import normalize_arg_tokens, normalize_rel_tokens, span_tokens
 from factweave.session import table_path
 
-NATION_ROWS = 25  # TPC-H nation is a fixed 25-row dimension: safe to broadcast
-
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
@@ -51,7 +49,7 @@ def extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
     s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    sn = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
+    sn = s.join(n, s.s_nationkey == n.n_nationkey)
     df = li.join(p, li.l_partkey == p.p_partkey).join(sn, li.l_suppkey == sn.s_suppkey)
     a1 = F.split(F.concat_ws(" ", "p_name", "p_brand"), " ")
     rl = F.split(F.concat(F.lit("is supplied by "), F.col("n_name")), " ")
@@ -132,7 +130,7 @@ def link_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     pc = li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
     sc = li.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
     p = read(spark, sf_dir, "part").join(pc, F.col("p_partkey") == F.col("l_partkey"), "left")
-    s = read(spark, sf_dir, "supplier").join(F.broadcast(read(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey")) \
+    s = read(spark, sf_dir, "supplier").join(read(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")) \
         .join(sc, F.col("s_suppkey") == F.col("l_suppkey"), "left")
     pf = F.concat(F.lit("m."), F.col("p_partkey").cast("string"))
     sf = F.concat(F.lit("s."), F.col("s_suppkey").cast("string"))
