@@ -93,8 +93,8 @@ TYPING_SQL = S.with_(*TYPING_CTES)
 
 
 def typing_inputs(spark, sf_dir):
-    """Typing tuples and the type dictionary, persisted (read by every typing step)."""
-    return FX.tuples(spark, sf_dir).persist(), FX.type_dim(spark, sf_dir).persist()
+    """Typing tuples and the type dictionary."""
+    return FX.tuples(spark, sf_dir), FX.type_dim(spark, sf_dir)
 
 
 @register("ag6_relation_sample", TYPING_SQL + "SELECT rel, fbid, tkey, h FROM samp")
@@ -172,6 +172,19 @@ def ag11_type_predictions(spark, sf_dir):
     return T.flat_predictions(T.predict_types(tup, TYPING, dim))
 
 
+NATIONS = """tuples AS (
+  SELECT arg1, arg1_fbid, arg1_types, rel, replace(rel, 'supplied by ', '') AS arg2, arg2_fbid, arg2_types,
+         CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) AS row_id FROM ex)"""
+
+
+@register("pf1_typing_arg2", S.with_(S.EXTRACTIONS, NATIONS, *S.typing_ctes("arg2", min_share=1)) + "SELECT * FROM pred")
+def pf1_typing_arg2(spark, sf_dir):
+    """Typing of the second argument: the nation a relation names, typed by the suppliers linked there."""
+    tup, dim = typing_inputs(spark, sf_dir)
+    tup = tup.withColumn("arg2", F.replace("rel", F.lit("supplied by "), F.lit("")))
+    return T.flat_predictions(T.predict_types(tup, T.TyperSettings(role="arg2", min_share_score=1), dim))
+
+
 @register("tk3_notable_relations", TYPING_SQL + """
 SELECT arg, string_agg(rel || ':' || printf('%.2f', weight_2dp), ', ' ORDER BY weight_2dp DESC, rel) AS rels
 FROM (SELECT *, row_number() OVER (PARTITION BY arg ORDER BY weight_2dp DESC, rel) AS rn FROM ar)
@@ -550,6 +563,19 @@ def ag12_link_diff(spark, sf_dir):
     return L.link_diff(parts, out)
 
 
+@register("ag12_link_changes", LINK_SQL + """
+SELECT DISTINCT role, CASE WHEN b IS NULL THEN 'new' WHEN a IS NULL THEN 'lost' ELSE 'changed' END AS kind, argument,
+       b AS fbid_before, a AS fbid_after
+FROM (SELECT 'arg1' AS role, p.arg1 AS argument, p.arg1_fbid AS b, l.arg1_fbid AS a FROM lg p JOIN linked l
+        ON p.arg1 = l.arg1 AND p.rel = l.rel AND p.arg2 = l.arg2
+      UNION ALL
+      SELECT 'arg2', p.arg2, p.arg2_fbid, l.arg2_fbid FROM lg p JOIN linked l ON p.arg1 = l.arg1 AND p.rel = l.rel AND p.arg2 = l.arg2)
+WHERE b IS DISTINCT FROM a""")
+def ag12_link_changes(spark, sf_dir):
+    out, parts, _ = linked_result(spark, sf_dir)
+    return L.link_changes(parts, out)
+
+
 # ---------------------------------------------------------------------------
 # record formats (SRC3, SRC4, SRC6-SRC8)
 # ---------------------------------------------------------------------------
@@ -909,7 +935,7 @@ def inc2_relink_groups(spark, sf_dir):
     from factweave.streaming.upsert import merge_batch, relink_groups
     inst, parts = batched(spark, sf_dir)
     merged, head, flags = merge_batch((inst.filter("batch < 12"), parts.filter("batch < 12")),
-                                      (inst.filter("batch = 12"), parts.filter("batch = 12")), incoming_batch=12)
+                                      (inst.filter("batch = 12"), parts.filter("batch = 12")), incoming_batch=12, store=True)
     anchors, ents = FX.link_tables(spark, sf_dir)
     out = relink_groups(merged, head, flags, anchors, ents)
     return out.select(*G.KEY, "relinked", "arg1_fbid", "arg2_fbid")
