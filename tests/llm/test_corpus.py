@@ -64,7 +64,7 @@ def test_cuts_are_optimal(steps):
 
 def test_packing_round_trip(spark, documents, texts):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = packing.pack(documents, path, with_ids=True).collect()
+    pieces = packing.pack(documents, path, with_ids=True, ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken")).collect()
     library = Tokenizer.from_file(path)
     want = sorted(tuple(library.encode(t or "", add_special_tokens=False).ids + [1]) for _, t in texts)
     docs, sequences = {}, {}

@@ -96,6 +96,23 @@ def test_pieces_of_random_texts():
         assert Pieces(public_tokenizers.path(name), True).lengths([t.encode() for t in texts]) == want
 
 
+def test_ranks_give_the_tokenizers_ids():
+    import random
+
+    import numpy as np
+    random.seed(4)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, pieces = Tokenizer.from_file(path), Pieces(path, False, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    parts = [" ", "  ", "\n", "\n\n", "\t", "\u00a0", "\x1c", "\x85", "a", "The", "é", "'s", "12", "²", ".", "..", "中", "<|endoftext|>", "<|", "ſ", "👍"]
+    texts = ["".join(random.choice(parts) for _ in range(random.randint(0, 20))) for _ in range(8_000)]
+    texts += [f"a{chr(c)}b {chr(c)} 1{chr(c)}{chr(c)}\n{chr(c)}.  {chr(c)}" for c in range(0x32000) if not 0xD800 <= c < 0xE000]
+    texts += ["x" * 30_000, " " * 5_000 + "a", "\n" * 3_000]
+    for i in range(0, len(texts), 10_000):
+        some = texts[i:i + 10_000]
+        want = [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in pieces.ids([t.encode() for t in some])] == want
+
+
 def test_chats_read_back(spark):
     data = [(1, 0, "system", "a&lt;[x]"), (1, 1, "user", None), (1, 2, "assistant", "</s>&amp;&"), (2, None, None, "x"), (2, 1, "to]ol", "[ROLE:a]"),
             (2, 1, "to]ol", "[ROLE:a]"), (None, 0, "user", "<<SYS>>"), (3, 0, "assistant", "x" * 200_000 + "["), (4, 0, "user", "q"), (4, 1, "assistant", "")]
