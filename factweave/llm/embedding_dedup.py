@@ -228,3 +228,22 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.98, block: int = BL
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
                       (F.col("vec_id") == component).alias("kept"))
+
+
+SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reach AS (SELECT a, b FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+c AS (SELECT a, min(b) AS least FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS links FROM l GROUP BY a)
+SELECT vec_id, coalesce(links, 0) AS n_links, least(vec_id, coalesce(c.least, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(c.least, vec_id)) AS kept
+FROM embeddings LEFT JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a
+"""

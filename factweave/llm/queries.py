@@ -6,15 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factweave.llm import chat, topk
+from factweave.llm import chat, embedding_dedup, substrings, topk
 from factweave.llm.common import table
-from factweave.llm.embedding_dedup import embedding_dedup
 from factweave.llm.mixing import mix_sizes
 from factweave.llm.packing import pack
 from factweave.llm.quality import quality_scores
 from factweave.llm.secret_scan import secret_scan
 from factweave.llm.simhash import simhash_components
-from factweave.llm.substrings import dedup_substrings
 from factweave.llm.token_counts import token_counts
 
 
@@ -27,7 +25,7 @@ def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_substrings(table(spark, sf_dir, "documents"), window=50)
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents"), window=50)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +42,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.98)
+    return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +70,8 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
 }
-SQL: dict[str, str] = {"op2_top_k": topk.SQL, "op8_chat_formatting": chat.SQL}
+SQL: dict[str, str] = {"op2_top_k": topk.SQL, "op3_substring_dedup": substrings.SQL, "op7_embedding_dedup": embedding_dedup.SQL,
+                       "op8_chat_formatting": chat.SQL}
 
 
 def registered() -> tuple[dict, dict]:

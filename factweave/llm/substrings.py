@@ -188,3 +188,25 @@ def dedup_substrings(docs: DataFrame, window: int = 50, with_text: bool = False)
     if with_text:
         columns.append(F.when(copy, F.lit("")).otherwise(F.col("kept")).alias("kept"))
     return out.select("doc_id", "n_words", *columns)
+
+
+SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, len(words) AS n, unnest(range(1, len(words) + 1)) AS pos, unnest(words) AS word FROM d),
+win AS (
+  SELECT doc_id, pos, word, n, CASE WHEN pos <= n - 49 THEN md5(string_agg(word, ' ') OVER (
+    PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)) END AS h FROM w
+),
+first AS (SELECT h, min(doc_id) AS least FROM win WHERE h IS NOT NULL GROUP BY h),
+gone AS (
+  SELECT win.doc_id, pos, word, max(CASE WHEN least < win.doc_id THEN 1 ELSE 0 END) OVER (
+    PARTITION BY win.doc_id ORDER BY pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS removed
+  FROM win LEFT JOIN first ON win.h = first.h
+),
+kept AS (
+  SELECT doc_id, CAST(sum(removed) AS BIGINT) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE removed = 0) AS left_words
+  FROM gone GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(left_words, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""

@@ -16,7 +16,7 @@ def test_all_operators_are_registered():
     assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
 
 
-@pytest.mark.parametrize("name", ["op2_top_k", "op8_chat_formatting"])
+@pytest.mark.parametrize("name", ["op2_top_k", "op3_substring_dedup", "op7_embedding_dedup", "op8_chat_formatting"])
 def test_query_matches_sql(spark, name):
     r = check(spark, duck(SF_SMALL), name, E.queries()[name], E.oracle_sql()[name], SF_SMALL)
     assert r["match"], r
