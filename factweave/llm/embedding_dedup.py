@@ -9,13 +9,14 @@ rotation, and for a pair of cosine c it errs by at most sqrt(1 - c^2) * sqrt(1 -
 the part of q orthogonal to o). Pairs whose estimate falls short of the threshold by more than that
 bound cannot link; all others are recomputed exactly in double precision from the vectors themselves.
 
-Candidates: the signs of the first ``bits`` rotated components are a cell. A pair within the threshold
-is at distance at most t = sqrt(2 - 2c). If the sign of component i differs, (|x_i| + |y_i|)^2 counts
-towards t^2, so for one of the two the squares of its flipped components sum to at most t^2 / 2. Every
-vector therefore visits, beside its own cell, all cells that it reaches by flipping components of at
-most that total, and every linked pair meets in the home cell of one of the two: nothing is missed. A
-pair that meets twice counts in the smaller cell only, decided from integers that travel with the
-rows. ``bits`` grows with the logarithm of the number of vectors.
+Candidates: the rotated components are cut into ``bands`` of ``bits``; the signs of a band are a cell. A
+pair within the threshold is at squared distance at most t^2 = 2 - 2c, and in some band at most t^2 / bands.
+If the sign of component i differs, (|x_i| + |y_i|)^2 counts towards it, so in that band the squares of one
+vector's flipped components sum to at most t^2 / (2 bands). Every vector therefore visits, beside its own
+cell of a band, all cells that it reaches by flipping components of at most that total, and every linked
+pair meets in the home cell of one of the two: nothing is missed. A pair that meets more than once counts
+in the first band and the smaller cell only, decided from integers that travel with the rows. ``bits``
+grows with the logarithm of the largest label, so that a cell holds about ``TARGET`` vectors.
 
 A cell of over ``BLOCK`` vectors is dealt into blocks and each two blocks meet in a task of their own
 (the table of such cells is stored first). A task emits for each vector the links it found and a root
@@ -24,12 +25,14 @@ contraction in the shared folder.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components, and rows
 with a null label or id, link with nothing (0 links, their own component); vectors of different
-dimension do not link; a repeated row is one more vector with the same id; an empty table gives an
+dimension do not link; a repeated row is one more vector with the same id (an id
+stands for one vector: rows of one id with different vectors share their links); an empty table gives an
 empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -41,7 +44,7 @@ from factweave.llm.common import components, ship, stored
 from factweave.llm.vectors import group_runs, matrix, usable
 
 BLOCK = 2048
-TARGET = 512        # vectors a cell should hold on average
+TARGET = 4096       # vectors a cell should hold on average
 _ROTATIONS: dict[int, np.ndarray] = {}
 _SLACK = 1e-9
 UNIT = 1 << 40      # costs of flips are integers: squares in this unit, rounded down
@@ -55,9 +58,15 @@ def rotation(dim: int) -> np.ndarray:
     return _ROTATIONS[dim]
 
 
-def flip_budget(threshold: float) -> int:
-    """Half of the squared distance of a pair at the threshold, (2 - 2c) / 2, in ``UNIT``."""
-    return math.ceil((1 - threshold + _SLACK) * UNIT)
+def flip_budget(threshold: float, bands: int) -> int:
+    """A band's share of half of the squared distance of a pair at the threshold, (2 - 2c) / 2, in ``UNIT``."""
+    return math.ceil((1 - threshold + _SLACK) / bands * UNIT)
+
+
+def layout(bits: int, dim: int) -> tuple[int, int]:
+    """(bands, bits of a band): one band while cells are few, else four, within 62 signs and the dimension."""
+    bands = 1 if bits <= 3 or dim < 16 else 4
+    return bands, max(1, min(bits, dim // bands, 62 // bands))
 
 
 def flips(cost: list[int], budget: int) -> list[int]:
@@ -76,8 +85,8 @@ def flips(cost: list[int], budget: int) -> list[int]:
 
 
 def _visits(classes: DataFrame, threshold: float, bits: int) -> DataFrame:
-    """(label, dim, cell, home, cost, rep, size, v): every class in its home cell and the cells it visits."""
-    budget = flip_budget(threshold)
+    """(label, dim, band, cell, home, cost, rep, size, v): every class in its home cell and the cells it visits, in each band.
+    ``home`` holds the signs of all bands, ``cost`` the squares of their components."""
 
     def run(batches):
         for batch in batches:
@@ -87,26 +96,32 @@ def _visits(classes: DataFrame, threshold: float, bits: int) -> DataFrame:
                 x = matrix(part.column("v"), dim).astype(np.float64)
                 x /= np.abs(x).max(axis=1)[:, None]
                 x = (x / np.linalg.norm(x, axis=1)[:, None]) @ rotation(dim).T
-                k = min(bits, dim)
-                cost = np.floor(x[:, :k] ** 2 * UNIT).astype(np.int64)
-                home = ((x[:, :k] >= 0).astype(np.int64) << np.arange(k)).sum(axis=1)
-                for start in range(0, part.num_rows, 512):
-                    sets = [flips(c, budget) for c in cost[start:start + 512].tolist()]
+                bands, k = layout(bits, dim)
+                budget = flip_budget(threshold, bands)
+                cost = np.floor(x[:, :bands * k] ** 2 * UNIT).astype(np.int64)
+                home = ((x[:, :bands * k] >= 0).astype(np.int64) << np.arange(bands * k)).sum(axis=1)
+                for band, start in itertools.product(range(bands), range(0, part.num_rows, 512)):
+                    sets = [flips(c, budget) for c in cost[start:start + 512, band * k:(band + 1) * k].tolist()]
                     row = np.repeat(np.arange(start, start + len(sets)), [len(s) for s in sets])
-                    cell = home[row] ^ np.array([b for s in sets for b in s], np.int64)
+                    cell = (home[row] >> band * k & (1 << k) - 1) ^ np.array([b for s in sets for b in s], np.int64)
                     take = part.take(pa.array(row))
                     raw = [c.tobytes() for c in cost[start:start + 512]]
                     yield pa.RecordBatch.from_arrays(
-                        [take.column("label"), take.column("dim"), pa.array(cell), pa.array(home[row]), pa.array([raw[i - start] for i in row.tolist()], pa.binary()),
-                         take.column("rep"), take.column("size"), take.column("v")], names=["label", "dim", "cell", "home", "cost", "rep", "size", "v"])
+                        [take.column("label"), take.column("dim"), pa.array(np.full(len(row), band, np.int32)), pa.array(cell), pa.array(home[row]),
+                         pa.array([raw[i - start] for i in row.tolist()], pa.binary()), take.column("rep"), take.column("size"), take.column("v")],
+                        names=["label", "dim", "band", "cell", "home", "cost", "rep", "size", "v"])
 
     label, vector = classes.schema["label"].dataType.simpleString(), classes.schema["v"].dataType.simpleString()
-    return classes.select("label", "dim", "rep", "size", "v").mapInArrow(run, f"label {label}, dim int, cell long, home long, cost binary, rep long, size long, v {vector}")
+    return classes.select("label", "dim", "rep", "size", "v").mapInArrow(run, f"label {label}, dim int, band int, cell long, home long, cost binary, rep long, size long, v {vector}")
 
 
-def linked_pairs(v: np.ndarray, home: np.ndarray, cost: np.ndarray, block: np.ndarray, cell: int, tile: tuple[int, int], threshold: float, budget: int):
-    """Indices (i, j), i < j, of the linked pairs this tile of this cell owns."""
+def linked_pairs(v: np.ndarray, home: np.ndarray, cost: np.ndarray, block: np.ndarray, band: int, cell: int, tile: tuple[int, int],
+                 threshold: float, bits: int):
+    """Indices (i, j) of the linked pairs this tile of this cell owns."""
     dim = v.shape[1]
+    bands, k = layout(bits, dim)
+    budget = flip_budget(threshold, bands)
+    all_homes, home = home, home >> band * k & (1 << k) - 1
     x = v.astype(np.float64)
     x /= np.abs(x).max(axis=1)[:, None]
     x /= np.linalg.norm(x, axis=1)[:, None]
@@ -134,10 +149,11 @@ def linked_pairs(v: np.ndarray, home: np.ndarray, cost: np.ndarray, block: np.nd
             right.append(q[exact])
     a, b = (np.concatenate(s) if s else np.zeros(0, int) for s in (left, right))
     # a is at home here; if b is not, the pair also meets in b's home when a can visit it: the smaller cell owns it
-    differ = (home[a] ^ home[b])[:, None] >> np.arange(cost.shape[1]) & 1
-    meets_there = (differ * cost[a]).sum(axis=1) <= budget
-    mine = (home[b] == cell) | ~meets_there | (home[a] < home[b])
-    return a[mine], b[mine]
+    differ = ((all_homes[a] ^ all_homes[b])[:, None] >> np.arange(bands * k) & 1).reshape(-1, bands, k)
+    reach = [(differ * cost[i].reshape(-1, bands, k)).sum(axis=2) <= budget for i in (a, b)]  # (pairs, bands): whether i visits the other
+    mine = (home[b] == cell) | ~reach[0][:, band] | (home[a] < home[b])
+    earlier = (reach[0] | reach[1])[:, :band].any(axis=1)
+    return a[mine & ~earlier], b[mine & ~earlier]
 
 
 def _cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -158,9 +174,9 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> list[int]:
     return parent
 
 
-def _found(visits: DataFrame, threshold: float, block: int) -> DataFrame:
+def _found(visits: DataFrame, threshold: float, block: int, bits: int) -> DataFrame:
     """(rep, links, root): per tile, the links of each class that has some and a root that connects it."""
-    cells = ["label", "dim", "cell"]
+    cells = ["label", "dim", "band", "cell"]
     big = visits.groupBy(*cells).agg(F.count(F.lit(1)).alias("n"))
     big = stored(big.select(*cells, F.ceil(F.col("n") / block).cast("int").alias("blocks")).filter("blocks > 1"))
     mine = F.coalesce(F.pmod(F.xxhash64("rep", F.lit(3)), F.col("blocks")).cast("int"), F.lit(0))
@@ -177,11 +193,11 @@ def _found(visits: DataFrame, threshold: float, block: int) -> DataFrame:
             t = pa.Table.from_batches(held).combine_chunks()
             if t.num_rows < 2:
                 return None
-            dim, cell, lo, hi = (int(t.column(c)[0].as_py()) for c in ("dim", "cell", "lo", "hi"))
+            dim, band, cell, lo, hi = (int(t.column(c)[0].as_py()) for c in ("dim", "band", "cell", "lo", "hi"))
             v = matrix(t.column("v").combine_chunks(), dim)
             cost = np.array([np.frombuffer(c, np.int64) for c in t.column("cost").to_pylist()])
             home, size, rep = (t.column(c).to_numpy() for c in ("home", "size", "rep"))
-            a, b = linked_pairs(v, home, cost, t.column("block").to_numpy(), cell, (lo, hi), threshold, flip_budget(threshold))
+            a, b = linked_pairs(v, home, cost, t.column("block").to_numpy(), band, cell, (lo, hi), threshold, bits)
             if not len(a):
                 return None
             links = np.zeros(len(rep), np.int64)
@@ -217,8 +233,9 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.98, block: int = BL
     valid = rows.filter(usable("v") & nonzero & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
     classes = stored(valid.groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("size")).withColumn("dim", F.size("v")))
     if bits is None:
-        bits = min(32, max(4, math.ceil(math.log2(max(1, classes.count()) / TARGET))))
-    found = stored(_found(stored(_visits(classes, threshold, bits)), threshold, block))
+        largest = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+        bits = max(1, math.ceil(math.log2(largest / TARGET)))
+    found = stored(_found(stored(_visits(classes, threshold, bits)), threshold, block, bits))
     comp = components(classes.select(F.col("rep").alias("id")).distinct(), found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     sums = found.groupBy("rep").agg(F.sum("links").alias("links"))
     of_class = classes.join(comp.withColumnRenamed("id", "rep"), "rep").join(sums, "rep", "left") \
