@@ -51,12 +51,15 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
     """Send the package to the executors once per application, so that tasks can import it wherever it is installed."""
     if spark.sparkContext.applicationId in _SHIPPED:
         return
+    if spark.conf.get(ARROW_ROWS) == "10000":  # Spark's default: texts of 100 KB would make batches of 1 GB
+        spark.conf.set(ARROW_ROWS, "1000")
     root = Path(__file__).resolve().parents[1]
     archive = f"{tempfile.mkdtemp(prefix='factweave-')}/factweave.zip"
     with zipfile.ZipFile(archive, "w") as z:
@@ -71,20 +74,25 @@ def null_safe_text(col: str = "text") -> F.Column:
 
 
 def byte_chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of the Arrow batches holding about ``limit`` bytes of text each (at least one row), with their texts as UTF-8 bytes."""
+    """Rows regrouped into batches holding about ``limit`` bytes of text each (one row at least), with their texts as UTF-8 bytes."""
+    held, values, size = [], [], 0
+
+    def chunk():
+        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
     for batch in batches:
-        i = batch.schema.get_field_index(text)
-        raw = batch.column(i).cast(pa.large_binary())
-        n, start = batch.num_rows, 0
-        while start < n:
-            end, size, values = start, 0, []
-            while end < n and (not values or size < limit):
-                v = raw[end].as_py() or b""
-                values.append(v)
-                size += len(v)
-                end += 1
-            yield batch.slice(start, end - start), values
-            start = end
+        raw, start = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary()), 0
+        for i in range(batch.num_rows):
+            values.append(raw[i].as_py() or b"")
+            size += len(values[-1])
+            if size >= limit:
+                held.append(batch.slice(start, i + 1 - start))
+                yield chunk(), values
+                held, values, size, start = [], [], 0, i + 1
+        if start < batch.num_rows:
+            held.append(batch.slice(start))
+    if values:
+        yield chunk(), values
 
 
 def map_text(df: DataFrame, fn: Callable, schema: str) -> DataFrame:

@@ -31,20 +31,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factweave.llm.common import TOKEN_BYTES, byte_chunks, map_text
-from factweave.llm.tokenizing import pieces_for
+from factweave.llm.tokenizing import pieces_for, read_ranks
 
 LINE_TOKENS = 1 << 20
 SENTENCE_CUT, HARD_CUT = 6.0, 24.0   # penalties in tokens of padding
 HARD_STEP = 256
-_ENDS = (".", "!", "?", "Ċ")      # Ċ is the line feed in a byte-level vocabulary
+_ENDS = (b".", b"!", b"?", b"\n")
 
 
-def sentence_ends(path: str, size: int = 1 << 17) -> np.ndarray:
+def sentence_ends(path: str, ranks_path: str | None = None, size: int = 1 << 17) -> np.ndarray:
     """For every id whether its token closes a sentence or a line."""
-    with open(path, encoding="utf-8") as f:
-        vocabulary = json.load(f)["model"]["vocab"]
     ends = np.zeros(size, bool)
-    for token, i in vocabulary.items():
+    if ranks_path:
+        tokens = read_ranks(ranks_path).items()
+    else:
+        with open(path, encoding="utf-8") as f:  # in a byte-level vocabulary Ċ is the line feed
+            tokens = ((t.replace("Ċ", "\n").encode(), i) for t, i in json.load(f)["model"]["vocab"].items())
+    for token, i in tokens:
         if token.endswith(_ENDS):
             ends[i] = True
     return ends
@@ -105,7 +108,7 @@ def pack(docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int =
     with ``with_ids`` also ``ids``. The pieces of a sequence, by offset, are its tokens without gaps. ``ranks_path``: the
     tokenizer's vocabulary as a rank file, for speed (see ``tokenizing``)."""
     def run(batches):
-        encoder, ends = pieces_for(tokenizer_path, False, ranks_path), sentence_ends(tokenizer_path)
+        encoder, ends = pieces_for(tokenizer_path, False, ranks_path), sentence_ends(tokenizer_path, ranks_path)
         first = TaskContext.get().partitionId() << 40
         line, names, tokens = [], [], 0
 

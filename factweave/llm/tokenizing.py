@@ -45,6 +45,11 @@ def _plain(raw: bytes) -> bool:
                 or not raw.isascii() and (b"\xc2" in raw or b"\xe1" in raw or b"\xe2" in raw or b"\xe3" in raw))
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+
+
 def _long_run(raw: bytes) -> bool:
     """Whether a word or a run of white space is so long that matching by ranks could take more than linear time."""
     return len(raw) >= LONG_RUN and (max(map(len, raw.split()), default=0) >= LONG_RUN or b" " * LONG_RUN in raw or b"\n" * LONG_RUN in raw or b"\t" * LONG_RUN in raw)
@@ -55,26 +60,28 @@ class Pieces:
 
     def __init__(self, path: str, count_only: bool, ranks_path: str | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.count_only, self.cache, self.ranks = count_only, {}, None
-        if path.endswith(".model"):
+        self.path, self.count_only, self.cache, self.ranks = path, count_only, {}, None
+        if ranks_path:  # the tokenizer file is loaded when the first odd text comes
+            import tiktoken
+            self.ranks = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=read_ranks(ranks_path), special_tokens={})
+        else:
+            self._load()
+
+    def _load(self) -> None:
+        self.encode, self.cut = None, "whole"
+        if self.path.endswith(".model"):
             import sentencepiece
-            sp = sentencepiece.SentencePieceProcessor(model_file=path)
-            self.encode, self.cut = lambda texts: sp.encode(texts, num_threads=1), "whole"
+            sp = sentencepiece.SentencePieceProcessor(model_file=self.path)
+            self.encode = lambda texts: sp.encode(texts, num_threads=1)
             return
         from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(path)
-        if count_only:  # lengths of the encodings only: the ids never become Python lists
+        tokenizer = Tokenizer.from_file(self.path)
+        if self.count_only:  # lengths of the encodings only: the ids never become Python lists
             self.encode = lambda texts: tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         else:
             self.encode = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.cut = self._boundaries(spec)
-        if ranks_path and self.cut == "spaced" and not count_only:
-            import tiktoken
-            with open(ranks_path, "rb") as f:
-                ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-            self.ranks = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        with open(self.path, encoding="utf-8") as f:
+            self.cut = self._boundaries(json.load(f))
 
     @staticmethod
     def _boundaries(spec: dict) -> str:
@@ -134,6 +141,8 @@ class Pieces:
         if self.ranks is None:
             return self._all(texts, b"".join)
         odd = [i for i, t in enumerate(texts) if b"<|" in t or _long_run(t)]
+        if odd and not hasattr(self, "encode"):
+            self._load()
         out = [b""] * len(texts)
         for i, ids in zip(odd, self._all([texts[i] for i in odd], b"".join) if odd else ()):
             out[i] = ids
