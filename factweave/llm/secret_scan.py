@@ -39,7 +39,7 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 _IDENTIFIER = re.compile(r"""(?<![A-Za-z0-9_])(?:user(?:name|_?id)?|login|account(?:_?id)?|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@-]{3,}""", re.ASCII | re.IGNORECASE)
-_WORD = re.compile(r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/_-]*[0-9])(?=[^a-z]{0,60}[a-z])(?=[^A-Z]{0,60}[A-Z])[A-Za-z0-9+/_-]{20,}={0,2}")
+_WORD = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[^a-z]{0,60}[a-z])(?=[^A-Z]{0,60}[A-Z])[A-Za-z0-9+/_-]{20,}={0,2}")
 _ENDPOINT = re.compile(r"(?<![A-Za-z0-9])(?:(?:https?|ftp|ssh|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[A-Za-z0-9][^\s\"'<>]*|[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,}:[0-9]{2,5}(?![0-9]))")
 
 # cheap byte tests: a text that passes none of a test's words cannot hold a match of its patterns

@@ -43,6 +43,17 @@ def test_weak_parts_need_a_complement():
     assert kinds("AKIAABCDEFGH and Ab1Ab1Ab1Ab1Ab1Ab1Ab1Ab1") == ["identifier", "weak_secret"]
 
 
+@pytest.mark.parametrize("form", ["{}={}", "{}:{}", "{}: {}", "{} = {}", "{}='{}'", '{}="{}"', '"{}": "{}",', "export {}={}"])
+def test_values_of_any_key_are_weak_secrets(form):
+    value = "wJalrXUtnFEMI/K7MDENG+bPxRfiCYzzzzzzzzKEY=="
+    for key in ("aws_secret_access_key", "pwd", "DB_KEY"):
+        text = form.format("access_key_id", "ASIA12345678") + "\n" + form.format(key, value) + "\n"
+        parts = secret_scan.link(secret_scan.find_parts(text.encode()))
+        assert [p[0] for p in parts] == ["identifier", "weak_secret"] and value in text[parts[1][1]:parts[1][2]], text
+        assert value not in secret_scan.replaced(text, parts, "#")
+        assert secret_scan.link(secret_scan.find_parts(form.format(key, value).encode())) == []
+
+
 def test_link_equals_all_pairs():
     text = "".join(f"user: bob{i} " + "." * (i * 37 % 250) + (f"pwd1 token=a{i} " if i % 2 else "https://h.example/x ") for i in range(60))
     parts = secret_scan.find_parts(text.encode())
