@@ -8,8 +8,13 @@ identifier or secret is reported only when a complementary part stands within ``
 points: an identifier needs a secret nearby, a secret an identifier or an endpoint; the endpoint is
 reported with the credential it belongs to. Base spans count as complementary parts but always stay.
 
+Parts are intervals, and the distance of two is the gap between them: the start of the later minus the
+end of the earlier, 0 where they overlap. Identifiers and secrets inside an endpoint link like any
+other part, with the endpoint too; there ``/`` ends a word unless it follows ``=``, else each path
+would be one. Linked weak parts that overlap are reported as one span, under the first one's kind.
+
 The interval join is a sweep over the parts of one text in order of position: each weak part asks
-whether the nearest complementary part on either side starts within its scope, so it costs
+whether the nearest complementary part on either side ends or starts within its scope, so it costs
 n log n of a text's own parts and lists no pairs. A scope never crosses a document, hence the whole
 operator is one pass without a shuffle, and a lost executor costs its own partitions only.
 
@@ -22,7 +27,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +46,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 _IDENTIFIER = re.compile(r"""(?<![A-Za-z0-9_])(?:user(?:name|_?id)?|login|account(?:_?id)?|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@-]{3,}""", re.ASCII | re.IGNORECASE)
 _WORD = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[^a-z]{0,60}[a-z])(?=[^A-Z]{0,60}[A-Z])[A-Za-z0-9+/_-]{20,}={0,2}")
+_URL_WORD = re.compile(r"(?:(?<==)[A-Za-z0-9+/_-]{20,}|(?<![A-Za-z0-9+_-])[A-Za-z0-9+_-]{20,})={0,2}")  # letters and digits are tested apart
+_MIXED = re.compile(r"(?=[^0-9]*[0-9])(?=[^a-z]*[a-z])[^A-Z]*[A-Z]")
 _ENDPOINT = re.compile(r"(?<![A-Za-z0-9])(?:(?:https?|ftp|ssh|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[A-Za-z0-9][^\s\"'<>]*|[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,}:[0-9]{2,5}(?![0-9]))")
 
 # cheap byte tests: a text that passes none of a test's words cannot hold a match of its patterns
@@ -52,7 +60,11 @@ _HEX_RUN = re.compile(rb"[0-9a-f]{16}")
 
 
 def find_parts(raw: bytes) -> list[tuple[str, int, int]]:
-    """Base spans and weak parts of one text, sorted by start and kind. Weak parts inside a base span are left out."""
+    """Base spans and weak parts of one text, sorted by start and kind.
+
+    Of identifiers and weak secrets that overlap, the first stays, and those touching a base span are left out; an
+    endpoint is left out only inside a base span, and hides no other part.
+    """
     low = raw.lower()
     wanted = {k for k, marks in _MARKS.items() if any(m in low for m in marks)}
     has_hex, has_word, has_access = _HEX_RUN.search(raw), _DIGIT_WORD.search(raw), b"AKIA" in raw
@@ -80,13 +92,19 @@ def find_parts(raw: bytes) -> list[tuple[str, int, int]]:
                 weak.append(("weak_secret", *m.span()))
     if "identifier" in wanted:
         weak += [("identifier", *m.span()) for m in _IDENTIFIER.finditer(text)]
+    endpoints = [("endpoint", *m.span()) for m in _ENDPOINT.finditer(text)] if "endpoint" in wanted or _PORT.search(raw) else []
     if has_word:
-        weak += [("weak_secret", *m.span()) for m in _WORD.finditer(text)]
-    if "endpoint" in wanted or _PORT.search(raw):
-        weak += [("endpoint", *m.span()) for m in _ENDPOINT.finditer(text)]
-    out = sorted(base, key=lambda s: s[1])
+        begins = [s for _, s, _ in endpoints]
+        for m in _WORD.finditer(text):
+            i = bisect_right(begins, m.start())
+            if not i or endpoints[i - 1][2] <= m.start():
+                weak.append(("weak_secret", *m.span()))
+        for _, s, e in endpoints:
+            weak += [("weak_secret", *m.span()) for m in _URL_WORD.finditer(text, s, e) if _MIXED.match(m[0])]
+    base.sort(key=lambda s: s[1])
+    out = base
     if weak:
-        kept, covered = [], sorted(base, key=lambda s: s[1])
+        kept, covered = [], base
         weak.sort(key=lambda s: (s[1], -s[2]))
         i = end = 0
         for s in weak:  # both lists run by start; a weak part touching a base span or an earlier weak part is dropped
@@ -96,6 +114,9 @@ def find_parts(raw: bytes) -> list[tuple[str, int, int]]:
                 kept.append(s)
                 end = s[2]
         out = out + kept
+    if endpoints:
+        starts, ends = [s[1] for s in base], list(accumulate((s[2] for s in base), max))
+        out += [p for p in endpoints if not (i := bisect_right(starts, p[1])) or ends[i - 1] < p[2]]
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
@@ -105,21 +126,36 @@ def joined(spans) -> str:
 
 def link(parts: list[tuple[str, int, int]], scope: int = SCOPE) -> list[tuple[str, int, int]]:
     """Base spans plus the weak parts that a complementary part within ``scope`` code points confirms."""
-    starts = {r: [s for k, s, _ in parts if ROLE[k] == r] for r in ("id", "secret", "end")}  # ascending, as parts are
+    at = {r: [(s, e) for k, s, e in parts if ROLE[k] == r] for r in ("id", "secret", "end")}  # by start, as parts are
+    starts = {r: [s for s, _ in spans] for r, spans in at.items()}
+    ends = {r: list(accumulate((e for _, e in spans), max)) for r, spans in at.items()}  # the last end so far: spans may nest
 
-    def near(role, at):
-        i = bisect_left(starts[role], at - scope)
-        return i < len(starts[role]) and starts[role][i] <= at + scope
+    def near(role, start, end):
+        i = bisect_left(starts[role], start)
+        return i > 0 and start - ends[role][i - 1] <= scope or i < len(starts[role]) and starts[role][i] - end <= scope
 
     complement = {"id": ("secret",), "secret": ("id", "end"), "end": ("secret",)}
-    return [p for p in parts if p[0] in BASE or any(near(r, p[1]) for r in complement[ROLE[p[0]]])]
+    return [p for p in parts if p[0] in BASE or any(near(r, p[1], p[2]) for r in complement[ROLE[p[0]]])]
+
+
+def reported(parts: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Linked parts as spans: base spans as they are, overlapping weak parts as one span of the first one's kind."""
+    out, last = [p for p in parts if p[0] in BASE], None
+    for k, s, e in sorted((p for p in parts if p[0] not in BASE), key=lambda p: (p[1], -p[2])):
+        if last and s < last[2]:
+            last = (last[0], last[1], max(last[2], e))
+            out[-1] = last
+        else:
+            last = (k, s, e)
+            out.append(last)
+    return sorted(out, key=lambda p: (p[1], KINDS.index(p[0])))
 
 
 def secret_scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked) of every document."""
     def run(batches):
         for rows, texts in byte_chunks(batches, "text"):
-            found = [link(find_parts(t)) for t in texts]
+            found = [reported(link(find_parts(t))) for t in texts]
             base = [[s for s in f if s[0] in BASE] for f in found]
             yield ([rows.column(0)] + [[sum(s[0] == k for s in b) for b in base] for k in BASE]
                    + [[hashlib.sha256(joined(b).encode()).hexdigest() for b in base], [joined(f) for f in found],

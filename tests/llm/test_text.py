@@ -1,6 +1,7 @@
 """Secret scans, token counts, chat formatting and the classifier."""
 
 import hashlib
+import random
 import zlib
 
 import public_tokenizers
@@ -63,6 +64,34 @@ def test_link_equals_all_pairs():
     assert secret_scan.link(parts) == want and len(want) < len(parts)
 
 
+def test_link_is_on_the_gap_between_intervals():
+    random.seed(5)
+    pieces = ["user=bob{} ", "token=a{} ", "0123456789abcdef{:03d} ", "https://h.example/{}" + "x" * 260 + " ", "https://h.example/cb?client_id=acme{}&sig=0123456789abcdef01 ", "token=" + "j.W" * 100 + "{} "]
+    needs, role, scope = {"id": {"secret"}, "secret": {"id", "end"}, "end": {"secret"}}, secret_scan.ROLE, secret_scan.SCOPE
+    for _ in range(40):
+        text = "".join("." * random.randint(0, 500) + " " + random.choice(pieces).format(i) for i in range(30))
+        parts = secret_scan.find_parts(text.encode())
+        gap = lambda a, b: max(0, a[1] - b[2], b[1] - a[2])
+        want = [p for p in parts if p[0] in secret_scan.BASE or any(role[q[0]] in needs[role[p[0]]] and gap(p, q) <= scope for q in parts)]
+        assert secret_scan.link(parts) == want
+
+
+def test_long_and_nested_parts_link():
+    def spans(t):
+        return [(k, t[s:e]) for k, s, e in secret_scan.reported(secret_scan.link(secret_scan.find_parts(t.encode())))]
+
+    jwt = "token=" + "eyJ.x-Y" * 43
+    assert spans(jwt + "\nuser=bob") == [("assign", jwt), ("identifier", "user=bob")]
+    far = "https://h.example/" + "z" * 250
+    assert spans(far + " 0123456789abcdef0123") == [("endpoint", far), ("weak_secret", "0123456789abcdef0123")]
+    url = "https://h.example/cb?client_id=acme&sig=0123456789abcdef0123"
+    assert spans("see " + url) == [("endpoint", url)]
+    assert spans("https://h.example/cb?token=abcdefgh&sig=0123456789abcdef0123") == \
+        [("endpoint", "https://h.example/cb?token=abcdefgh&sig=0123456789abcdef0123"), ("assign", "token=abcdefgh")]
+    assert spans("https://h.example/Articles/2020/05/some-title-of-a-page") == []
+    assert secret_scan.replaced("a " + url + " b", secret_scan.link(secret_scan.find_parts(("a " + url + " b").encode())), "#") == "a # b"
+
+
 def test_redaction_keeps_rows_and_hides_spans(documents):
     out = secret_scan.redact(documents)
     assert out.schema.simpleString() == documents.schema.simpleString() and out.count() == documents.count()
