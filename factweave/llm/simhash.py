@@ -19,6 +19,7 @@ Defined results: null and empty texts have fingerprint zero and link like any ot
 one document if their texts give the same fingerprint, else the id carries each of its fingerprints
 and ties their groups; null ids are kept, never linked, and are their own (null) component; an empty
 table gives an empty result; other columns are not read (``near_dedup`` returns them unchanged).
+``near_dedup`` does not tie the groups of an id's fingerprints: it keeps one row per group of texts.
 """
 
 from __future__ import annotations
@@ -160,8 +161,40 @@ def simhash_components(docs: DataFrame, shingle: int = 4, radius: int = 4, block
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
+def survivors(marked: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
+    """(doc_id, fp): of each component of fingerprints the document that stays, by its least id, then its least fingerprint."""
+    reps = stored(marked.filter(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("least")))
+    comp = components(reps.select(F.col("fp").alias("id")), links(reps.select("fp"), radius, block))
+    return comp.join(reps, F.col("id") == F.col("fp")).groupBy("component_id") \
+        .agg(F.min(F.struct("least", "fp")).alias("stays")).select(F.col("stays.least").alias("doc_id"), F.col("stays.fp").alias("fp"))
+
+
 def near_dedup(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """``docs`` with one document of each component: the one whose id names it (once), and rows with a null id."""
-    comp = simhash_components(docs, shingle, radius)
-    gone = comp.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(stored(gone), "doc_id", "left_anti")
+    """``docs`` with one row of each component of fingerprints, and all rows with a null id.
+
+    Components tie fingerprints, not ids: an id with unlike texts stands in the component of each of them.
+    Ids of one row are decided by id alone. Rows of an id that occurs more often are fingerprinted again, and
+    of those with the surviving (id, fingerprint) the one of least hash is taken.
+    """
+    marked = stored(fingerprints(docs, shingle))
+    stay = stored(survivors(marked, radius))
+    ids = stored(marked.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
+    often = stored(ids.filter("n > 1").select("doc_id"))
+    gone = stored(ids.filter("n = 1").join(stay, "doc_id", "left_anti").select("doc_id").unionByName(often))
+    single = docs.join(gone, "doc_id", "left_anti")
+    stay = stored(stay.join(often, "doc_id", "left_semi"))
+    columns = docs.columns
+    names = [f"c{i}" for i in range(len(columns))]  # names of the input cannot clash with those added here
+    at = dict(zip(columns, names))
+    rows = docs.toDF(*names)
+    rows = rows.join(stay.select(F.col("doc_id").alias(at["doc_id"])).distinct(), at["doc_id"], "left_semi").select(*names)
+    rows = rows.withColumn("text", F.col(at["text"]).cast("string"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("text").schema.fields) + ", fp long"
+
+    def run(batches):
+        for part, texts in byte_chunks(batches, "text"):
+            yield [part.column(i) for i in range(len(names))] + [pa.array(np.array([fingerprint(t, shingle) for t in texts], "<u8").view("<i8"))]
+
+    rows = map_text(rows, run, schema).join(stay.select(F.col("doc_id").alias(at["doc_id"]), "fp"), [at["doc_id"], "fp"], "left_semi")
+    one = rows.groupBy(at["doc_id"], "fp").agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row"))
+    return single.select(*columns).unionByName(one.select(*[F.col(f"row.{n}").alias(c) for c, n in at.items()]))

@@ -148,6 +148,23 @@ def test_simhash(spark, documents, texts, block):
         assert simhash.simhash_components(df.limit(0)).count() == 0
 
 
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    random.seed(1)
+    text = lambda: " ".join("".join(random.choices("abcdefghij", k=6)) for _ in range(200))
+    five, own, odd, twice, both = (text() for _ in range(5))
+    near = own + " x"
+    data = [(5, five), (7, five), (7, own), (8, near), (9, odd), (3, twice), (3, twice), (3, twice), (4, twice), (None, odd), (None, odd), (20, both), (20, both + " y"), (21, both)]
+    prints = [simhash.fingerprint(t.encode(), 4) for t in (own, near, both, both + " y")]
+    assert (prints[0] ^ prints[1]).bit_count() <= 4 and (prints[2] ^ prints[3]).bit_count() <= 4
+    df = spark.createDataFrame(data, "doc_id long, text string").selectExpr("*", "1 AS fp", "'z' AS c1", "length(text) AS n_chars").repartition(3)
+    out = simhash.near_dedup(df)
+    assert out.columns == df.columns
+    got = sorted([(r.doc_id, r.text) for r in out.collect()], key=repr)
+    least = [g for g in got if g[0] == 20]
+    assert len(least) == 1 and least[0][1].startswith(both)
+    assert sorted([g for g in got if g[0] != 20], key=repr) == sorted([(5, five), (7, own), (9, odd), (3, twice), (None, odd), (None, odd)], key=repr)
+
+
 def test_masks_cover_every_difference():
     import itertools
     kept = simhash.masks(2, bits=16)
