@@ -11,17 +11,21 @@ and size only, so a step reads the (source, size) histogram, not the documents:
 a partial sum, joined to the table of multipliers. Sums are taken over integers, so the order of rows
 cannot change a digit and reruns agree. The driver sees one number per step, the largest error.
 
-Copies: floor(r + u) with u a hash of the id, in expectation r. What the sum then misses is settled per
-source by the documents nearest to the next rounding step: a histogram over 2^16 priority buckets gives
-the bucket where the gap closes, documents before it change by one copy, and only those of that bucket
-are ranked. The last one may be taken in part (its first words), so a source meets its target to a word.
+Copies: rows alike in source, id and size are one group of n and get floor(n * r + u) copies together, u a
+hash of id and size, in expectation n * r. What the sum then misses is settled per source by the groups
+nearest to the next rounding step: a histogram over 2^16 priority buckets gives the bucket where the gap
+closes, groups before it change by one copy, and only those of that bucket are ranked. The last one may
+be taken in part (its first words), so a source meets its target to a word. A group's copies are dealt to
+its rows, the quotient to all and the remainder by a stable ordinal: its place among the group's rows of
+its stored partition, after those of the partitions before, so no task sees more of a group than one partition holds.
 
 Documents meet per-source values in a join with one row per source, which the planner broadcasts when
 its stored size allows and splits by adaptive execution otherwise; a hot source is never one task's.
 
 Defined results: null text has size 0 and is taken 0 times, like an empty one; a null source is a
-source of its own; repeated rows (same id, source and size) are taken alike; an empty table gives an
-empty result; other columns are not read (``mix`` returns them with each copy).
+source of its own; repeated rows (same id, source and size, null ids too) share their group's copies and
+differ by one copy at most; an empty table gives an empty result; other columns are not read (``mix``
+returns them with each copy).
 """
 
 from __future__ import annotations
@@ -112,28 +116,54 @@ def multipliers(sizes: DataFrame, goal: DataFrame) -> DataFrame:
     return p.select("key", "source_size", "target", "scale", "multiplier")
 
 
-def _rounded(rows: DataFrame) -> DataFrame:
-    """Adds ``copies`` (hash-rounded rate) and, per direction, the priority of changing it by one."""
-    u = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    x = rows.withColumn("x", rate() + u).withColumn("copies", F.least(F.floor("x"), F.lit(MOST)).cast("long"))
+GROUP = ["key", "doc_id", "size"]
+
+
+def _rounded(groups: DataFrame) -> DataFrame:
+    """Adds ``copies`` (hash-rounded sum of the rates of the group's ``n`` rows) and, per direction, the priority of changing it by one."""
+    u = F.pmod(F.xxhash64("doc_id", "size", F.lit(11)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    x = groups.withColumn("x", F.col("n") * rate() + u).withColumn("copies", F.least(F.floor("x"), F.col("n") * MOST).cast("long"))
     return x.withColumn("frac", F.col("x") - F.floor("x"))
 
 
 def _priority() -> Column:
     """0 is changed first; null cannot change. ``gap`` is what the source misses: positive adds copies."""
-    up = F.when(F.col("copies") < MOST, 1 - F.col("frac"))
+    up = F.when(F.col("copies") < F.col("n") * MOST, 1 - F.col("frac"))
     down = F.when(F.col("copies") > 0, F.col("frac"))
     return F.when(F.col("size") > 0, F.when(F.col("gap") > 0, up).when(F.col("gap") < 0, down))
 
 
-def plan_mix(sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From (doc_id, key, size): per-source values (key, ..., gap, cut) and the documents of the cut bucket
-    (key, doc_id, size, change), both small and stored."""
+def same_group(names: dict) -> Column:
+    return (F.col("key") == F.col(names["key"])) & F.col("doc_id").eqNullSafe(F.col(names["doc_id"])) & (F.col("size") == F.col(names["size"]))
+
+
+def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join by group; null ids are equal. The columns of ``right`` that name the group are dropped."""
+    names = {c: f"of_{c}" for c in GROUP}
+    return left.join(right.withColumnsRenamed(names), same_group(names), how).drop(*names.values())
+
+
+def ordinals(rows: DataFrame, many: DataFrame) -> DataFrame:
+    """(rid, n, ordinal) of the rows that belong to a group of several rows; ordinals run from 0 in the order of ``rid``."""
+    x = stored(joined(rows.select(*GROUP, "rid"), many, "inner").withColumn("part", F.shiftright("rid", 33)))
+    local = F.row_number().over(Window.partitionBy(*GROUP, "part").orderBy("rid"))
+    parts = x.groupBy(*GROUP, "part").agg(F.count(F.lit(1)).alias("rows"))
+    before = F.sum("rows").over(Window.partitionBy(*GROUP).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.withColumn("before", F.coalesce(before, F.lit(0))).withColumnRenamed("part", "of_part").drop("rows")
+    names = {c: f"of_{c}" for c in GROUP}
+    x = x.withColumn("local", local).join(parts.withColumnsRenamed(names), same_group(names) & (F.col("part") == F.col("of_part")))
+    return x.select("rid", "n", (F.col("before") + F.col("local") - 1).alias("ordinal"))
+
+
+def plan_mix(sizes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """From (rid, doc_id, key, size): per-source values (key, ..., gap, cut), the groups of the cut bucket
+    (key, doc_id, size, change), and the rows of groups of several (rid, n, ordinal); all are stored."""
     found = multipliers(sizes, stored(targets(sizes)))
-    rows = _rounded(sizes.join(found, "key"))
+    groups = stored(sizes.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n")))
+    rows = _rounded(groups.join(found, "key"))
     gaps = rows.groupBy("key").agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
     found = stored(found.join(gaps, "key").withColumn("gap", F.floor("target") - F.col("got")))
-    rows = _rounded(sizes.join(found, "key")).withColumn("priority", _priority()).filter("priority IS NOT NULL") \
+    rows = _rounded(groups.join(found, "key")).withColumn("priority", _priority()).filter("priority IS NOT NULL") \
         .withColumn("bucket", F.floor(F.col("priority") * BUCKETS))
     hist = rows.groupBy("key", "bucket").agg(F.sum("size").alias("words"), F.max(F.abs("gap")).alias("need"))
     upto = F.sum("words").over(Window.partitionBy("key").orderBy("bucket"))  # at most BUCKETS rows per source
@@ -143,38 +173,43 @@ def plan_mix(sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
     edge = rows.join(found.select("key", "cut", "room"), "key").filter(F.col("bucket") == F.col("cut"))
     before = Window.partitionBy("key").orderBy("priority", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     change = F.greatest(F.lit(0), F.least(F.col("size"), F.col("room") - F.coalesce(F.sum("size").over(before), F.lit(0))))
-    edge = stored(edge.withColumn("change", change).groupBy("key", "doc_id", "size").agg(F.min("change").alias("change")))
-    return found, edge
+    edge = stored(edge.withColumn("change", change).select(*GROUP, "change"))
+    return found, edge, stored(ordinals(sizes, stored(groups.filter("n > 1 AND size > 0"))))
 
 
-def taken(rows: DataFrame, found: DataFrame, edge: DataFrame) -> DataFrame:
-    """``rows`` (doc_id, key, size and more) with source_size, target and ``taken``, the words the mix takes."""
+def taken(rows: DataFrame, found: DataFrame, edge: DataFrame, places: DataFrame) -> DataFrame:
+    """``rows`` (rid, doc_id, key, size and more) with source_size, target and ``taken``, the words the mix takes."""
     more = rows.columns
-    x = _rounded(rows.join(found, "key").join(edge.withColumnRenamed("doc_id", "edge_id").withColumnRenamed("key", "edge_key").withColumnRenamed("size", "edge_size"),
-                                              (F.col("key") == F.col("edge_key")) & F.col("doc_id").eqNullSafe(F.col("edge_id")) & (F.col("size") == F.col("edge_size")), "left")) \
-        .withColumn("priority", _priority())
+    x = joined(rows.join(found, "key"), edge, "left").join(places, "rid", "left") \
+        .withColumn("n", F.coalesce("n", F.lit(1))).withColumn("ordinal", F.coalesce("ordinal", F.lit(0)))
+    x = _rounded(x).withColumn("priority", _priority())
     before = F.floor(F.col("priority") * BUCKETS) < F.col("cut")
     moved = F.coalesce(F.col("change"), F.when(before, F.col("size")), F.lit(0)) * F.signum(F.col("gap").cast("double")).cast("long")
-    return x.select(*more, "source_size", "target", (F.col("copies") * F.col("size") + moved).alias("taken"))
+    x = x.withColumn("words", F.col("copies") * F.col("size") + moved)  # of the whole group: whole copies, then a part of one
+    x = x.withColumn("whole", F.expr("words div nullif(size, 0)"))
+    own = F.expr("(whole div n + if(ordinal < whole % n, 1, 0)) * size + if(ordinal = whole % n, words % nullif(size, 0), 0)")
+    return x.select(*more, "source_size", "target", F.coalesce(own, F.lit(0)).cast("long").alias("taken"))
 
 
 def mix_sizes(docs: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every document."""
     rows = stored(sized(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.col("text").cast("string").alias("text")), ["doc_id", "source"])
-                  .select("doc_id", "size", source_key(F.col("source")).alias("key")))
+                  .select("doc_id", "size", source_key(F.col("source")).alias("key"), F.monotonically_increasing_id().alias("rid")))
     return taken(rows, *plan_mix(rows)).select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", "taken")
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The mix itself: ``docs`` with a row for every copy; a copy taken in part holds its first words."""
+    """The mix itself: ``docs`` with a row for every copy; a copy taken in part holds its first words.
+
+    The documents are stored with their size and row id, so that plan and copies see the same rows.
+    """
     columns = docs.columns
-    sizes = stored(sized(docs, ["doc_id", "source"]).select(F.col("doc_id").cast("long").alias("doc_id"), "size", source_key(F.col("source")).alias("key")))
-    found, edge = plan_mix(sizes)
     names = [f"c{i}" for i in range(len(columns))]  # names of the input cannot clash with those added here
     at = dict(zip(columns, names))
     rows = docs.toDF(*names)
-    rows = sized(rows.select(*names, F.col(at["doc_id"]).cast("long").alias("doc_id"), source_key(F.col(at["source"])).alias("key")), [*names, "doc_id", "key"], at["text"])
-    x = taken(rows, found, edge).filter("taken > 0")
+    rows = stored(sized(rows.select(*names, F.col(at["doc_id"]).cast("long").alias("doc_id"), source_key(F.col(at["source"])).alias("key")), [*names, "doc_id", "key"], at["text"])
+                  .withColumn("rid", F.monotonically_increasing_id()))
+    x = taken(rows, *plan_mix(rows.select("rid", "doc_id", "key", "size"))).filter("taken > 0")
     rest = F.col("taken") % F.col("size")
     copy = F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int")))
     x = x.select("*", copy.alias("copy")).withColumn("part", F.when((rest > 0) & (F.col("copy") * F.col("size") > F.col("taken")), rest))

@@ -129,6 +129,28 @@ def test_mixing_of_single_and_empty_sources(spark):
                                     "doc_id long, text string, source string"))
 
 
+def test_mixing_shares_copies_among_repeated_rows(spark):
+    data = [(1, "a " * 100, "many")] * 1000 + [(None, f"{i} " * 40, "none") for i in range(700)] + [(None, f"{i} " * 30, "none") for i in range(3)]
+    data += [(10 + i, "b " * (50 + i), "other") for i in range(300)] + [(2, "c " * 1000, "z")] * 3 + [(None, None, "z")] * 5
+    df = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(5)
+    sizes = {}
+    for _, t, s in data:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    goal, planned, mixed, per_row = brute.source_targets(sizes), {}, {}, {}
+    of = {1: "many", None: "none", 2: "z"}
+    for r in mixing.mix_sizes(df).collect():
+        s = "z" if not r.size else of.get(r.doc_id, "other")
+        planned[s] = planned.get(s, 0) + r.taken
+        assert 0 <= r.taken <= 2 * r.size
+        per_row.setdefault((s, r.doc_id, r.size), []).append(r.taken)
+    for r in mixing.mix(df).collect():
+        mixed[r.source] = mixed.get(r.source, 0) + len(r.text.split())
+    for s in goal:
+        assert abs(planned[s] - goal[s]) <= 1 and mixed.get(s, 0) == planned[s], (s, planned[s], goal[s], mixed.get(s))
+    for (_, _, size), each in per_row.items():
+        assert max(each) - min(each) <= size
+
+
 @pytest.mark.parametrize("block", [4096, 32])
 def test_simhash(spark, documents, texts, block):
     random.seed(0)
