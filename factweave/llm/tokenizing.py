@@ -2,10 +2,12 @@
 
 A text is cut at places where no token can cross (safe boundaries), so the tokens of the text
 are the tokens of its pieces in order. Distinct pieces are encoded once by the library and kept
-in a bounded cache of the Python worker; words recur far more often than texts do.
+in a cache of the Python worker, bounded in bytes; words recur far more often than texts do, so
+pieces over ``CACHED_PIECE`` bytes are not kept.
 
-* ``words``: the tokenizer drops white space and starts a token at every word, so the pieces are
-  the runs between ASCII white space.
+* ``words``: the tokenizer drops white space and no token reaches across it, so the pieces are the
+  runs between ASCII white space. Runs over ``LONG_PIECE`` bytes are cut further, after a digit or
+  between a letter and a mark, where the file's own pattern ends a token at both.
 * ``spaced``: a byte-level tokenizer glues one leading space to a word, so a piece starts at a
   space, and each line feed is a piece of its own. Texts with runs of three or more white-space
   characters, two at the end, white space beyond ASCII, or a special string are encoded whole.
@@ -24,15 +26,23 @@ import base64
 import json
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
+import regex
 
-CACHE_PIECES = 600_000  # pieces kept by a worker, whatever the size of the corpus
+CACHE_BYTES = 192 << 20  # pieces, results and their overhead kept by a worker, whatever the size of the corpus
+PIECE_OVERHEAD = 160    # of a dictionary entry and its two objects
+CACHED_PIECE = 256
+LONG_PIECE = 1 << 12
 _LOADED: dict[tuple, "Pieces"] = {}
 
 _ODD = re.compile(rb"[\s\x1c-\x1f]{3}|[\s\x1c-\x1f]{2}\Z|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|<\|")
 
 
+_MARKS = "./,;:_+=&?%-"
+_LONG_CUT = re.compile(rb".{%d,}?(?:[0-9]|[A-Za-z](?=[./,;:_+=&?%%-]))" % LONG_PIECE, re.S)
 LONG_RUN = 1000
 #: the pattern that splits a text before the merges of the rank files (a fixed value)
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -55,12 +65,20 @@ def _long_run(raw: bytes) -> bool:
     return len(raw) >= LONG_RUN and (max(map(len, raw.split()), default=0) >= LONG_RUN or b" " * LONG_RUN in raw or b"\n" * LONG_RUN in raw or b"\t" * LONG_RUN in raw)
 
 
+def _packed(ids) -> bytes:
+    a = array("I", ids)
+    if sys.byteorder == "big":
+        a.byteswap()
+    return a.tobytes()
+
+
 class Pieces:
     """Encodes texts given as UTF-8 bytes; ``lengths`` counts tokens, ``ids`` returns them as packed uint32."""
 
     def __init__(self, path: str, count_only: bool, ranks_path: str | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.path, self.count_only, self.cache, self.ranks = path, count_only, {}, None
+        self.path, self.count_only, self.cache, self.held, self.ranks = path, count_only, {}, 0, None
+        self.lower = self.cut_long = False
         if ranks_path:  # the tokenizer file is loaded when the first odd text comes
             import tiktoken
             self.ranks = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=read_ranks(ranks_path), special_tokens={})
@@ -81,14 +99,46 @@ class Pieces:
         else:
             self.encode = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         with open(self.path, encoding="utf-8") as f:
-            self.cut = self._boundaries(json.load(f))
+            spec = json.load(f)
+        self.cut = self._boundaries(spec)
+        if self.cut == "words":
+            norm = spec.get("normalizer") or {}
+            self.lower = any(s.get("type") == "Lowercase" for s in norm.get("normalizers", [norm]))
+            self.cut_long = self._cuts_long(self._split_pattern(spec))
 
     @staticmethod
-    def _boundaries(spec: dict) -> str:
+    def _split_pattern(spec: dict) -> str | None:
+        """The pattern whose matches are the only text that a file's splitting step keeps, if there is one."""
+        pre = spec.get("pre_tokenizer") or {}
+        for s in pre.get("pretokenizers", [pre]):
+            if s.get("type") == "Split" and s.get("behavior") == "Removed" and s.get("invert"):
+                return (s.get("pattern") or {}).get("Regex")
+        return None
+
+    @staticmethod
+    def _drops_space(pattern: str) -> bool:
+        """Whether no match of ``pattern`` holds ASCII white space or looks beyond its own text."""
+        if "(?" in pattern or "\\b" in pattern or "^" in pattern.replace("[^", "") or "$" in pattern:
+            return False
+        compiled = regex.compile(pattern)
+        return not any(c in m.group() for c in " \t\n\v\f\r" for a in ("a", "1", ".", "'", c, "é") for b in ("a", "1", ".", "s", c) for m in compiled.finditer(a + c + b))
+
+    @staticmethod
+    def _cuts_long(pattern: str) -> bool:
+        """Whether ``pattern`` ends a match after every digit and between a letter and a mark."""
+        compiled = regex.compile(pattern)
+
+        def ends(text):
+            return {m.end() for m in compiled.finditer(text)}
+
+        return all(2 in ends(f"a1{x}b") for x in "2a'" + _MARKS) and all(1 in ends(f"a{x}{y}") for x in _MARKS for y in "a1'.")
+
+    @classmethod
+    def _boundaries(cls, spec: dict) -> str:
         pre = spec.get("pre_tokenizer") or {}
         steps = pre.get("pretokenizers", [pre])
-        drops_space = any(s.get("type") == "Split" and s.get("behavior") == "Removed" and s.get("invert") and r"[^\s" in str(s.get("pattern")) for s in steps)
-        if drops_space:
+        pattern = cls._split_pattern(spec)
+        if pattern and cls._drops_space(pattern):
             return "words"
         if len(steps) == 1 and steps[0].get("type") == "ByteLevel" and not steps[0].get("add_prefix_space") and not spec.get("normalizer"):
             return "spaced"
@@ -96,11 +146,24 @@ class Pieces:
 
     def pieces(self, raw: bytes) -> list[bytes]:
         if self.cut == "words":
-            return raw.split()
+            if self.lower and raw.isascii() and b"<|" not in raw:  # far fewer distinct words
+                raw = raw.lower()
+            words = raw.split()
+            if self.cut_long and len(raw) > LONG_PIECE and max(map(len, words), default=0) > LONG_PIECE:
+                words = [p for w in words for p in (self._shorter(w) if len(w) > LONG_PIECE else (w,))]
+            return words
         if self.cut == "spaced" and (_plain(raw) or not _ODD.search(raw)):
             return raw.replace(b" ", b"\xff ").replace(b"\n", b"\xff\n\xff").split(b"\xff")
         return [raw]
 
+    @staticmethod
+    def _shorter(word: bytes) -> list[bytes]:
+        if b"<|" in word:  # a special string may stand there
+            return [word]
+        out = _LONG_CUT.findall(word)
+        rest = word[sum(map(len, out)):]
+        return out + [rest] if rest else out
+
     def _parts(self, piece: bytes) -> tuple[bytes, bytes]:
         """A piece as two that tokenize on their own: a word and the full stops or commas after it. Where the tokenizer
         lower-cases, an ASCII word is looked up in lower case."""
@@ -108,12 +171,12 @@ class Pieces:
         if not word[-1:].isalnum():  # ASCII letters and digits: the token ends here
             word = piece
         tail = piece[len(word):]
-        if self.cut == "words" and word.isascii() and b"<|" not in word:
+        if self.lower and word.isascii() and b"<|" not in word:
             word = word.lower()
         return word, tail
 
     def _pack(self, ids) -> int | bytes:
-        return len(ids) if self.count_only else np.array(ids, "<u4").tobytes()
+        return len(ids) if self.count_only else _packed(ids)
 
     def _all(self, texts: list[bytes], join) -> list:
         cut = [self.pieces(t) for t in texts]
@@ -127,11 +190,14 @@ class Pieces:
             for piece, (word, tail) in parts.items():
                 if tail or word != piece:
                     cache[piece] = cache[word] + cache[tail]
-            added = [*unknown, *new]
+            added = {*unknown, *new}
         out = [join(map(cache.__getitem__, c)) for c in cut]
-        if len(cache) > CACHE_PIECES:
-            for piece in added:  # keep the first, mostly frequent pieces; memory stays bounded
-                cache.pop(piece, None)
+        for piece in added:  # keep the first, mostly frequent pieces; memory stays bounded
+            size = len(piece) + PIECE_OVERHEAD + (0 if self.count_only else len(cache[piece]))
+            if len(piece) > CACHED_PIECE or self.held + size > CACHE_BYTES:
+                del cache[piece]
+            else:
+                self.held += size
         return out
 
     def lengths(self, texts: list[bytes]) -> list[int]:
