@@ -41,7 +41,9 @@ _LOADED: dict[tuple, "Pieces"] = {}
 _ODD = re.compile(rb"[\s\x1c-\x1f]{3}|[\s\x1c-\x1f]{2}\Z|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|<\|")
 
 
-_MARKS = "./,;:_+=&?%-"
+_MARKS = "./,;:_+=&?%-!$#*)"
+_TAIL = b".,;:!?$%&#*)"  # marks that often end a word
+_LETTERS = re.compile("[a-zß-öø-ÿ]+")  # lower case, and no normal form changes them
 _LONG_CUT = re.compile(rb".{%d,}?(?:[0-9]|[A-Za-z](?=[./,;:_+=&?%%-]))" % LONG_PIECE, re.S)
 LONG_RUN = 1000
 #: the pattern that splits a text before the merges of the rank files (a fixed value)
@@ -72,6 +74,12 @@ def _packed(ids) -> bytes:
     return a.tobytes()
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter of every byte in a byte-level vocabulary: printable bytes are themselves, the others follow from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in printable)}
+
+
 class Pieces:
     """Encodes texts given as UTF-8 bytes; ``lengths`` counts tokens, ``ids`` returns them as packed uint32."""
 
@@ -79,6 +87,7 @@ class Pieces:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.path, self.count_only, self.cache, self.held, self.ranks = path, count_only, {}, 0, None
         self.lower = self.cut_long = False
+        self.tail, self.model = b".,", None
         if ranks_path:  # the tokenizer file is loaded when the first odd text comes
             import tiktoken
             self.ranks = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=read_ranks(ranks_path), special_tokens={})
@@ -105,6 +114,10 @@ class Pieces:
             norm = spec.get("normalizer") or {}
             self.lower = any(s.get("type") == "Lowercase" for s in norm.get("normalizers", [norm]))
             self.cut_long = self._cuts_long(self._split_pattern(spec))
+            if self.cut_long:
+                self.tail = _TAIL
+            if self._word_is_token(spec):
+                self.model, self.to_letters = tokenizer.model, _byte_letters()
 
     @staticmethod
     def _split_pattern(spec: dict) -> str | None:
@@ -133,6 +146,18 @@ class Pieces:
 
         return all(2 in ends(f"a1{x}b") for x in "2a'" + _MARKS) and all(1 in ends(f"a{x}{y}") for x in _MARKS for y in "a1'.")
 
+    @classmethod
+    def _word_is_token(cls, spec: dict) -> bool:
+        """Whether a word of ``_LETTERS`` reaches the merges as it is, its bytes as letters: then the library's merge
+        model takes it directly, without normalizing, splitting and aligning it first."""
+        norm, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+        steps = pre.get("pretokenizers", [pre])
+        compiled = regex.compile(cls._split_pattern(spec))
+        return ((spec.get("model") or {}).get("type") == "BPE" and not spec["model"].get("dropout")
+                and all(s.get("type") in ("NFC", "Lowercase") or s.get("type") == "Replace" and s.get("pattern") == {"Regex": r"\s+"} for s in norm.get("normalizers", [norm]))
+                and len(steps) == 2 and steps[1].get("type") == "ByteLevel" and not steps[1].get("add_prefix_space") and not steps[1].get("use_regex")
+                and all(compiled.fullmatch(w) for w in ("a", "s", "abz", "sé", "ßäÿ")))
+
     @classmethod
     def _boundaries(cls, spec: dict) -> str:
         pre = spec.get("pre_tokenizer") or {}
@@ -167,8 +192,9 @@ class Pieces:
     def _parts(self, piece: bytes) -> tuple[bytes, bytes]:
         """A piece as two that tokenize on their own: a word and the full stops or commas after it. Where the tokenizer
         lower-cases, an ASCII word is looked up in lower case."""
-        word = piece.rstrip(b".,")
-        if not word[-1:].isalnum():  # ASCII letters and digits: the token ends here
+        word = piece.rstrip(self.tail)
+        # the token ends with an ASCII letter or digit, or a letter from U+00C0 to U+00FF (all but the signs at D7 and F7)
+        if not (word[-1:].isalnum() or self.cut_long and word[-2:-1] == b"\xc3" and word[-1] not in (0x97, 0xB7)):
             word = piece
         tail = piece[len(word):]
         if self.lower and word.isascii() and b"<|" not in word:
@@ -178,6 +204,14 @@ class Pieces:
     def _pack(self, ids) -> int | bytes:
         return len(ids) if self.count_only else _packed(ids)
 
+    def _encoded(self, words: list[str]) -> list:
+        if self.model is None:
+            return list(map(self._pack, self.encode(words)))
+        plain = _LETTERS.fullmatch
+        rest = iter(self.encode([w for w in words if not plain(w)]))
+        tokens, letters = self.model.tokenize, self.to_letters
+        return [self._pack([t.id for t in tokens(w if w.isascii() else w.encode().decode("latin-1").translate(letters))] if plain(w) else next(rest)) for w in words]
+
     def _all(self, texts: list[bytes], join) -> list:
         cut = [self.pieces(t) for t in texts]
         cache = self.cache
@@ -186,7 +220,7 @@ class Pieces:
         if new:
             parts = {p: self._parts(p) for p in new} if self.cut != "whole" else {p: (p, b"") for p in new}
             unknown = list({w for pair in parts.values() for w in pair} - cache.keys())
-            cache.update(zip(unknown, map(self._pack, self.encode([w.decode("utf-8", "replace") for w in unknown]))))
+            cache.update(zip(unknown, self._encoded([w.decode("utf-8", "replace") for w in unknown])))
             for piece, (word, tail) in parts.items():
                 if tail or word != piece:
                     cache[piece] = cache[word] + cache[tail]
