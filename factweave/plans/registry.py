@@ -105,26 +105,35 @@ def ag6_relation_sample(spark, sf_dir):
 
 @register("ag7_relation_weight", TYPING_SQL + "SELECT rel, n_sample, shared, weight, weight_2dp FROM stats2")
 def ag7_relation_weight(spark, sf_dir):
+    """The weight of every relation, from all its occurrences (``n_sample`` of them) as a histogram of type sets."""
     tup, dim = typing_inputs(spark, sf_dir)
-    st = T.relation_stats(T.relation_sample(T.entity_occurrences(tup, TYPING, dim), TYPING))
-    return st.select("rel", "n_sample", "shared", "weight", "weight_2dp")
+    st = T.relation_stats(T.entity_occurrences(tup, TYPING, dim))
+    return st.select("rel", "n_sample", F.col("shared").cast("long").alias("shared"), "weight", "weight_2dp")
 
 
-@register("ag8_relation_info", TYPING_SQL + """
-SELECT r.rel, r.weight_2dp, r.n_entities, e.entities FROM relinfo r
-JOIN (SELECT rel, string_agg(fbid || ':' || tkey, ';' ORDER BY fbid, tkey) AS entities FROM rel_ent GROUP BY rel) e
-  ON r.rel = e.rel""")
-def ag8_relation_info(spark, sf_dir):
+def typing_tables(spark, sf_dir):
+    """Phase one without stored intermediates: each of these queries reads a part of it once."""
+    tup, dim = typing_inputs(spark, sf_dir)
+    return T.phase_one(tup, TYPING, dim, materialize=False), dim
+
+
+def typing_classes(spark, sf_dir):
     tup, dim = typing_inputs(spark, sf_dir)
     p1 = T.phase_one(tup, TYPING, dim)
-    return p1.rel_info.select("rel", "weight_2dp", "n_entities", F.array_join(F.transform(
-        "entities", lambda e: F.concat(e["fbid"], F.lit(":"), e["tkey"])), ";").alias("entities"))
+    return T.signature_classes(p1.arg_rel, p1.rel_ent), dim
+
+
+@register("ag8_relation_info", TYPING_SQL + """
+SELECT r.rel, r.weight_2dp, r.n_entities, e.fbid, e.tkey FROM relinfo r JOIN rel_ent e ON r.rel = e.rel""")
+def ag8_relation_info(spark, sf_dir):
+    """Relation infos with their entity set, one row per entity."""
+    p1, _ = typing_tables(spark, sf_dir)
+    return p1.rel_info.join(p1.rel_ent, "rel").select("rel", "weight_2dp", "n_entities", "fbid", "tkey")
 
 
 @register("jn1_rel_args", TYPING_SQL + "SELECT arg, rel, weight_2dp, n_entities FROM ar")
 def jn1_rel_args(spark, sf_dir):
-    tup, dim = typing_inputs(spark, sf_dir)
-    return T.phase_one(tup, TYPING, dim).arg_rel.select("arg", "rel", "weight_2dp", "n_entities")
+    return typing_tables(spark, sf_dir)[0].arg_rel.select("arg", "rel", "weight_2dp", "n_entities")
 
 
 @register("ag9_entity_scores", TYPING_SQL + """
@@ -132,38 +141,32 @@ SELECT s.arg, s.n_entities, s.max_score, CAST(t.total_weight AS DOUBLE) AS total
 FROM (SELECT arg, count(*) AS n_entities, CAST(max(score) AS DOUBLE) AS max_score FROM scores GROUP BY arg) s
 JOIN totals t ON s.arg = t.arg""")
 def ag9_entity_scores(spark, sf_dir):
-    tup, dim = typing_inputs(spark, sf_dir)
-    p1 = T.phase_one(tup, TYPING, dim)
-    sc = T.entity_scores(p1.arg_rel, p1.rel_info).groupBy("arg").agg(
-        F.count(F.lit(1)).alias("n_entities"), F.max("score").cast("double").alias("max_score"))
-    return sc.join(T.arg_totals(p1.arg_rel), "arg").select(
+    """Per argument: how many entities it scores, the best score, and the total weight; scored class against class."""
+    c, _ = typing_classes(spark, sf_dir)
+    sc = T.class_scores(c).join(c.ent_classes.select("ecls", "members"), "ecls").groupBy("cls").agg(
+        F.sum("members").alias("n_entities"), F.max("score").cast("double").alias("max_score"))
+    return T.of_args(sc.join(T.class_totals(c), "cls"), c).select(
         "arg", "n_entities", "max_score", F.col("total_weight").cast("double").alias("total_weight"))
 
 
 @register("tk1_top_entities", TYPING_SQL + "SELECT arg, rank, fbid, tkey, CAST(score AS DOUBLE) AS score FROM top")
 def tk1_top_entities(spark, sf_dir):
-    tup, dim = typing_inputs(spark, sf_dir)
-    p1 = T.phase_one(tup, TYPING, dim)
-    top = T.top_entities(T.entity_scores(p1.arg_rel, p1.rel_info), TYPING)
-    return top.select("arg", F.col("rank").cast("long").alias("rank"), "fbid", "tkey",
-                      F.col("score").cast("double").alias("score"))
+    c, _ = typing_classes(spark, sf_dir)
+    return T.of_args(T.class_top_entities(c, TYPING), c).select(
+        "arg", F.col("rank").cast("long").alias("rank"), "fbid", "tkey", F.col("score").cast("double").alias("score"))
 
 
 @register("ag10_type_shares", TYPING_SQL + "SELECT arg, type, share, enum FROM shares")
 def ag10_type_shares(spark, sf_dir):
-    tup, dim = typing_inputs(spark, sf_dir)
-    p1 = T.phase_one(tup, TYPING, dim)
-    top = T.top_entities(T.entity_scores(p1.arg_rel, p1.rel_info), TYPING)
-    return T.type_shares(top, dim, TYPING).select("arg", "type", "share", "enum")
+    c, dim = typing_classes(spark, sf_dir)
+    return T.of_args(T.type_shares(T.class_top_entities(c, TYPING), dim, TYPING), c).select("arg", "type", "share", "enum")
 
 
 @register("tk2_top_types", TYPING_SQL + "SELECT arg, rank, type, share FROM ttypes")
 def tk2_top_types(spark, sf_dir):
-    tup, dim = typing_inputs(spark, sf_dir)
-    p1 = T.phase_one(tup, TYPING, dim)
-    top = T.top_entities(T.entity_scores(p1.arg_rel, p1.rel_info), TYPING)
-    tt = T.top_types(T.type_shares(top, dim, TYPING), TYPING)
-    return tt.select("arg", F.col("rank").cast("long").alias("rank"), "type", "share")
+    c, dim = typing_classes(spark, sf_dir)
+    tt = T.top_types(T.type_shares(T.class_top_entities(c, TYPING), dim, TYPING), TYPING)
+    return T.of_args(tt, c).select("arg", F.col("rank").cast("long").alias("rank"), "type", "share")
 
 
 @register("ag11_type_predictions", TYPING_SQL + "SELECT * FROM pred")
@@ -190,8 +193,7 @@ SELECT arg, string_agg(rel || ':' || printf('%.2f', weight_2dp), ', ' ORDER BY w
 FROM (SELECT *, row_number() OVER (PARTITION BY arg ORDER BY weight_2dp DESC, rel) AS rn FROM ar)
 WHERE rn <= 4 GROUP BY arg""")
 def tk3_notable_relations(spark, sf_dir):
-    tup, dim = typing_inputs(spark, sf_dir)
-    nr = T.notable_relations(T.phase_one(tup, TYPING, dim).arg_rel)
+    nr = T.notable_relations(typing_tables(spark, sf_dir)[0].arg_rel)
     return nr.select("arg", F.array_join(F.transform("rels", lambda r: F.concat(
         r["rel"], F.lit(":"), F.format_string("%.2f", r["weight"]))), ", ").alias("rels"))
 
@@ -377,8 +379,9 @@ SELECT rel, n_sample, weight,
         AND weight >= CAST(0.1 AS DOUBLE)) AS kept
 FROM stats2""")
 def pf5_relation_filter(spark, sf_dir):
+    """The relation filter on the weight of all occurrences."""
     tup, dim = typing_inputs(spark, sf_dir)
-    st = T.relation_stats(T.relation_sample(T.entity_occurrences(tup, TYPING, dim), TYPING))
+    st = T.relation_stats(T.entity_occurrences(tup, TYPING, dim))
     return st.select("rel", "n_sample", "weight",
                      (rel_string_ok("rel") & (F.col("n_sample") > 0) & (F.col("weight") >= F.lit(TYPING.min_rel_weight))).alias("kept"))
 
@@ -735,18 +738,18 @@ def jn4_types_to_strings(spark, sf_dir):
 
 from factweave.sources import codecs as CD  # noqa: E402
 
-RELINFO_LINES = """ent_enum AS (
+RELINFO_LINES = f"""ent_enum AS (
   SELECT e.rel, e.fbid, e.tkey, list_sort(list(d.enum)) AS enums
   FROM (SELECT rel, fbid, tkey, unnest(types) AS type FROM rel_ent WHERE rel IN (SELECT rel FROM relinfo)) e
   JOIN tdim d ON e.type = d.type GROUP BY e.rel, e.fbid, e.tkey
 ),
 rl AS (
-  SELECT r.rel, array_to_string(list_transform(list_concat([r.rel, printf('%.2f', r.weight_2dp)], coalesce(x.es, []::VARCHAR[])),
+  SELECT r.rel, array_to_string(list_transform(list_concat([r.rel, printf('%.2f', r.weight_2dp)], x.es),
                                                lambda p: replace(p, ':', '_COLON_')), ':') AS line
-  FROM relinfo r LEFT JOIN (
-    SELECT rel, list(concat_ws(',', fbid, array_to_string(list_transform(enums, lambda v: CAST(v AS VARCHAR)), ','))
-                     ORDER BY fbid, tkey) AS es
-    FROM ent_enum GROUP BY rel) x ON r.rel = x.rel
+  FROM relinfo r JOIN (
+    SELECT e.rel, CAST('0x' || substr(md5(concat_ws('|', e.fbid, e.tkey)), 1, 8) AS BIGINT) % ((i.n_entities + {CD.ENTITIES_PER_LINE - 1}) // {CD.ENTITIES_PER_LINE}) AS line_no,
+           list(concat_ws(',', fbid, array_to_string(list_transform(enums, lambda v: CAST(v AS VARCHAR)), ',')) ORDER BY fbid, tkey) AS es
+    FROM ent_enum e JOIN relinfo i ON e.rel = i.rel GROUP BY e.rel, line_no) x ON r.rel = x.rel
 )"""
 
 PRED_LINES = """plines AS (
@@ -763,32 +766,50 @@ PRED_LINES = """plines AS (
 )"""
 
 
-def typing_phase_one(spark, sf_dir):
-    tup, dim = typing_inputs(spark, sf_dir)
-    return T.phase_one(tup, TYPING, dim), dim
-
-
 @register("src12_relinfo_codec", S.with_(*TYPING_CTES, RELINFO_LINES) + "SELECT rel, line FROM rl")
 def src12_relinfo_codec(spark, sf_dir):
-    p1, dim = typing_phase_one(spark, sf_dir)
-    return CD.encode_rel_info(p1.rel_info, dim)
+    p1, dim = typing_tables(spark, sf_dir)
+    return CD.relation_lines(p1.rel_info, p1.rel_ent, dim)
 
 
 @register("src12_relinfo_decode", S.with_(*TYPING_CTES, RELINFO_LINES) + """
-SELECT r.rel, r.weight_2dp AS weight, count(*) AS n_entities
-FROM relinfo r JOIN (SELECT DISTINCT rel, fbid FROM rel_ent) e ON r.rel = e.rel GROUP BY r.rel, r.weight_2dp""")
+SELECT e.rel, r.weight_2dp AS weight, e.fbid, array_to_string(list_transform(e.enums, lambda v: CAST(v AS VARCHAR)), ',') AS enums
+FROM ent_enum e JOIN relinfo r ON e.rel = r.rel""")
 def src12_relinfo_decode(spark, sf_dir):
-    p1, dim = typing_phase_one(spark, sf_dir)
-    d = CD.decode_rel_info(CD.encode_rel_info(p1.rel_info, dim))
-    return d.select("rel", "weight", F.size("entities").cast("long").alias("n_entities"))
+    """Every line of every relation read back: its entities, one row each."""
+    p1, dim = typing_tables(spark, sf_dir)
+    d = CD.decode_rel_info(CD.relation_lines(p1.rel_info, p1.rel_ent, dim)).select("rel", "weight", F.explode("entities").alias("e"))
+    return d.select("rel", "weight", "e.fbid", F.array_join(F.transform("e.enums", lambda x: x.cast("string")), ",").alias("enums"))
 
 
 @register("src11_phase_one_lines", S.with_(*TYPING_CTES, RELINFO_LINES) + """
-SELECT replace(a.arg, chr(9), '_TAB_') || chr(9) || replace(l.line, chr(9), '_TAB_') AS value
-FROM ar a JOIN rl l ON a.rel = l.rel""")
+SELECT chr(9) || replace(line, chr(9), '_TAB_') AS value FROM rl
+UNION ALL
+SELECT replace(a.arg, chr(9), '_TAB_') || chr(9) || replace(replace(a.rel, ':', '_COLON_') || ':' || printf('%.2f', a.weight_2dp), chr(9), '_TAB_')
+FROM ar a""")
 def src11_phase_one_lines(spark, sf_dir):
-    p1, dim = typing_phase_one(spark, sf_dir)
-    return CD.phase_one_lines(p1.arg_rel, CD.encode_rel_info(p1.rel_info, dim))
+    p1, dim = typing_tables(spark, sf_dir)
+    return CD.phase_one_lines(p1.arg_rel, CD.relation_lines(p1.rel_info, p1.rel_ent, dim))
+
+
+@register("src11_phase_two_from_lines", TYPING_SQL + "SELECT * FROM pred")
+def src11_phase_two_from_lines(spark, sf_dir):
+    """Phase two from the text form of phase one: written to the shared folder, read back and typed."""
+    from factweave.session import scratch_path
+    p1, dim = typing_tables(spark, sf_dir)
+    path = scratch_path(spark, "phase-one-lines")
+    CD.phase_one_lines(p1.arg_rel, CD.relation_lines(p1.rel_info, p1.rel_ent, dim)).write.text(path)
+    return T.flat_predictions(T.phase_two(CD.read_phase_one_lines(spark.read.text(path), dim), TYPING, dim))
+
+
+@register("stage_two_stored_phase_one", TYPING_SQL + "SELECT * FROM pred")
+def stage_two_stored_phase_one(spark, sf_dir):
+    """Stage selection: phase one written by one call, phase two run by another from its files alone."""
+    from factweave.session import scratch_path
+    tup, dim = typing_inputs(spark, sf_dir)
+    path = scratch_path(spark, "phase-one")
+    T.predict_types(tup, TYPING, dim, stage="one", stored=path)
+    return T.flat_predictions(T.predict_types(None, TYPING, dim, stage="two", stored=path))
 
 
 @register("src13_prediction_text", S.with_(*TYPING_CTES, PRED_LINES) + "SELECT arg, value FROM plines")

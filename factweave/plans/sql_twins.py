@@ -184,8 +184,8 @@ def term(w: str) -> str:
     return f"CAST(pow(CAST(10.0 AS DOUBLE), CAST(4.0 AS DOUBLE) * {w}) AS DECIMAL(20,6))"
 
 
-def typing_ctes(role="arg1", k=15, max_types=5, min_share=3, min_w=0.10, per_rel=150, args_per_rel=1000,
-                rels_per_arg=20000) -> list[str]:
+def typing_ctes(role="arg1", k=15, max_types=5, min_share=3, min_w=0.10, per_rel=150) -> list[str]:
+    """``samp`` is the sample of AG6 alone; weights, entity sets and arguments come from all rows."""
     return [TYPE_DIM, f"""ent_raw AS (
   SELECT rel, {role}_fbid AS fbid, list_sort({filt_types(f'{role}_types')}) AS ftypes, row_id
   FROM tuples WHERE {role}_fbid IS NOT NULL
@@ -205,19 +205,21 @@ samp AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rel ORDER BY h, fbid, tkey) AS rn FROM ent)
   WHERE rn <= {per_rel}
 ),
+sets AS (SELECT rel, tkey, any_value(types) AS types, count(*) AS n FROM ent GROUP BY rel, tkey),
 shared AS (
-  SELECT a.rel, count(*) AS shared FROM samp a JOIN samp b ON a.rel = b.rel AND a.rn < b.rn
+  SELECT a.rel, CAST(sum(CASE WHEN a.tkey = b.tkey THEN a.n * (a.n - 1) // 2 ELSE a.n * b.n END) AS BIGINT) AS shared
+  FROM sets a JOIN sets b ON a.rel = b.rel AND a.tkey <= b.tkey
   WHERE len(list_intersect(a.types, b.types)) > 0 GROUP BY a.rel
 ),
 stats AS (
   SELECT rel, n_sample, shared, n_sample * (n_sample - 1) // 2 AS pairs,
          CASE WHEN n_sample <= 1 THEN CAST(0.0 AS DOUBLE)
               ELSE CAST(shared AS DOUBLE) / CAST(n_sample * (n_sample - 1) // 2 AS DOUBLE) END AS weight
-  FROM (SELECT s.rel, count(*) AS n_sample, coalesce(max(sh.shared), 0) AS shared
-        FROM samp s LEFT JOIN shared sh ON s.rel = sh.rel GROUP BY s.rel)
+  FROM (SELECT s.rel, CAST(sum(s.n) AS BIGINT) AS n_sample, coalesce(max(sh.shared), 0) AS shared
+        FROM sets s LEFT JOIN shared sh ON s.rel = sh.rel GROUP BY s.rel)
 ),
 stats2 AS (SELECT *, {w2('shared', 'pairs')} AS weight_2dp FROM stats),
-rel_ent AS (SELECT DISTINCT rel, fbid, types, tkey FROM samp),
+rel_ent AS (SELECT DISTINCT rel, fbid, types, tkey FROM ent),
 relinfo AS (
   SELECT s.rel, s.weight_2dp, (SELECT count(*) FROM rel_ent e WHERE e.rel = s.rel) AS n_entities
   FROM stats2 s
@@ -228,16 +230,7 @@ ra AS (
   SELECT DISTINCT rel, {role} AS arg FROM tuples
   WHERE {arg_ok(role)} AND rel IN (SELECT rel FROM relinfo)
 ),
-ra_c AS (
-  SELECT rel, arg FROM (SELECT *, row_number() OVER (PARTITION BY rel ORDER BY md5(concat_ws('|', rel, arg)), arg) AS rn FROM ra)
-  WHERE rn <= {args_per_rel}
-),
-ar AS (
-  SELECT a.arg, a.rel, r.weight_2dp, r.n_entities
-  FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY arg ORDER BY md5(concat_ws('|', arg, rel)), rel) AS rn FROM ra_c)
-        WHERE rn <= {rels_per_arg}) a
-  JOIN relinfo r ON a.rel = r.rel
-),
+ar AS (SELECT a.arg, a.rel, r.weight_2dp, r.n_entities FROM ra a JOIN relinfo r ON a.rel = r.rel),
 scores AS (
   SELECT ar.arg, e.fbid, e.tkey, any_value(e.types) AS types, sum({term('ar.weight_2dp')}) AS score
   FROM ar JOIN rel_ent e ON ar.rel = e.rel

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,5 +68,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True) if checkpoint_dir(df.sparkSession) else df
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared checkpoint folder for an intermediate that another step reads back."""
+    folder = checkpoint_dir(spark)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

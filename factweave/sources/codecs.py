@@ -18,23 +18,46 @@ def esc(c, ch: str, token: str) -> F.Column:
     return F.replace(c, F.lit(ch), F.lit(token))
 
 
-def enums_of(entities: DataFrame, type_dim: DataFrame) -> DataFrame:
-    """rel_info entities (type strings) -> (rel, fbid, sorted enums) via the dictionary."""
-    e = entities.select("rel", F.explode("entities").alias("e")).select("rel", "e.fbid", "e.tkey", F.explode("e.types").alias("type"))
-    e = e.join(type_dim.select("type", "enum"), "type", "inner")
-    return e.groupBy("rel", "fbid", "tkey").agg(F.array_sort(F.collect_list("enum")).alias("enums"))
+ENTITIES_PER_LINE = 100
+
+
+def rel_info_line(entities: str = "es") -> F.Column:
+    """SRC12 form of one row (rel, weight_2dp, array of entity texts): ``rel:weight(2dp):fbid,e1,e2:...``, ':' escaped as _COLON_."""
+    pieces = F.concat(F.array(F.col("rel"), F.format_string("%.2f", "weight_2dp")), F.col(entities))
+    return F.array_join(F.transform(pieces, lambda p: esc(p, ":", C.ESC_COLON)), ":")
+
+
+def entity_texts(entities: DataFrame, type_dim: DataFrame, *by: str) -> DataFrame:
+    """(by..., fbid, tkey, s): ``fbid,e1,e2`` of every entity, its types as numbers of the dictionary."""
+    e = entities.select(*by, "fbid", "tkey", F.explode("types").alias("type")).join(type_dim.select("type", "enum"), "type", "inner")
+    g = e.groupBy(*by, "fbid", "tkey").agg(F.array_sort(F.collect_list("enum")).alias("enums"))
+    return g.select(*by, "fbid", "tkey", F.concat_ws(",", "fbid", F.array_join(F.transform("enums", lambda x: x.cast("string")), ",")).alias("s"))
+
+
+def _line_rows(texts: DataFrame, *by: str) -> DataFrame:
+    g = texts.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("fbid", "tkey", "s"))).alias("es"))
+    return g.select(*by, F.transform("es", lambda x: x["s"]).alias("es"))
 
 
 def encode_rel_info(rel_info: DataFrame, type_dim: DataFrame) -> DataFrame:
-    """SRC12 write: ``rel:weight(2dp):fbid,e1,e2:...`` with ':' escaped as _COLON_."""
-    ents = enums_of(rel_info, type_dim)
-    ent_str = F.concat_ws(",", "fbid", F.array_join(F.transform("enums", lambda x: x.cast("string")), ","))
-    g = ents.groupBy("rel").agg(F.array_sort(F.collect_list(F.struct("fbid", "tkey", ent_str.alias("s")))).alias("es"))
-    r = rel_info.select("rel", "weight_2dp").join(g, "rel", "left")
-    pieces = F.concat(F.array(F.col("rel"), F.format_string("%.2f", "weight_2dp")),
-                      F.transform(F.coalesce("es", F.array().cast("array<struct<fbid:string,tkey:string,s:string>>")),
-                                  lambda x: x["s"]))
-    return r.select("rel", F.array_join(F.transform(pieces, lambda p: esc(p, ":", C.ESC_COLON)), ":").alias("line"))
+    """SRC12 write of RelInfo records (rel, weight_2dp, entities): one line per record."""
+    ents = rel_info.select("rel", F.explode("entities").alias("e")).select("rel", "e.fbid", "e.tkey", "e.types")
+    g = _line_rows(entity_texts(ents, type_dim, "rel"), "rel")
+    r = rel_info.select("rel", "weight_2dp").join(g, "rel", "left").withColumn("es", F.coalesce("es", F.array().cast("array<string>")))
+    return r.select("rel", rel_info_line().alias("line"))
+
+
+def relation_lines(rel_info: DataFrame, rel_ent: DataFrame, type_dim: DataFrame) -> DataFrame:
+    """SRC12 write of whole entity sets: a relation of n entities takes about n / ``ENTITIES_PER_LINE`` lines (rel, line).
+
+    Lines are dealt by the entity's hash, so no row, task or line holds a large relation; ``decode_rel_info`` reads each on
+    its own, and the lines of a relation together are its entity set.
+    """
+    no = F.pmod(F.conv(F.substring(F.md5(F.concat_ws("|", "fbid", "tkey")), 1, 8), 16, 10).cast("long"),
+                F.ceil(F.col("n_entities") / ENTITIES_PER_LINE).cast("long"))
+    dealt = rel_ent.join(rel_info.select("rel", "weight_2dp", "n_entities"), "rel").withColumn("line_no", no)
+    by = ("rel", "weight_2dp", "line_no")
+    return _line_rows(entity_texts(dealt, type_dim, *by), *by).select("rel", rel_info_line().alias("line"))
 
 
 ENTITY_T = T.ArrayType(T.StructType([T.StructField("fbid", T.StringType()), T.StructField("enums", T.ArrayType(T.IntegerType()))]))
@@ -54,9 +77,33 @@ def decode_rel_info(lines: DataFrame, col: str = "line") -> DataFrame:
 
 
 def phase_one_lines(arg_rel: DataFrame, rel_lines: DataFrame) -> DataFrame:
-    """SRC11: ``arg ⇥ relinfo`` with tabs inside either field escaped as _TAB_."""
-    j = arg_rel.select("arg", "rel").join(rel_lines, "rel", "inner")
-    return j.select(F.concat_ws("\t", esc(F.col("arg"), "\t", C.ESC_TAB), esc(F.col("line"), "\t", C.ESC_TAB)).alias("value"))
+    """SRC11: ``arg ⇥ relinfo`` with tabs inside either field escaped as _TAB_.
+
+    The original repeats a relation's (sampled) entities with every argument. With whole entity sets a relation's
+    lines are written once, without an argument; an argument's line names the relation and its weight alone.
+    """
+    name = F.concat(esc(F.col("rel"), ":", C.ESC_COLON), F.lit(":"), F.format_string("%.2f", "weight_2dp"))
+    rows = rel_lines.select(F.lit("").alias("arg"), "line").unionByName(arg_rel.select("arg", name.alias("line")))
+    return rows.select(F.concat_ws("\t", esc(F.col("arg"), "\t", C.ESC_TAB), esc(F.col("line"), "\t", C.ESC_TAB)).alias("value"))
+
+
+def read_phase_one_lines(lines: DataFrame, type_dim: DataFrame, col: str = "value"):
+    """SRC11 read: the lines of ``phase_one_lines`` as a phase one (without ``stats``). Bad lines are dropped; types unknown
+    to the dictionary too."""
+    from factweave.operators.typing import PhaseOne, type_key
+    p = lines.select(F.transform(F.split(col, "\t", -1), lambda x: esc(x, C.ESC_TAB, "\t")).alias("p")).filter(F.size("p") == 2) \
+        .select(F.col("p")[0].alias("arg"), F.col("p")[1].alias("line"))
+    ent = decode_rel_info(p.filter("arg = ''")).select("rel", "weight", F.explode("entities").alias("e"))
+    # an entity is its line's text, so equal ones of several lines meet
+    ent = ent.select("rel", "weight", "e.fbid", "e.enums").distinct()
+    key = ent.select("enums").distinct()
+    known = key.select("enums", F.explode("enums").alias("enum")).join(type_dim.select("enum", "type"), "enum") \
+        .groupBy("enums").agg(F.array_sort(F.collect_set("type")).alias("types"))
+    rel_ent = ent.join(known, "enums").select("rel", "weight", "fbid", "types").withColumn("tkey", type_key("types"))
+    info = rel_ent.groupBy("rel", F.col("weight").alias("weight_2dp")).agg(F.count(F.lit(1)).alias("n_entities"))
+    a = p.filter("arg <> ''").select("arg", F.split("line", ":", -1).alias("r")).filter(F.size("r") == 2) \
+        .select("arg", esc(F.col("r")[0], C.ESC_COLON, ":").alias("rel")).distinct()
+    return PhaseOne(None, info, rel_ent.select("rel", "fbid", "tkey", "types"), a.join(info, "rel").select("arg", "rel", "weight_2dp", "n_entities"))
 
 
 def fmt_2dp(d) -> F.Column:
