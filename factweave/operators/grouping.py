@@ -18,6 +18,7 @@ from factweave.operators.caps import cap_per_key
 KEY = ["arg1", "rel", "arg2"]
 SPANS = ["arg1_start", "arg1_len", "rel_start", "rel_len", "arg2_start", "arg2_len"]
 INSTANCE = ["tokens", *SPANS, "url", "corpus", "confidence"]
+PARTS = [f"{r}_{c}" for r in ("arg1", "arg2") for c in ("fbid", "name", "inlinks", "types")]
 
 
 def prefixed(c) -> Column:

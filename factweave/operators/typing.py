@@ -183,14 +183,16 @@ class Classes:
     ent_classes: DataFrame
 
 
-def signature_classes(arg_rel: DataFrame, rel_ent: DataFrame) -> Classes:
-    args = arg_rel.groupBy("arg").agg(signature().alias("cls"))
+def signature_classes(arg_rel: DataFrame, rel_ent: DataFrame, materialize: bool = True) -> Classes:
+    """Classes of arguments and entities; with ``materialize`` each table, which several steps read, is stored once."""
+    cut = cut_lineage if materialize else lambda df: df
+    args = cut(arg_rel.groupBy("arg").agg(signature().alias("cls")))
     of_class = args.groupBy("cls").agg(F.min("arg").alias("arg"))
-    arg_rels = arg_rel.join(of_class, "arg").select("cls", "rel", exp_weight("weight_2dp").alias("term"), "weight_2dp", "n_entities")
-    ents = rel_ent.groupBy("fbid", "tkey").agg(signature().alias("ecls"), F.first("types").alias("types"))
+    arg_rels = cut(arg_rel.join(of_class, "arg").select("cls", "rel", exp_weight("weight_2dp").alias("term"), "weight_2dp", "n_entities"))
+    ents = cut(rel_ent.groupBy("fbid", "tkey").agg(signature().alias("ecls"), F.first("types").alias("types")))
     ent_classes = ents.groupBy("ecls").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("fbid", "tkey")).alias("m")) \
         .select("ecls", "members", "m.fbid", "m.tkey")
-    ent_rels = rel_ent.join(ent_classes, ["fbid", "tkey"]).select("ecls", "rel")
+    ent_rels = cut(rel_ent.join(ent_classes, ["fbid", "tkey"]).select("ecls", "rel"))
     return Classes(args, arg_rels, ents, ent_rels, ent_classes)
 
 
@@ -200,7 +202,7 @@ def class_scores(c: Classes, rels: DataFrame | None = None) -> DataFrame:
     return r.select("cls", "rel", "term").join(c.ent_rels, "rel").groupBy("cls", "ecls").agg(F.sum("term").alias("score"))
 
 
-def top_classes(c: Classes, k: int) -> DataFrame:
+def top_classes(c: Classes, k: int, materialize: bool = True) -> DataFrame:
     """(cls, ecls, score, fbid, tkey): the entity classes that hold the k best entities of each class of arguments.
 
     By descending weight, a relation is *heavy* while it and those after it together reach the term of a
@@ -214,6 +216,7 @@ def top_classes(c: Classes, k: int) -> DataFrame:
     r = c.arg_rels.withColumn("heavy", F.sum("term").over(after) >= sure)
     light = r.filter(~F.col("heavy")).select("cls", "rel", "term")
     part = class_scores(c, r.filter("heavy"))
+    part = cut_lineage(part) if materialize else part  # read for the k-th place and again for what goes on
     best = top_n_per_key(part, ["cls"], [F.col("score").desc(), F.col("ecls")], k)
     kth = best.groupBy("cls").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(0)).alias("kth"))
     reach = light.groupBy("cls").agg(F.sum("term").alias("reach")).join(kth, "cls")
@@ -235,7 +238,7 @@ def class_top_entities(c: Classes, s: TyperSettings) -> DataFrame:
     order = [F.col("score").desc(), F.col("fbid"), F.col("tkey")]
     best = top_n_per_key(top_classes(c, k), ["cls"], order, k).select("cls", "ecls", "score")
     members = top_n_per_key(c.ents, ["ecls"], [F.col("fbid"), F.col("tkey")], k, "place").drop("place")
-    return top_n_per_key(best.join(members, "ecls").drop("ecls"), ["cls"], order, k)
+    return cut_lineage(top_n_per_key(best.join(members, "ecls").drop("ecls"), ["cls"], order, k))
 
 
 def of_args(per_class: DataFrame, c: Classes) -> DataFrame:
@@ -308,8 +311,8 @@ def phase_one(tuples: DataFrame, s: TyperSettings, type_dim: DataFrame, stoplist
     counts = entity_counts(relation_sample(ent, s) if s.sample_relations else ent)
     counts = cut_lineage(counts) if materialize else counts
     stats = relation_stats(counts)
-    stats = cut_lineage(stats) if materialize else stats
     info = relation_info(stats, counts, s)
+    info = cut_lineage(info) if materialize else info
     rel_ent = counts.join(info.select("rel"), "rel", "left_semi").drop("n")
     arg_rel = relation_args(tuples, info, s)
     return PhaseOne(stats, info, rel_ent, cut_lineage(arg_rel) if materialize else arg_rel)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from factweave.operators import grouping as G
 from factweave.operators.score import score
 from factweave.plans import sql_twins as S
+from factweave.session import cut_lineage, scratch_path
 from factweave.sources import fixtures as FX
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -499,54 +500,59 @@ LINK_SQL = S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS, S.LINKED, S.LINK_TABLES
 LINK_OUT = ["arg1_fbid", "arg1_name", "arg1_score", "arg2_fbid", "arg2_name", "arg2_score"]
 
 
-def linked_result(spark, sf_dir, min_freq: int = 0):
-    rows = scored_rows(spark, sf_dir)
-    inst = G.group_instances(rows)
-    parts = G.first_instance_parts(rows, G.KEY)
+def linked_result(spark, sf_dir, min_freq: int = 0, min_arg_length: int = 0):
+    """(linked groups, their parts before); the scored rows, which grouping and linking both read, are stored once."""
+    rows = cut_lineage(scored_rows(spark, sf_dir).select(*G.KEY, "tokens", *G.SPANS, "url", "confidence", "inst_id", *G.PARTS))
     if min_freq:
-        keep = G.frequency_filter(G.group_summary(inst), min_freq=min_freq).select(*G.KEY)
-        inst, parts = inst.join(keep, G.KEY, "left_semi"), parts.join(keep, G.KEY, "left_semi")
-    anchors, ents = FX.link_tables(spark, sf_dir)
-    return L.link_groups(inst, parts, anchors, ents), parts, inst
+        size = rows.groupBy(*G.KEY).agg(F.countDistinct("inst_id").alias("n_instances"))
+        rows = rows.join(G.frequency_filter(size, min_freq=min_freq).select(*G.KEY), G.KEY, "left_semi")
+    parts = G.first_instance_parts(rows, G.KEY)
+    anchors, ents = map(cut_lineage, FX.link_tables(spark, sf_dir))  # a knowledge base is stored tables
+    return L.link_groups(rows, parts, anchors, ents, min_arg_length=min_arg_length), parts
 
 
 @register("jn6_link_groups", LINK_SQL + f"SELECT arg1, rel, arg2, {', '.join(LINK_OUT)} FROM linked")
 def jn6_link_groups(spark, sf_dir):
-    out, _, _ = linked_result(spark, sf_dir)
-    return out.select(*G.KEY, *LINK_OUT)
+    return linked_result(spark, sf_dir)[0].select(*G.KEY, *LINK_OUT)
 
 
 @register("jn7_link_frequent_groups", LINK_SQL + f"""
 SELECT l.arg1, l.rel, l.arg2, {', '.join('l.' + c for c in LINK_OUT)} FROM linked l
 JOIN grp g ON l.arg1 = g.arg1 AND l.rel = g.rel AND l.arg2 = g.arg2 WHERE g.n_instances >= 2""")
 def jn7_link_frequent_groups(spark, sf_dir):
-    out, _, _ = linked_result(spark, sf_dir, min_freq=2)
-    return out.select(*G.KEY, *LINK_OUT)
+    return linked_result(spark, sf_dir, min_freq=2)[0].select(*G.KEY, *LINK_OUT)
+
+
+PF13_LENGTH = 16  # binds on the fixture: part names have 9 to 24 letters, supplier names 18
+
+
+@register("pf13_min_link_length", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS, S.LINKED, S.LINK_TABLES, S.FIRST_INST, S.link_best(PF13_LENGTH))
+          + f"SELECT arg1, rel, arg2, {', '.join(LINK_OUT)} FROM linked")
+def pf13_min_link_length(spark, sf_dir):
+    """Linking with a minimum length: shorter head phrases stay without a link."""
+    return linked_result(spark, sf_dir, min_arg_length=PF13_LENGTH)[0].select(*G.KEY, *LINK_OUT)
 
 
 @register("jn5_link_arguments", LINK_SQL + """
 SELECT arg1, rel, arg2, role, struct_extract(b, 'fbid') AS fbid, struct_extract(b, 'score') AS score FROM best""")
 def jn5_link_arguments(spark, sf_dir):
-    out, _, _ = linked_result(spark, sf_dir)
-    r = [out.filter(F.col(f"{x}_fbid").isNotNull()).select(*G.KEY, F.lit(x).alias("role"), F.col(f"{x}_fbid").alias("fbid"),
-                                                            F.col(f"{x}_score").alias("score")) for x in ("arg1", "arg2")]
-    return r[0].unionByName(r[1])
+    out, _ = linked_result(spark, sf_dir)
+    sides = F.explode(F.array(*[F.struct(F.lit(x).alias("role"), F.col(f"{x}_fbid").alias("fbid"), F.col(f"{x}_score").alias("score")) for x in ("arg1", "arg2")]))
+    return out.select(*G.KEY, sides.alias("s")).select(*G.KEY, "s.*").filter(F.col("fbid").isNotNull())
 
 
 @register("tx6_head_phrases", LINK_SQL + "SELECT arg_text, head FROM heads")
 def tx6_head_phrases(spark, sf_dir):
-    rows = scored_rows(spark, sf_dir)
     anchors, _ = FX.link_tables(spark, sf_dir)
-    rep = L.head_phrase_report(G.group_instances(rows), anchors)
+    rep = L.head_phrase_report(scored_rows(spark, sf_dir), anchors)
     return rep.select("arg_text", "head").distinct()
 
 
 @register("tx7_head_phrase_report", LINK_SQL + """
 SELECT r.arg1, r.rel, r.arg2, r.role, r.arg_text, h.head FROM roles r JOIN heads h ON r.arg_text = h.arg_text""")
 def tx7_head_phrase_report(spark, sf_dir):
-    rows = scored_rows(spark, sf_dir)
     anchors, _ = FX.link_tables(spark, sf_dir)
-    return L.head_phrase_report(G.group_instances(rows), anchors).select(*G.KEY, "role", "arg_text", "head")
+    return L.head_phrase_report(scored_rows(spark, sf_dir), anchors).select(*G.KEY, "role", "arg_text", "head")
 
 
 @register("ag12_link_diff", LINK_SQL + """
@@ -562,7 +568,7 @@ FROM (SELECT 'arg1' AS role, p.arg1_fbid AS b, l.arg1_fbid AS a FROM lg p FULL O
         ON p.arg1 = l.arg1 AND p.rel = l.rel AND p.arg2 = l.arg2)
 GROUP BY role""")
 def ag12_link_diff(spark, sf_dir):
-    out, parts, _ = linked_result(spark, sf_dir)
+    out, parts = linked_result(spark, sf_dir)
     return L.link_diff(parts, out)
 
 
@@ -575,7 +581,7 @@ FROM (SELECT 'arg1' AS role, p.arg1 AS argument, p.arg1_fbid AS b, l.arg1_fbid A
       SELECT 'arg2', p.arg2, p.arg2_fbid, l.arg2_fbid FROM lg p JOIN linked l ON p.arg1 = l.arg1 AND p.rel = l.rel AND p.arg2 = l.arg2)
 WHERE b IS DISTINCT FROM a""")
 def ag12_link_changes(spark, sf_dir):
-    out, parts, _ = linked_result(spark, sf_dir)
+    out, parts = linked_result(spark, sf_dir)
     return L.link_changes(parts, out)
 
 
@@ -795,7 +801,6 @@ def src11_phase_one_lines(spark, sf_dir):
 @register("src11_phase_two_from_lines", TYPING_SQL + "SELECT * FROM pred")
 def src11_phase_two_from_lines(spark, sf_dir):
     """Phase two from the text form of phase one: written to the shared folder, read back and typed."""
-    from factweave.session import scratch_path
     p1, dim = typing_tables(spark, sf_dir)
     path = scratch_path(spark, "phase-one-lines")
     CD.phase_one_lines(p1.arg_rel, CD.relation_lines(p1.rel_info, p1.rel_ent, dim)).write.text(path)
@@ -805,7 +810,6 @@ def src11_phase_two_from_lines(spark, sf_dir):
 @register("stage_two_stored_phase_one", TYPING_SQL + "SELECT * FROM pred")
 def stage_two_stored_phase_one(spark, sf_dir):
     """Stage selection: phase one written by one call, phase two run by another from its files alone."""
-    from factweave.session import scratch_path
     tup, dim = typing_inputs(spark, sf_dir)
     path = scratch_path(spark, "phase-one")
     T.predict_types(tup, TYPING, dim, stage="one", stored=path)

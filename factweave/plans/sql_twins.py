@@ -375,10 +375,10 @@ anchors AS (
 ),
 ents AS (
   SELECT 'm.' || CAST(p_partkey AS VARCHAR) AS fbid, p_name || ' ' || p_brand AS name, coalesce(n, 0) AS inlinks,
-         {PART_TYPES} AS types, [lower(p_brand)] AS context
-  FROM part LEFT JOIN pcnt ON p_partkey = l_partkey
+         {PART_TYPES} AS types, CASE WHEN p_partkey % 23 <> 0 THEN [lower(p_brand)] END AS context
+  FROM part LEFT JOIN pcnt ON p_partkey = l_partkey WHERE p_partkey % 19 <> 0
   UNION ALL
-  SELECT 's.' || CAST(s_suppkey AS VARCHAR), s_name, coalesce(n, 0), {SUPPLIER_TYPES}, [lower(n_name)]
+  SELECT 's.' || CAST(s_suppkey AS VARCHAR), s_name, coalesce(n, 0), {SUPPLIER_TYPES}, CASE WHEN s_suppkey % 7 <> 0 THEN [lower(n_name)] END
   FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN scnt ON s_suppkey = l_suppkey
 ),
 amax AS (SELECT max(len(string_split(anchor, ' '))) AS L FROM anchors)"""
@@ -412,17 +412,22 @@ heads AS (
              FROM subs WHERE phrase IN (SELECT anchor FROM anchors) GROUP BY arg_text) b ON a.arg_text = b.arg_text
 )"""
 
-LINK_BEST = """q AS (
+def link_best(min_length: int = 0) -> str:
+    """Best entity per group and role; heads shorter than ``min_length`` are not linked (PF13)."""
+    return LINK_BEST_ALL.replace("WHERE_HEAD", f"WHERE length(h.head) >= {min_length}")
+
+
+LINK_BEST_ALL = """q AS (
   SELECT r.arg1, r.rel, r.arg2, r.role, h.head, s.src_tokens
   FROM roles r JOIN heads h ON r.arg_text = h.arg_text
-  JOIN gsrc s ON r.arg1 = s.arg1 AND r.rel = s.rel AND r.arg2 = s.arg2
+  JOIN gsrc s ON r.arg1 = s.arg1 AND r.rel = s.rel AND r.arg2 = s.arg2 WHERE_HEAD
 ),
 best AS (
   SELECT arg1, rel, arg2, role,
          arg_min({'fbid': fbid, 'name': name, 'inlinks': inlinks, 'types': types, 'score': score},
                  {'ns': -score, 'fbid': fbid}) AS b
   FROM (SELECT q.arg1, q.rel, q.arg2, q.role, e.fbid, e.name, e.inlinks, e.types,
-               a.link_count * (1 + len(list_intersect(e.context, q.src_tokens))) AS score
+               a.link_count * (1 + coalesce(len(list_intersect(e.context, q.src_tokens)), 0)) AS score
         FROM q JOIN anchors a ON q.head = a.anchor JOIN ents e ON a.fbid = e.fbid)
   GROUP BY arg1, rel, arg2, role
 ),
@@ -437,6 +442,9 @@ linked AS (
 )"""
 
 
+LINK_BEST = link_best()
+
+
 # ---------------------------------------------------------------------------
 # record formats (SRC3, SRC4, SRC6-SRC8)
 # ---------------------------------------------------------------------------
