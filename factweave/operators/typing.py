@@ -166,7 +166,16 @@ def relation_args(tuples: DataFrame, rel_info: DataFrame, s: TyperSettings) -> D
 
 def signature() -> F.Column:
     """Aggregate: an order-free hash of the set of ``rel`` of a group (one row per relation), 128 bits and the count."""
-    return F.concat_ws(":", F.count(F.lit(1)), F.sum(F.xxhash64("rel").cast("decimal(38,0)")), F.bit_xor(F.xxhash64(F.lit("rel"), "rel")))
+    return F.concat(F.hex(F.bit_xor(F.xxhash64("rel"))), F.lit(":"), F.hex(F.bit_xor(F.xxhash64(F.lit("rel"), "rel"))), F.lit(":"), F.count(F.lit(1)))
+
+
+def micro_weight(w2) -> F.Column:
+    """10^(4·w) in millionths, as a long: exact like the decimal, and cheap to add up."""
+    return (exp_weight(w2) * 1_000_000).cast("long")
+
+
+def from_micro(c) -> F.Column:
+    return (F.col(c).cast("decimal(28,0)") * F.lit("0.000001").cast("decimal(6,6)")).cast("decimal(34,6)")
 
 
 @dataclass
@@ -188,7 +197,7 @@ def signature_classes(arg_rel: DataFrame, rel_ent: DataFrame, materialize: bool
     cut = cut_lineage if materialize else lambda df: df
     args = cut(arg_rel.groupBy("arg").agg(signature().alias("cls")))
     of_class = args.groupBy("cls").agg(F.min("arg").alias("arg"))
-    arg_rels = cut(arg_rel.join(of_class, "arg").select("cls", "rel", exp_weight("weight_2dp").alias("term"), "weight_2dp", "n_entities"))
+    arg_rels = cut(arg_rel.join(of_class, "arg").select("cls", "rel", micro_weight("weight_2dp").alias("term"), "weight_2dp", "n_entities"))
     ents = cut(rel_ent.groupBy("fbid", "tkey").agg(signature().alias("ecls"), F.first("types").alias("types")))
     ent_classes = ents.groupBy("ecls").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("fbid", "tkey")).alias("m")) \
         .select("ecls", "members", "m.fbid", "m.tkey")
@@ -197,9 +206,13 @@ def signature_classes(arg_rel: DataFrame, rel_ent: DataFrame, materialize: bool
 
 
 def class_scores(c: Classes, rels: DataFrame | None = None) -> DataFrame:
-    """AG9: score(class of arguments, class of entities) = sum over shared relations of 10^(4·weight_2dp)."""
+    """AG9: score(class of arguments, class of entities) = sum over shared relations of 10^(4·weight_2dp), in millionths."""
     r = c.arg_rels if rels is None else rels
-    return r.select("cls", "rel", "term").join(c.ent_rels, "rel").groupBy("cls", "ecls").agg(F.sum("term").alias("score"))
+    # small tables make many rows here: both sides are dealt by class into a fixed number of parts, which small sizes do not
+    # merge; whichever side is broadcast, the other's classes are added up where they are joined
+    parts = int(r.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mine, theirs = r.select("cls", "rel", "term").repartition(parts, "cls"), c.ent_rels.repartition(parts, "ecls")
+    return mine.join(theirs, "rel").groupBy("cls", "ecls").agg(F.sum("term").alias("score"))
 
 
 def top_classes(c: Classes, k: int, materialize: bool = True) -> DataFrame:
@@ -238,7 +251,8 @@ def class_top_entities(c: Classes, s: TyperSettings) -> DataFrame:
     order = [F.col("score").desc(), F.col("fbid"), F.col("tkey")]
     best = top_n_per_key(top_classes(c, k), ["cls"], order, k).select("cls", "ecls", "score")
     members = top_n_per_key(c.ents, ["ecls"], [F.col("fbid"), F.col("tkey")], k, "place").drop("place")
-    return cut_lineage(top_n_per_key(best.join(members, "ecls").drop("ecls"), ["cls"], order, k))
+    top = top_n_per_key(best.join(members, "ecls").drop("ecls"), ["cls"], order, k)
+    return cut_lineage(top.withColumn("score", from_micro("score")))
 
 
 def of_args(per_class: DataFrame, c: Classes) -> DataFrame:
@@ -248,7 +262,8 @@ def of_args(per_class: DataFrame, c: Classes) -> DataFrame:
 
 def class_totals(c: Classes) -> DataFrame:
     """AG9 total: sum of 10^(4·w) over every (relation, entity) of the argument."""
-    return c.arg_rels.groupBy("cls").agg(F.sum(F.col("term") * F.col("n_entities")).alias("total_weight"))
+    return c.arg_rels.groupBy("cls").agg(F.sum(F.col("term").cast("decimal(18,0)") * F.col("n_entities")).alias("total_weight")) \
+        .withColumn("total_weight", from_micro("total_weight"))
 
 
 def type_shares(top: DataFrame, type_dim: DataFrame, s: TyperSettings, by: str = "cls") -> DataFrame:

@@ -145,7 +145,8 @@ def ag9_entity_scores(spark, sf_dir):
     """Per argument: how many entities it scores, the best score, and the total weight; scored class against class."""
     c, _ = typing_classes(spark, sf_dir)
     sc = T.class_scores(c).join(c.ent_classes.select("ecls", "members"), "ecls").groupBy("cls").agg(
-        F.sum("members").alias("n_entities"), F.max("score").cast("double").alias("max_score"))
+        F.sum("members").alias("n_entities"), F.max("score").alias("max_score")) \
+        .withColumn("max_score", T.from_micro("max_score").cast("double"))
     return T.of_args(sc.join(T.class_totals(c), "cls"), c).select(
         "arg", "n_entities", "max_score", F.col("total_weight").cast("double").alias("total_weight"))
 

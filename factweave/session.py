@@ -63,17 +63,41 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss); without such a folder ``df`` as it is."""
-    return df.checkpoint(eager=True) if checkpoint_dir(df.sparkSession) else df
+def scratch_dir(spark: SparkSession) -> str | None:
+    """This application's folder below the shared checkpoint folder; None where there is no shared folder."""
+    folder = checkpoint_dir(spark)
+    return f"{folder.rstrip('/')}/factweave-{spark.sparkContext.applicationId}" if folder else None
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared checkpoint folder for an intermediate that another step reads back."""
-    folder = checkpoint_dir(spark)
+    """A new path in the scratch folder for an intermediate that another step reads back."""
+    folder = scratch_dir(spark)
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` written as a Parquet table to the shared folder and read back; without such a folder ``df`` as it is.
+
+    A lost executor re-reads files instead of recomputing, later steps read the columns they need, and the planner
+    knows the table's size. ``drop_scratch`` removes the tables when their results have been written.
+    """
+    spark = df.sparkSession
+    if not checkpoint_dir(spark):
+        return df
+    path = scratch_path(spark, "stored")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete the application's scratch folder (frames built on it must have been written before)."""
+    folder = scratch_dir(spark)
+    if not folder:
+        return False
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table_path(sf_dir: str, name: str) -> str:
