@@ -903,6 +903,87 @@ def inc6_line_ingest(spark, sf_dir):
     return groups.unionByName(skipped)
 
 
+VALID_LINE = "(arg1_start + rel_len) % 11 <> 0 AND (arg1_start + rel_len) % 13 <> 0"
+
+
+def parse_old_layout(lines):
+    """Two-sided reader of the old layout: extractions, or what is wrong with a line."""
+    x = OL.parse_old_layout(lines, arg1_col=2, rel_col=3, arg2_col=4, sent_col=1, url_dom_col=0, url_path_col=5)
+    return x.withColumn("corpus", F.lit("documents"))
+
+
+def ingested_lines(spark, sf_dir):
+    """The fixture's old-layout lines as text files, taken in by the stream in two micro-batches or more; the table's folder."""
+    from factweave.streaming.ingest import ingest
+    work = scratch_path(spark, "line-ingest")
+    lines = old_layout_lines(spark, sf_dir)
+    short = F.md5("value").startswith("0")  # a sixteenth of the lines loses all but three columns
+    lines = lines.select(F.when(short, F.array_join(F.slice(F.split("value", "\t", -1), 1, 3), "\t")).otherwise(F.col("value")).alias("value"))
+    lines.repartition(6).write.text(f"{work}/lines")
+    ingest(spark, f"{work}/lines", f"{work}/table", f"{work}/stream", reader=parse_old_layout, max_files_per_trigger=3, buckets=4)
+    return f"{work}/table"
+
+
+def old_line_sql() -> str:
+    """The same lines in SQL: the md5 of a line decides which ones are cut short."""
+    rng = "'[' || {p}_start || ', ' || ({p}_start + {p}_len) || ']'"
+    word = "replace(replace(w, '[', '-LSB-'), ']', '-RSB-')"
+    return f"""old_lines AS (
+  SELECT *, substr(md5(concat_ws(chr(9), dom, bracketed, {rng.format(p='arg1')}, {rng.format(p='rel')}, a2, path)), 1, 1) = '0' AS short
+  FROM (SELECT t.*, 'http://' || split_part(t.url, '/', 1) AS dom, '/' || split_part(t.url, '/', -1) AS path,
+          CASE WHEN (t.arg1_start + t.rel_len) % 11 = 0 THEN '[1, 2, ' || t.arg2_start || ']'
+               WHEN (t.arg1_start + t.rel_len) % 13 = 0 THEN '[' || len(t.tokens) || ', ' || (len(t.tokens) + t.arg2_len) || ']'
+               ELSE {rng.format(p='t.arg2')} END AS a2,
+          array_to_string(list_transform(a.tokens, lambda w, i:
+            CASE WHEN starts_with(a.chunks[i], 'B-') THEN '[' || substr(a.chunks[i], 3) || ' ' ELSE '' END || {word} || '/' || a.ptags[i] ||
+            CASE WHEN a.chunks[i] <> 'O' AND NOT coalesce(starts_with(a.chunks[i + 1], 'I-'), false) THEN ' ]' ELSE '' END), ' ') AS bracketed
+        FROM tex t JOIN ann a ON t.doc_id = a.doc_id AND t.sid = a.sid))"""
+
+
+@register("src18_file_ingest", S.with_(S.text_ctes(), S.annotate_cte(), old_line_sql()) + f"""
+SELECT arg1, rel, arg2, count(*) AS n FROM (
+  SELECT DISTINCT arg1, rel, arg2, tokens, arg1_start, arg1_len, rel_start, rel_len, arg2_start, arg2_len, url FROM old_lines
+  WHERE NOT short AND {VALID_LINE}) GROUP BY arg1, rel, arg2""")
+def src18_file_ingest(spark, sf_dir):
+    """Text files to the stored table through the stream, read back merged: the size of every group."""
+    from factweave.streaming.ingest import read_table
+    return read_table(spark, ingested_lines(spark, sf_dir))[0].groupBy(*G.KEY).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("inc4_ingest_rejects", S.with_(S.text_ctes(), S.annotate_cte(), old_line_sql()) + """
+SELECT CASE WHEN short THEN 'too few columns' WHEN (arg1_start + rel_len) % 11 = 0 THEN 'range is not two integers'
+            ELSE 'span outside the sentence' END AS reason, count(*) AS n
+FROM old_lines WHERE short OR (arg1_start + rel_len) % 11 = 0 OR (arg1_start + rel_len) % 13 = 0 GROUP BY reason
+UNION ALL SELECT 'counted', count(*) FROM old_lines
+UNION ALL SELECT 'without a file', 0""")
+def inc4_ingest_rejects(spark, sf_dir):
+    """What the same ingest rejected, by reason, beside the rows its batches counted and the rejects that name no file."""
+    table = ingested_lines(spark, sf_dir)
+    rejects = spark.read.parquet(f"{table}/rejects")
+    counted = spark.read.parquet(f"{table}/counters").agg(F.sum("rows").alias("n")).select(F.lit("counted").alias("reason"), "n")
+    nameless = rejects.filter(~F.col("file").contains("/lines/")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("without a file").alias("reason"), "n")
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).unionByName(counted).unionByName(nameless)
+
+
+@register("inc5_merged_table", S.with_(S.EXTRACTIONS, S.INSTANCES, S.GROUPS) + "SELECT arg1, rel, arg2, n_instances, n_urls, max_conf, min_conf FROM grp")
+def inc5_merged_table(spark, sf_dir):
+    """Four batches (the last one repeats a part of the first) appended as deltas; homes are compacted and split on the way."""
+    from factweave.streaming.ingest import read_table, upsert_batch
+    rows = cut_lineage(scored_extractions(spark, sf_dir).select(*G.KEY, *G.INSTANCE))
+    digit, table = F.substring(F.md5("url"), 1, 1), scratch_path(spark, "group-table")
+    for i, part in enumerate((digit < "6", (digit >= "6") & (digit < "b"), digit >= "b", digit < "2")):
+        upsert_batch(spark, rows.filter(part), i, table, buckets=4, home_bytes=1 << 18)
+    return G.group_summary(read_table(spark, table)[0])
+
+
+@register("src2_write_lines", REC_SQL + "SELECT value, count(*) AS n FROM rec_lines GROUP BY value")
+def src2_write_lines(spark, sf_dir):
+    """Record lines written as text files and read back."""
+    path = scratch_path(spark, "lines")
+    record_lines(spark, sf_dir).select("value").write.text(path)
+    return spark.read.text(path).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("src15_old_layout", S.with_(S.text_ctes(), S.annotate_cte()) + f"""
 SELECT 'http://' || split_part(t.url, '/', 1) || '/' || split_part(t.url, '/', 2) AS url,
        {', '.join('t.' + c for c in SPAN_COLS)},

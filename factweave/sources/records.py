@@ -56,21 +56,33 @@ def write_records(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws(TAB, *[F.col(c).cast("string") for c in RECORD_FIELDS]).alias("value"))
 
 
-def read_records(lines: DataFrame, col: str = "value") -> DataFrame:
-    """SRC6: positions 0-24 are scalar fields, everything from 25 on is re-joined by tabs
-    into ``dataString``. Lines with fewer than 26 fields or unparsable numbers are dropped."""
-    p = lines.select(tab_split(col).alias("p")).filter(F.size("p") >= len(RECORD_FIELDS))
+NO_FIELDS, NO_NUMBER = "too few fields", "not a number"
+
+
+def parse_records(lines: DataFrame, col: str = "value") -> DataFrame:
+    """SRC6, two-sided: every line (with the columns of ``lines``) with its 26 fields, or with the ``reason`` why not.
+
+    Positions 0-24 are scalar fields, everything from 25 on is re-joined by tabs into ``dataString``.
+    """
+    p = lines.withColumn("_p", tab_split(col))
     cols = []
     for i, name in enumerate(RECORD_FIELDS[:-1]):
-        c = F.try_element_at("p", F.lit(i + 1))
+        c = F.try_element_at("_p", F.lit(i + 1))
         if name in INT_FIELDS:
             c = c.try_cast("int")
         elif name in DOUBLE_FIELDS:
             c = c.try_cast("double")
         cols.append(c.alias(name))
-    data = F.array_join(F.slice("p", len(RECORD_FIELDS), F.size("p")), TAB).alias("dataString")
-    out = p.select(*cols, data)
-    return out.filter(F.col("sentenceid").isNotNull() & F.col("eid").isNotNull() & F.col("confidence").isNotNull())
+    data = F.array_join(F.slice("_p", len(RECORD_FIELDS), F.greatest(F.size("_p"), F.lit(0))), TAB).alias("dataString")
+    out = p.select(*lines.columns, *cols, data, F.size("_p").alias("_n"))
+    reason = F.when(F.coalesce("_n", F.lit(0)) < len(RECORD_FIELDS), NO_FIELDS) \
+        .when(F.col("sentenceid").isNull() | F.col("eid").isNull() | F.col("confidence").isNull(), NO_NUMBER)
+    return out.withColumn("reason", reason).drop("_n")
+
+
+def read_records(lines: DataFrame, col: str = "value") -> DataFrame:
+    """SRC6: the records of ``lines``. Lines with fewer than 26 fields or unparsable numbers are dropped."""
+    return parse_records(lines.select(F.col(col).alias("_value")), "_value").filter(F.col("reason").isNull()).select(*RECORD_FIELDS)
 
 
 def record_derived(rec: DataFrame) -> DataFrame:
