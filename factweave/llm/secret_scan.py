@@ -2,8 +2,9 @@
 
 Every text is searched once, in an Arrow function, for the base kinds (assignments, access keys,
 long hex runs) and for *weak parts* that mean little alone: an access identifier (user or client
-names, short access keys), a weak secret (an assigned value that is too short, a shorter hex run, a
-base64-like word with both cases and digits), and an endpoint (a URL or host with a port). A weak
+names under a key that ends in one, short access keys, e-mail addresses, the name in a URL), a weak secret (an
+assigned value that is too short, a shorter hex run, a base64-like word with both cases and digits, the
+password in a URL), and an endpoint (a URL or host with a port). A weak
 identifier or secret is reported only when a complementary part stands within ``SCOPE`` code
 points: an identifier needs a secret nearby, a secret an identifier or an endpoint; the endpoint is
 reported with the credential it belongs to. Base spans count as complementary parts but always stay.
@@ -44,9 +45,11 @@ SCOPE = 200
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
-_IDENTIFIER = re.compile(r"""(?<![A-Za-z0-9_])(?:user(?:name|_?id)?|login|account(?:_?id)?|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@-]{3,}""", re.ASCII | re.IGNORECASE)
-_WORD = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[^a-z]{0,60}[a-z])(?=[^A-Z]{0,60}[A-Z])[A-Za-z0-9+/_-]{20,}={0,2}")
+_IDENTIFIER = re.compile(r"""(?<![A-Za-z0-9_])(?:[A-Za-z0-9]+_)*(?:user(?:name|_?id)?|login|account(?:_?id)?|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.@-]{3,}""", re.ASCII | re.IGNORECASE)
+_WORD = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 _URL_WORD = re.compile(r"(?:(?<==)[A-Za-z0-9+/_-]{20,}|(?<![A-Za-z0-9+_-])[A-Za-z0-9+_-]{20,})={0,2}")  # letters and digits are tested apart
+_EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_USERINFO = re.compile(r"://([^\s/:@\"'<>]+):([^\s/:@\"'<>]+)@")
 _MIXED = re.compile(r"(?=[^0-9]*[0-9])(?=[^a-z]*[a-z])[^A-Z]*[A-Z]")
 _ENDPOINT = re.compile(r"(?<![A-Za-z0-9])(?:(?:https?|ftp|ssh|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[A-Za-z0-9][^\s\"'<>]*|[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,}:[0-9]{2,5}(?![0-9]))")
 
@@ -68,7 +71,7 @@ def find_parts(raw: bytes) -> list[tuple[str, int, int]]:
     low = raw.lower()
     wanted = {k for k, marks in _MARKS.items() if any(m in low for m in marks)}
     has_hex, has_word, has_access = _HEX_RUN.search(raw), _DIGIT_WORD.search(raw), b"AKIA" in raw
-    if not wanted and not has_hex and not has_word and not has_access and not _PORT.search(raw):
+    if not wanted and not has_hex and not has_word and not has_access and b"@" not in raw and not _PORT.search(raw):
         return []
     text = raw.decode("utf-8", "replace")
     base, weak = [], []
@@ -92,12 +95,17 @@ def find_parts(raw: bytes) -> list[tuple[str, int, int]]:
                 weak.append(("weak_secret", *m.span()))
     if "identifier" in wanted:
         weak += [("identifier", *m.span()) for m in _IDENTIFIER.finditer(text)]
+    if b"@" in raw:
+        userinfo = list(_USERINFO.finditer(text)) if "endpoint" in wanted else []
+        inside = {m.start(g) for m in userinfo for g in (1, 2)}  # a password before a host is no mailbox, nor name and password one value
+        weak = [p for p in weak if p[1] not in inside] + [p for m in userinfo for p in (("identifier", *m.span(1)), ("weak_secret", *m.span(2)))]
+        weak += [("identifier", *m.span()) for m in _EMAIL.finditer(text) if m.start() not in inside]
     endpoints = [("endpoint", *m.span()) for m in _ENDPOINT.finditer(text)] if "endpoint" in wanted or _PORT.search(raw) else []
     if has_word:
         begins = [s for _, s, _ in endpoints]
         for m in _WORD.finditer(text):
             i = bisect_right(begins, m.start())
-            if not i or endpoints[i - 1][2] <= m.start():
+            if (not i or endpoints[i - 1][2] <= m.start()) and _MIXED.match(m[0]):
                 weak.append(("weak_secret", *m.span()))
         for _, s, e in endpoints:
             weak += [("weak_secret", *m.span()) for m in _URL_WORD.finditer(text, s, e) if _MIXED.match(m[0])]

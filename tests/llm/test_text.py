@@ -55,6 +55,29 @@ def test_values_of_any_key_are_weak_secrets(form):
         assert secret_scan.link(secret_scan.find_parts(form.format(key, value).encode())) == []
 
 
+def test_prefixed_keys_url_credentials_and_addresses():
+    def spans(t):
+        return [(k, t[s:e]) for k, s, e in secret_scan.reported(secret_scan.link(secret_scan.find_parts(t.encode())))]
+
+    value = "Ab1" * 7
+    assert spans(f"DB_USER=bob\nDB_PASS={value}") == [("identifier", "DB_USER=bob"), ("weak_secret", value)]
+    assert spans(f"aws_access_key_id=ASIA12345678\nsession {value}") == [("identifier", "aws_access_key_id=ASIA12345678"), ("weak_secret", value)]
+    assert spans("db_user=bob password=x1") == [("identifier", "db_user=bob"), ("weak_secret", "password=x1")]
+    for url in ("https://user:hunter2@host.example/x", "postgres://bob:pw12@db:5432"):
+        assert spans(f"see {url} now") == [("endpoint", url)]
+        assert secret_scan.replaced(f"see {url} now", secret_scan.link(secret_scan.find_parts(f"see {url} now".encode())), "#") == "see # now"
+    assert spans(f"bob@mail.example.org {value}") == [("identifier", "bob@mail.example.org"), ("weak_secret", value)]
+    assert spans("write to bob@mail.example.org or ann@mail.example.org") == [] and spans("https://host.example/a:b") == []
+
+
+def test_words_are_mixed_in_themselves():
+    """A word of any length is tested whole, and by its own letters only."""
+    for n in (15, 35, 400):
+        word = "G1" * n + "ab"
+        assert [p[0] for p in secret_scan.link(secret_scan.find_parts(f"user=bob key {word}".encode()))] == ["identifier", "weak_secret"]
+    assert secret_scan.link(secret_scan.find_parts(b"user=bob GH1234567890GH1234567890 and some Words")) == []
+
+
 def test_link_is_on_the_gap_between_intervals():
     random.seed(5)
     pieces = ["user=bob{} ", "token=a{} ", "0123456789abcdef{:03d} ", "https://h.example/{}" + "x" * 260 + " ", "https://h.example/cb?client_id=acme{}&sig=0123456789abcdef01 ", "token=" + "j.W" * 100 + "{} "]
