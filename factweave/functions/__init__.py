@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factweave import constants as C
@@ -12,6 +12,16 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def computed_once(df: DataFrame, **cols: Column) -> DataFrame:
+    """``df`` with ``cols`` added, each computed once per row whatever reads them later.
+
+    They come out of a generator over a one-element array: predicates on a generator's output are not pushed below it,
+    whereas a predicate on a plain column is, which puts the column's whole expression into every conjunct.
+    """
+    row = F.struct(*[c.alias(k) for k, c in cols.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def md5_order(*cols) -> Column:
     """Deterministic pseudo-random order key: md5 of the '|'-joined values.
 
