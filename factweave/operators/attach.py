@@ -6,9 +6,10 @@ blacklisted or '/base/' counts as untyped and is overwritten, Q9); other tuples
 unchanged; several predictions for one argument fan out, as in the original.
 
 JN3: the original salts arguments shorter than 4 characters with a random prefix on both sides so
-that these hot short keys spread out, and loses their matches by it. Here every key joins as it is;
-a hot key's side of the join is split by adaptive execution, and the prediction side has one row
-per argument.
+that these hot short keys spread out, and loses their matches by it. Here every key joins as it is, and the
+prediction side has one row per argument. A hot key's side of the join is split by adaptive execution where the
+tuples come as they are; with ``spread=True`` the keys that are hot by measurement, short or long, are salted on
+both sides (``skew.spread_join``), which also serves tuples whose partitioning is fixed.
 """
 
 from __future__ import annotations
@@ -17,9 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factweave.functions import filter_types
+from factweave.operators.skew import spread_join
 
 
-def attach_types(tuples: DataFrame, predictions: DataFrame, role: str = "arg1") -> DataFrame:
+def attach_types(tuples: DataFrame, predictions: DataFrame, role: str = "arg1", spread: bool = False) -> DataFrame:
     """``predictions``: (arg, types ARRAY<STRUCT<type, ...>>) as produced by the typer.
 
     Replaces (never unions) ``<role>_types`` - and only that role's column (the original's
@@ -30,7 +32,7 @@ def attach_types(tuples: DataFrame, predictions: DataFrame, role: str = "arg1")
     p = predictions.select(F.col("arg").alias("_k"),
                            F.array_sort(F.array_distinct(F.transform("types", lambda t: t["type"]))).alias("_pt"))
     t = tuples.withColumn("_k", F.col(role))
-    j = t.join(p, "_k", "left")
+    j = spread_join(t, p, "_k", "left") if spread else t.join(p, "_k", "left")
     untyped = F.size(filter_types(f"{role}_types")) == 0
     new = F.when(F.col("_pt").isNotNull() & untyped, F.col("_pt")).otherwise(F.col(f"{role}_types"))
     return j.withColumn("types_attached", F.col("_pt").isNotNull() & untyped) \

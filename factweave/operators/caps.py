@@ -5,57 +5,83 @@ The original takes the first n rows of a key in arrival order (40 000 instances
 1 000 000 pairs per relation). We replace arrival order by an md5 order (deterministic, and
 a uniform sample), and never rank a whole hot key inside one task:
 
-1. A histogram of rows over (key, one of 2^20 hash buckets) - a partial aggregation, so a
-   hot key leaves each map task as at most 2^20 small rows.
-2. Per key (at most 2^20 histogram rows) a total and a running sum pick, for keys over
-   the cap, the cut-off bucket and the quota left inside it.
-3. Rows join the (usually small) cut-off table - adaptive execution broadcasts it when its
-   measured size allows and shuffles otherwise - and are kept when their key is under the
-   cap, their bucket lies below the cut-off, or they rank within the quota of the cut-off
-   bucket (a window over one bucket of one key: about rows/2^20 rows).
-
-A key holding a third of all rows therefore costs two scans and no oversized task.
+1. Radix refinement: a histogram of rows over (key, first 5 hex digits of the order) - a partial
+   aggregation, so a hot key leaves each map task as at most 2^20 small rows - gives keys over the cap
+   their cut-off prefix and the quota left inside it. The rows of that prefix alone are counted again
+   over the next 5 digits. After 10 digits a prefix holds about rows/2^40 different rows.
+2. Rows join the (usually small) cut-off table - adaptive execution broadcasts it when its
+   measured size allows and shuffles otherwise. Those of keys under the cap, and those whose prefix lies
+   below the cut-off, are kept as they flow.
+3. In the cut-off prefix equal rows are counted (however many, they are one row to the shuffle), the
+   distinct ones ranked, and each repeated as often as the quota allows.
+
+No step ranks or gathers rows whose number grows with the data: a key holding a third of all rows, or a row
+repeated a million times, costs four scans and no oversized task. NULL is a key like any other, and a NULL order
+comes first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_HEX_DIGITS = 5  # 2^20 buckets
+RADIX_DIGITS = 5  # hex digits a level: 2^20 prefixes
+LEVELS = 2
+
+
+def _same_key(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on ``keys``, NULL being equal to NULL; the right side's copies of the keys are dropped."""
+    names = [f"_r{i}" for i in range(len(keys))]
+    r = right.withColumnsRenamed(dict(zip(keys, names)))
+    on = functools.reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(m)) for k, m in zip(keys, names)))
+    return left.join(r, on, how).drop(*names)
+
+
+def _cut_off(rows: DataFrame, keys: list[str], quota: Column) -> DataFrame:
+    """(keys, _cut, _quota): the prefix ``_p`` in which the ``quota``-th row of a key falls, and how many rows of it are
+    within. Keys with no more than ``quota`` rows have none. At most 2^20 histogram rows of a key meet in a task."""
+    hist = rows.groupBy(*keys, "_p").agg(F.count(F.lit(1)).alias("_n"), F.first(quota).alias("_quota"))
+    whole = Window.partitionBy(*keys)
+    running = whole.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return hist.withColumn("_all", F.sum("_n").over(whole)).withColumn("_upto", F.sum("_n").over(running)) \
+        .filter((F.col("_all") > F.col("_quota")) & (F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota"))) \
+        .select(*keys, F.col("_p").alias("_cut"), (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_quota"))
 
 
 def cap_per_key(df: DataFrame, keys: list[str], order_hash: str, n: int,
                 tiebreak: list[str] | None = None, rank_col: str | None = None) -> DataFrame:
     """Keep the first ``n`` rows of every key ordered by ``(order_hash, *tiebreak)``.
 
-    ``order_hash`` names a column holding an md5 hex string. Rows with equal order values
-    must be interchangeable (make the hash cover every kept column). If ``rank_col`` is
-    given, the 1-based rank of each kept row within its key is added (one extra window over
+    ``order_hash`` names a column holding an md5 hex string; rows that still tie are ordered by a hash of all their
+    columns. If ``rank_col`` is given, the 1-based rank of each kept row within its key is added (one extra window over
     the kept rows, which are at most ``n`` per key).
     """
     tiebreak = tiebreak or []
-    bucket = F.conv(F.substring(F.col(order_hash), 1, BUCKET_HEX_DIGITS), 16, 10).cast("int")
-    d = df.withColumn("_b", bucket)
-
-    # histogram of (key, bucket): partial aggregation, at most 2^20 rows per key
-    hist = d.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_bc"))
-    wall = Window.partitionBy(*keys)
-    wcum = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = (hist.withColumn("_tot", F.sum("_bc").over(wall))
-           .filter(F.col("_tot") > n)
-           .withColumn("_cum", F.sum("_bc").over(wcum))
-           .withColumn("_before", F.col("_cum") - F.col("_bc"))
-           .filter((F.col("_before") < n) & (F.col("_cum") >= n))
-           .select(*keys, F.col("_b").alias("_bstar"), (F.lit(n) - F.col("_before")).alias("_quota")))
-
-    # rows of keys under the cap find no cut-off row; only the cut-off bucket is ranked
-    j = d.join(cut, keys, "left")
-    under = j.filter(F.col("_bstar").isNull() | (F.col("_b") < F.col("_bstar")))
-    wb = Window.partitionBy(*keys).orderBy(F.col(order_hash), *[F.col(c) for c in tiebreak])
-    border = j.filter(F.col("_b") == F.col("_bstar")) \
-        .withColumn("_r", F.row_number().over(wb)).filter(F.col("_r") <= F.col("_quota")).drop("_r")
-    out = under.unionByName(border).drop("_b", "_bstar", "_quota")
+    if n < 1:
+        return df.withColumn(rank_col, F.lit(1)).limit(0) if rank_col else df.limit(0)
+    order = F.coalesce(F.col(order_hash), F.lit(""))
+
+    def upto(level: int) -> Column:
+        return F.substring(order, 1, RADIX_DIGITS * level)
+
+    cut = _cut_off(df.select(*keys, upto(1).alias("_p")), keys, F.lit(n).cast("long"))
+    for level in range(2, LEVELS + 1):
+        inside = _same_key(df.select(*keys, upto(level).alias("_p")), cut, keys, "inner").filter(F.col("_p").startswith(F.col("_cut")))
+        # a prefix that its quota covers whole stays the cut-off: nothing inside it is to be cut
+        finer = _cut_off(inside, keys, F.col("_quota")).withColumnsRenamed({"_cut": "_finer", "_quota": "_left"})
+        cut = _same_key(cut, finer, keys, "left").select(*keys, F.coalesce("_finer", F.concat("_cut", F.lit("g"))).alias("_cut"), F.coalesce("_left", "_quota").alias("_quota"))
+
+    j = _same_key(df.withColumn("_p", upto(LEVELS)), cut, keys, "left")
+    under = j.filter(F.col("_cut").isNull() | (F.col("_p") < F.col("_cut"))).select(*df.columns)
+    same = j.filter(F.col("_p") == F.col("_cut")).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"), F.first("_quota").alias("_quota"))
+    running = Window.partitionBy(*keys).orderBy(order, *[F.col(c) for c in tiebreak], F.xxhash64(*df.columns)) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    take = F.least(F.col("_n"), F.col("_quota") - F.col("_upto") + F.col("_n"))
+    border = same.withColumn("_upto", F.sum("_n").over(running)).withColumn("_take", take).filter(F.col("_take") > 0) \
+        .withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_take")))).select(*df.columns)
+    out = under.unionByName(border)
     if rank_col:
         wr = Window.partitionBy(*keys).orderBy(F.col(order_hash), *[F.col(c) for c in tiebreak])
         out = out.withColumn(rank_col, F.row_number().over(wr))

@@ -305,6 +305,7 @@ def inc1_upsert_groups(spark, sf_dir):
 
 from factweave.functions import arg_string_ok, clean_control, filter_types, rel_string_ok  # noqa: E402
 from factweave.operators import attach as AT  # noqa: E402
+from factweave.operators.skew import spread_join  # noqa: E402
 from factweave.operators.score import span_valid  # noqa: E402
 
 
@@ -324,6 +325,16 @@ def jn2_attach_types(spark, sf_dir):
                       "types_attached")
 
 
+@register("jn3_spread_join", S.with_(S.TYPE_DIM, S.EXTRACTIONS, S.TUPLES) + """
+SELECT t.row_id, t.arg1, t.rel, r.n_args FROM tuples t
+LEFT JOIN (SELECT rel, count(DISTINCT arg1) AS n_args FROM tuples WHERE len(arg1_types) > 0 GROUP BY rel) r ON t.rel = r.rel""")
+def jn3_spread_join(spark, sf_dir):
+    """Every tuple with the number of typed arguments of its relation; a relation holds a large share of all tuples."""
+    tup = FX.tuples(spark, sf_dir)
+    rels = tup.filter(F.size("arg1_types") > 0).groupBy("rel").agg(F.countDistinct("arg1").alias("n_args"))
+    return spread_join(tup, rels, "rel", "left", partitions=64).select("row_id", "arg1", "rel", "n_args")
+
+
 @register("jn4_type_lookup", S.with_(S.TYPE_DIM, S.EXTRACTIONS, S.TUPLES) + """
 SELECT t.type, d.enum, count(*) AS n FROM (SELECT unnest(arg1_types) AS type FROM tuples) t
 LEFT JOIN tdim d ON t.type = d.type GROUP BY t.type, d.enum""")

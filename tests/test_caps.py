@@ -45,3 +45,38 @@ def test_top_n_two_level_equals_brute_force(spark):
     want = df.withColumn("rank", F.row_number().over(w)).filter("rank <= 15")
     assert sorted(map(tuple, got.select("k", "s", "v", "rank").collect())) == \
         sorted(map(tuple, want.select("k", "s", "v", "rank").collect()))
+
+
+def test_null_keys_repeated_rows_and_null_order_are_capped(spark):
+    from collections import Counter
+    data = [(None, i % 3) for i in range(900)] + [(1, 7)] * 5000 + [(1, i) for i in range(40)] + [(2, 1), (2, 1), (2, 2)]
+    df = spark.createDataFrame(data, "k int, v int").withColumn("h", F.when(F.col("v") != 2, md5_order("v")))
+    for n in (1, 3, 300, 350, 4990, 6000):
+        got = Counter(map(tuple, cap_per_key(df, ["k"], "h", n, tiebreak=["v"]).collect()))
+        assert got == Counter(map(tuple, brute(df, n).collect())), n
+
+
+def test_cut_off_prefix_is_refined(spark):
+    # every order shares its first five digits, some the first ten: the second level and the ranking have to decide
+    data = [(i % 2, i, f"00000{(i * 7) % 50:05x}{i % 3:022x}") for i in range(2000)]
+    df = spark.createDataFrame(data, "k int, v int, h string")
+    for n in (1, 20, 21, 499, 1000):
+        assert rows(cap_per_key(df, ["k"], "h", n, tiebreak=["v"])) == rows(brute(df, n)), n
+
+
+def test_no_window_over_rows(spark):
+    # windows see histogram rows and distinct rows only: each stands above an aggregation, with no join in between
+    df = spark.createDataFrame([(i % 3, i) for i in range(100)], "k int, v int").withColumn("h", md5_order("v"))
+    plan = cap_per_key(df, ["k"], "h", 5)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    windows = [i for i, line in enumerate(plan) if "Window [" in line]
+    assert windows
+    for i in windows:
+        below = next(line for line in plan[i + 1:] if "Window [" not in line and "Project" not in line and "Filter" not in line)
+        assert "Aggregate" in below, below
+
+
+def test_cap_of_an_empty_table_and_of_none(spark):
+    df = spark.createDataFrame([], "k int, v int, h string")
+    assert cap_per_key(df, ["k"], "h", 3).count() == 0
+    one = spark.createDataFrame([(1, 1, "0a")], "k int, v int, h string")
+    assert cap_per_key(one, ["k"], "h", 0).count() == 0 and cap_per_key(one, ["k"], "h", 0).columns == one.columns
