@@ -81,6 +81,17 @@ REL_DROP_WORDS = [
     "also", "very", "really", "just", "not",
 ]
 
+# Words whose singular or base form the suffix rules of the key normaliser (functions.stem_tokens) do not give.
+STEM_EXCEPTIONS = {
+    "always": "always", "buses": "bus", "children": "child", "cookies": "cookie", "does": "do", "echoes": "echo",
+    "economics": "economics", "feet": "foot", "gases": "gas", "geese": "goose", "goes": "go", "halves": "half",
+    "headquarters": "headquarters", "heroes": "hero", "knives": "knife", "leaves": "leaf", "lens": "lens", "lenses": "lens",
+    "mathematics": "mathematics", "means": "means", "men": "man", "mice": "mouse", "movies": "movie", "news": "news",
+    "perhaps": "perhaps", "physics": "physics", "politics": "politics", "potatoes": "potato", "series": "series",
+    "shelves": "shelf", "species": "species", "teeth": "tooth", "tomatoes": "tomato", "towards": "towards",
+    "wives": "wife", "wolves": "wolf", "women": "woman",
+}
+
 # Confidence model: intercept and one weight per boolean feature (our configuration).
 CONF_INTERCEPT = -0.5
 CONF_WEIGHTS = {

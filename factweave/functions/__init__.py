@@ -66,14 +66,33 @@ def span_tokens(tokens, start, length) -> Column:
     return F.slice(col(tokens), col(start) + 1, col(length))
 
 
-def stem_token(t: Column) -> Column:
-    """Light suffix stemmer: drop a plural 's' (not after s, u or i; stem of 3+ letters)."""
-    return F.regexp_replace(t, r"^([a-z]{2,}[a-hj-rtv-z])s$", "$1")
+# Suffix rules, the longest matching first: (letters that must stand before, suffix, replacement). [^\P{L}...]: a letter but those.
+STEM_RULES = [
+    (r"\p{L}{2,}", "ies", "y"),                                 # cities; ties keeps its e by the last rule
+    (r"\p{L}+(?:ss|sh|ch|zz)|\p{L}{2,}x", "es", ""),            # classes, dishes, boxes
+    (r"\p{L}{2,}[^\P{L}sui]", "s", ""),                         # rings; not class, virus, basis
+]
+
+
+def stem_tokens(tokens) -> Column:
+    """Every (lower-case) token without its plural or third-person ending, letters of any script.
+
+    The exception table decides first, then the suffix rules, and the table once more for what they leave (``mens``). Stemming
+    twice changes nothing. Each step is an array of its own, so no rule runs twice.
+    """
+    table = F.create_map(*[F.lit(x) for pair in C.STEM_EXCEPTIONS.items() for x in pair])
+
+    def rules(t: Column) -> Column:
+        for before, suffix, put in STEM_RULES:
+            t = F.regexp_replace(t, f"^({before}){suffix}$", f"$1{put}")
+        return t
+    cut = F.transform(tokens, lambda t: F.coalesce(F.try_element_at(table, t), rules(t)))
+    return F.transform(cut, lambda t: F.coalesce(F.try_element_at(table, t), t))
 
 
 def normalize_arg_tokens(tokens) -> Column:
     """Grouping-key form of an argument: lower-case, stemmed tokens, space-joined."""
-    return F.array_join(F.transform(col(tokens), lambda t: stem_token(F.lower(t))), " ")
+    return F.array_join(stem_tokens(F.transform(col(tokens), lambda t: F.lower(t))), " ")
 
 
 def normalize_rel_tokens(tokens) -> Column:
@@ -81,7 +100,7 @@ def normalize_rel_tokens(tokens) -> Column:
     drop = lit_array(C.REL_DROP_WORDS)
     low = F.transform(col(tokens), lambda t: F.lower(t))
     kept = F.filter(low, lambda t: ~F.array_contains(drop, t))
-    return F.array_join(F.transform(kept, stem_token), " ")
+    return F.array_join(stem_tokens(kept), " ")
 
 
 def weight_2dp(shared, pairs) -> Column:

@@ -20,17 +20,25 @@ def arr(values) -> str:
     return "[" + ", ".join(q(v) for v in values) + "]"
 
 
-STEM = r"regexp_replace({t}, '^([a-z]{{2,}}[a-hj-rtv-z])s$', '\1')"
+EXCEPTIONS = "MAP {" + ", ".join(f"{q(k)}: {q(v)}" for k, v in C.STEM_EXCEPTIONS.items()) + "}"
+
+
+def stem(lst: str) -> str:
+    known = f"map_extract({EXCEPTIONS}, t)[1]"
+    cut = r"""CASE WHEN regexp_matches(t, '^\p{L}{2,}ies$') THEN left(t, length(t) - 3) || 'y'
+      WHEN regexp_matches(t, '^(\p{L}+(ss|sh|ch|zz)|\p{L}{2,}x)es$') THEN left(t, length(t) - 2)
+      WHEN regexp_matches(t, '^\p{L}{3,}s$') AND NOT regexp_matches(t, '[sui]s$') THEN left(t, length(t) - 1) ELSE t END"""
+    return f"list_transform(list_transform({lst}, lambda t: coalesce({known}, {cut})), lambda t: coalesce({known}, t))"
 
 
 def norm_arg(lst: str) -> str:
-    return f"array_to_string(list_transform({lst}, lambda t: {STEM.format(t='lower(t)')}), ' ')"
+    return f"array_to_string({stem(f'list_transform({lst}, lambda t: lower(t))')}, ' ')"
 
 
 def norm_rel(lst: str) -> str:
     low = f"list_transform({lst}, lambda t: lower(t))"
     kept = f"list_filter({low}, lambda t: NOT list_contains({arr(C.REL_DROP_WORDS)}, t))"
-    return f"array_to_string(list_transform({kept}, lambda t: {STEM.format(t='t')}), ' ')"
+    return f"array_to_string({stem(kept)}, ' ')"
 
 
 def prefixed(x: str) -> str:
