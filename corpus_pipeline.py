@@ -7,7 +7,7 @@ written as Parquet and read again as the next stage's ``docs``. All but the last
 1. quality: the byte-level network, learned from ``labels``, rejects documents (they go).
 2. near_dedup: one document of each SimHash component stays (4-word shingles, at most 4 differing bits).
 3. secrets: spans of secrets, base and linked, are replaced by a mark.
-4. mixing: documents leave or are copied so that every source meets its target.
+4. mixing: documents leave or are copied, whole, so that every source comes near its target.
 5. packing: the texts become padded sequences of at most 2048 tokens; one row per piece, with its ids.
 
 The tokenizer and the learned network have no SQL equivalent, so ``ORACLE_SQL`` is None; the tests compare
@@ -38,7 +38,7 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs)
+    return mixing.mix(docs, whole_texts=True)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

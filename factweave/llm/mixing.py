@@ -25,7 +25,7 @@ its stored size allows and splits by adaptive execution otherwise; a hot source
 Defined results: null text has size 0 and is taken 0 times, like an empty one; a null source is a
 source of its own; repeated rows (same id, source and size, null ids too) share their group's copies and
 differ by one copy at most; an empty table gives an empty result; other columns are not read (``mix``
-returns them with each copy).
+returns them with each copy). ``mix(whole_texts=True)`` rounds the part to a whole copy or none.
 """
 
 from __future__ import annotations
@@ -198,9 +198,12 @@ def mix_sizes(docs: DataFrame) -> DataFrame:
     return taken(rows, *plan_mix(rows)).select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", "taken")
 
 
-def mix(docs: DataFrame) -> DataFrame:
+def mix(docs: DataFrame, whole_texts: bool = False) -> DataFrame:
     """The mix itself: ``docs`` with a row for every copy; a copy taken in part holds its first words.
 
+    With ``whole_texts`` no text is cut: the one copy of a source that would be taken in part is taken whole if at least half of
+    it would be, else left out, so a source misses its target by half of that text at most.
+
     The documents are stored with their size and row id, so that plan and copies see the same rows.
     """
     columns = docs.columns
@@ -210,6 +213,8 @@ def mix(docs: DataFrame) -> DataFrame:
     rows = stored(sized(rows.select(*names, F.col(at["doc_id"]).cast("long").alias("doc_id"), source_key(F.col(at["source"])).alias("key")), [*names, "doc_id", "key"], at["text"])
                   .withColumn("rid", F.monotonically_increasing_id()))
     x = taken(rows, *plan_mix(rows.select("rid", "doc_id", "key", "size"))).filter("taken > 0")
+    if whole_texts:
+        x = x.withColumn("taken", F.expr("(2 * taken + size) div (2 * size) * size")).filter("taken > 0")
     rest = F.col("taken") % F.col("size")
     copy = F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int")))
     x = x.select("*", copy.alias("copy")).withColumn("part", F.when((rest > 0) & (F.col("copy") * F.col("size") > F.col("taken")), rest))
