@@ -1,19 +1,20 @@
 """Exact top-k search by norm-bucketed retrieval.
 
-Vectors become integers floor(scale * x); the score is their inner product. All vectors are dealt by
-a hash of their id into shards of about ``SHARD`` rows; every query goes to every shard (a stated
-query set against all rows). A shard's task first receives its vectors by falling length and cuts
-them into buckets of ``BUCKET``; then the queries stream by in blocks of ``BLOCK``. For query q with k-th
-best score t so far and a bucket whose longest vector is l, the local cosine threshold is
-t / (|q| l): above 1, the bucket and all shorter ones are skipped; from ``COORDINATE_FROM`` on, coordinate
-pruning keeps the vectors whose components at the ``FOCUS`` largest components of q lie in the range
-that the threshold allows; otherwise length pruning keeps the prefix with |q| |p| >= t. What is
-left is verified by exact products. The first thresholds come from ``SEEDS`` long vectors, a bounded
-set collected once; any set is a valid lower bound. The best k of each shard meet in one window,
-whose limit is applied before the shuffle.
+Vectors become integers floor(scale * x); the score is their inner product. Vectors are range-partitioned
+by falling length (ties by id) into shards of about ``SHARD`` rows, so a shard holds one range of
+lengths. Each query first gets a lower bound t of its k-th score from ``SEEDS`` long vectors, a bounded
+set collected once. It is then sent to those shards only whose longest vector l can reach it, |q| l >= t: queries
+and shards meet in an equi-join on length classes (``CLASSES`` per octave), and the exact bound is applied to
+what meets. A shard's task first receives its vectors and cuts them by falling length into buckets of ``BUCKET``;
+then its queries stream by in blocks of ``BLOCK``. For query q with k-th best score t so far and a bucket
+whose longest vector is l, the local cosine threshold is t / (|q| l): above 1, the bucket and all shorter
+ones are skipped; from ``COORDINATE_FROM`` on, coordinate pruning keeps the vectors whose components at the
+``FOCUS`` largest components of q lie in the range that the threshold allows; otherwise length pruning keeps
+the prefix with |q| |p| >= t. What is left is verified by exact products. The best k of each shard meet in
+one window, whose limit is applied before the shuffle.
 
 Products are exact: in double precision where |q| |p| < 2^53, else in Python integers; scores beyond
-64 bits are clipped. Pruning bounds are widened by 1e-9, so ties are never lost.
+64 bits are clipped, as are scaled components. Pruning bounds are widened by 1e-9, so ties are never lost.
 
 Defined results: vectors that are null, empty, or hold null or non-finite components, and rows with a
 null id, take no part; a vector meets vectors of its own dimension only; an id with several rows
@@ -31,6 +32,7 @@ from factweave.llm.common import ship, stored
 from factweave.llm.vectors import group_runs, matrix, usable
 
 SHARD, BUCKET, BLOCK, SEEDS = 8192, 512, 256, 512
+CLASSES = 4
 COORDINATE_FROM, FOCUS = 0.7, 4
 _SLACK = 1 + 1e-9
 
@@ -103,44 +105,73 @@ class Shard:
                 limit[i] = max(limit[i], -merged[-1][0])
 
 
+def _first_limits(queries: DataFrame, seeds: list, k: int) -> DataFrame:
+    """Adds ``floor``: a lower bound of each query's k-th score, from its products with the seeds."""
+    def run(batches):
+        seed = {}
+        for d in {s[0] for s in seeds}:
+            mine = [s for s in seeds if s[0] == d]
+            x = np.array([s[2] for s in mine], dtype=np.float64)
+            seed[d] = (np.array([s[1] for s in mine]), x, float(np.linalg.norm(x, axis=1).max()))
+        for batch in batches:
+            floor, dims = np.full(batch.num_rows, -np.inf), batch.column("dim").to_numpy()
+            ids = batch.column("vec_id").to_numpy()
+            for d in np.unique(dims).tolist():
+                if d not in seed or len(seed[d][0]) <= k:
+                    continue
+                at = np.flatnonzero(dims == d)
+                s_ids, s, longest = seed[d]
+                for i in range(0, len(at), BLOCK):
+                    some = at[i:i + BLOCK]
+                    q = matrix(batch.column("v").take(pa.array(some)), d).astype(np.float64)
+                    if float(np.linalg.norm(q, axis=1).max()) * longest * _SLACK < 2.0 ** 53:
+                        scores = np.where(ids[some][:, None] == s_ids[None, :], -np.inf, q @ s.T)
+                        floor[some] = np.partition(scores, -k, axis=1)[:, -k]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(floor)], names=[*batch.schema.names, "floor"])
+
+    return queries.mapInArrow(run, "dim int, vec_id long, v array<double>, length double, floor double")
+
+
+def _length_class(length):
+    """Whole number that grows with ``length``; -1 for lengths below 1 (whole vectors: the zero vector)."""
+    return F.when(length < 1, F.lit(-1)).otherwise(F.floor(F.log2(length) * CLASSES).cast("int"))
+
+
+def route(queries: DataFrame, rows: DataFrame) -> DataFrame:
+    """``queries`` (with ``length`` and ``floor``), once for every ``shard`` of ``rows`` that can hold one of their best vectors."""
+    shards = rows.groupBy("dim", "shard").agg(F.max("length").alias("longest")).withColumn("class", _length_class(F.col("longest")))
+    top = shards.agg(F.max("class")).first()[0]
+    need = F.col("floor") / F.col("length") / _SLACK  # the least length that reaches the floor
+    low = F.when((F.col("length") > 0) & (need > 1), F.least(_length_class(need) - 1, F.lit(top))).otherwise(F.lit(-1))
+    classes = queries.withColumn("class", F.explode(F.sequence(low, F.lit(top)))) if top is not None else queries.withColumn("class", F.lit(-1))
+    reach = F.col("length") * F.col("longest") * _SLACK >= F.col("floor")
+    return classes.join(shards, ["dim", "class"]).filter(reach | F.isnan(F.col("length") * F.col("longest"))).drop("class", "longest")
+
+
 def top_k(vectors: DataFrame, is_query, k: int = 5, scale: float = 256.0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best other vectors of every vector that satisfies ``is_query`` (a condition on vec_id)."""
     spark = vectors.sparkSession
     ship(spark)
     valid = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v")).filter(usable("v") & F.col("vec_id").isNotNull())
     whole = F.transform("v", lambda x: F.floor(x.cast("double") * scale).cast("double"))
-    rows = stored(valid.select("vec_id", whole.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
-                  .withColumn("dim", F.size("v")).withColumn("len2", F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
-    shards = max(1, -(-rows.count() // SHARD))
-    seeds = [(r.dim, r.vec_id, r.v) for r in rows.orderBy(F.col("len2").desc(), "vec_id").limit(SEEDS).collect()]
-    queries = rows.filter(is_query)
-    to = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
-    both = rows.select("dim", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), "vec_id", "v") \
-        .unionByName(queries.select("dim", to.alias("shard"), F.lit(1).alias("kind"), "vec_id", "v"))
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    sized = stored(valid.select("vec_id", whole.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+                   .select(F.size("v").alias("dim"), "vec_id", "v", length.alias("length")))
+    shards = max(1, -(-sized.count() // SHARD))
+    rows = stored(sized.repartitionByRange(shards, "dim", F.col("length").desc(), "vec_id").withColumn("shard", F.spark_partition_id()))
+    seeds = [(r.dim, r.vec_id, r.v) for r in rows.orderBy(F.col("length").desc(), "vec_id").limit(SEEDS).collect()]
+    queries = _first_limits(rows.filter(is_query).select("dim", "vec_id", "v", "length"), seeds, k)
+    both = rows.select("dim", "shard", F.lit(0).alias("kind"), "vec_id", "v", F.lit(0.0).alias("floor")) \
+        .unionByName(route(queries, rows).select("dim", "shard", F.lit(1).alias("kind"), "vec_id", "v", "floor"))
     dealt = both.repartition("dim", "shard").sortWithinPartitions("dim", "shard", "kind")
 
     def run(batches):
-        seed = {}
-        for d in {s[0] for s in seeds}:
-            mine = [s for s in seeds if s[0] == d]
-            seed[d] = (np.array([s[1] for s in mine]), np.array([s[2] for s in mine], dtype=np.float64))
         key, held, shard = None, [], None
-
-        def floors(dim, ids, q):
-            if dim not in seed or len(seed[dim][0]) <= k:
-                return np.full(len(ids), -np.inf)
-            s_ids, s = seed[dim]
-            exact = float(np.linalg.norm(q, axis=1).max()) * float(np.linalg.norm(s, axis=1).max()) * _SLACK < 2.0 ** 53
-            if not exact:
-                return np.full(len(ids), -np.inf)
-            scores = np.where(ids[:, None] == s_ids[None, :], -np.inf, q @ s.T)
-            return np.partition(scores, -k, axis=1)[:, -k]
-
         for batch in batches:
             if not batch.num_rows:
                 continue
             keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("dim", "shard", "kind")], axis=1)
-            ids, out = batch.column("vec_id").to_numpy(), []
+            ids, floor, out = batch.column("vec_id").to_numpy(), batch.column("floor").to_numpy(), []
             for a, b in zip(*group_runs(keys)):
                 dim, number, kind = keys[a].tolist()
                 if (dim, number) != key:
@@ -150,12 +181,10 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: float = 256.0, id_col
                     held.append((ids[a:b].copy(), m.copy()))
                     continue
                 if shard is None:
-                    if not held:
-                        held = [(np.zeros(0, np.int64), np.zeros((0, dim)))]
                     shard = Shard(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
                 for i in range(0, b - a, BLOCK):
-                    q_ids, q = ids[a + i:min(a + i + BLOCK, b)], m[i:i + BLOCK]
-                    out += shard.best(q_ids, q, floors(dim, q_ids, q), k)
+                    part = slice(a + i, min(a + i + BLOCK, b))
+                    out += shard.best(ids[part], m[i:i + BLOCK], floor[part], k)
             x = np.array(out, dtype=np.int64).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([pa.array(x[:, c]) for c in range(3)], names=["query_id", "vec_id", "score"])
 

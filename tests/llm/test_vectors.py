@@ -28,6 +28,29 @@ def test_top_k_equals_all_pairs(spark, monkeypatch, sizes):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 3 == 0).count() == 0
 
 
+def test_queries_visit_the_lengths_they_can_reach(spark, monkeypatch):
+    """Lengths fall by shard; a query goes to the shards whose longest vector reaches its first limit, and to no other."""
+    monkeypatch.setattr(topk, "SHARD", 50)
+    rng = np.random.default_rng(11)
+    data = [(i, [float(a) for a in rng.normal(size=12) * 2.0 ** -(i % 9)]) for i in range(900)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    seen, plain = [], topk.route
+
+    def noted(queries, rows):
+        shards = {r.shard: (r.low, r.high) for r in rows.groupBy("shard").agg(F.min("length").alias("low"), F.max("length").alias("high")).collect()}
+        wanted = {(q.vec_id, s) for q in queries.collect() for s, (_, high) in shards.items() if q.length * high * (1 + 1e-9) >= q.floor}
+        out = plain(queries, rows)
+        seen.append((shards, wanted, {(r.vec_id, r.shard) for r in out.collect()}))
+        return out
+
+    monkeypatch.setattr(topk, "route", noted)
+    assert brute.rows(topk.top_k(df, F.col("vec_id") % 3 == 0)) == brute.top_k(data, 5, lambda i: i % 3 == 0)
+    shards, wanted, got = seen[0]
+    bounds = [shards[s] for s in sorted(shards)]
+    assert len(bounds) >= 15 and all(a[0] >= b[1] for a, b in zip(bounds, bounds[1:]))
+    assert got == wanted and 2 * len(got) < 300 * len(shards)
+
+
 @pytest.mark.parametrize("how", [{}, {"bits": 10, "block": 40}, {"bits": 3, "block": 100}])
 def test_dedup_equals_all_pairs(spark, how):
     data = [(i, i % 2, x) for i, x in enumerate(cloud(700, 2))] + [(i, 1, x) for i, x in ODD[:-1]] + [(8000, None, [1.0] * 12), (8001, 0, [2.0, 4.0]), (8002, 0, [1.0, 2.0])]
