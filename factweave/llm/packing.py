@@ -3,11 +3,12 @@
 Each task tokenizes its documents in order (every document ends with ``end_id``) and lays their ids in
 one line. Cuts are chosen by dynamic programming over allowed boundaries: document ends (free),
 sentence ends (``SENTENCE_CUT``) and, inside sentences longer than ``HARD_STEP`` ids, hard points
-(``HARD_CUT``), so that padding plus truncation penalties are smallest. A sequence of length L costs
-``limit - L`` padding, or none where L is a power of two. For padded sequences the best predecessor of
-a boundary is the minimum of (cost + position) over a sliding range of ``limit`` ids, kept in a
-monotone queue; the few power-of-two lengths are looked up by position. Each boundary enters and
-leaves the queue once, so the work is linear.
+(``HARD_CUT``): every ``HARD_STEP`` ids, and the places whole limits away from a boundary shortly before, so that
+full sequences stay possible. The objective is padding plus penalties plus ``SEQUENCE_COST`` per sequence. A
+sequence of length L costs ``limit - L`` padding, or none where L is a power of two, however short. For padded
+sequences the best predecessor of a boundary is the minimum of (cost + position) over a sliding range of
+``limit`` ids, kept in a monotone queue; the pairs of boundaries a power of two apart are found at once by
+binary search. Each boundary enters and leaves the queue once, so the work is linear.
 
 Documents are packed in the order and partition in which they are read: no shuffle, and a text is
 tokenized once. A line is solved whenever ``LINE_TOKENS`` ids are there; a line's end may be padded, which
@@ -35,6 +36,7 @@ from factweave.llm.tokenizing import pieces_for, read_ranks
 
 LINE_TOKENS = 1 << 20
 SENTENCE_CUT, HARD_CUT = 6.0, 24.0   # penalties in tokens of padding
+SEQUENCE_COST = 32.0                 # a sequence more, in tokens of padding
 HARD_STEP = 256
 _ENDS = (b".", b"!", b"?", b"\n")
 
@@ -53,7 +55,7 @@ def sentence_ends(path: str, ranks_path: str | None = None, size: int = 1 << 17)
     return ends
 
 
-def boundaries(line: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def boundaries(line: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Allowed cut positions of a line (0 and its end included) and the penalty of cutting there."""
     n = len(line)
     kind = np.full(n + 1, np.inf)
@@ -63,21 +65,36 @@ def boundaries(line: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray) -> tupl
     soft = np.flatnonzero(np.isfinite(kind))
     gap = np.diff(soft)
     for k in np.flatnonzero(gap > HARD_STEP):
-        hard = np.arange(soft[k] + HARD_STEP, soft[k + 1], HARD_STEP)
-        kind[hard] = HARD_CUT
+        a, b = soft[k], soft[k + 1]
+        before = soft[np.searchsorted(soft, a - limit):k + 1]
+        full = (before[:, None] + limit * np.arange(1, (b - a) // limit + 2)[None, :]).ravel()
+        kind[full[(full > a) & (full < b)]] = HARD_CUT
+        kind[np.arange(a + HARD_STEP, b, HARD_STEP)] = HARD_CUT
     at = np.flatnonzero(np.isfinite(kind))
     return at, kind[at]
 
 
+def power_pairs(at: np.ndarray, limit: int) -> tuple[list[int], list[int]]:
+    """(j, k) of all boundaries whose distance at[j] - at[k] is a power of two up to ``limit``, by j."""
+    late, early = [], []
+    for size in (1 << e for e in range(limit.bit_length())):
+        k = np.searchsorted(at, at - size)
+        j = np.flatnonzero(at[k] == at - size)
+        late.append(j)
+        early.append(k[j])
+    late, early = np.concatenate(late), np.concatenate(early)
+    order = np.argsort(late, kind="stable")
+    return late[order].tolist(), early[order].tolist()
+
+
 def best_cuts(at: np.ndarray, penalty: np.ndarray, limit: int) -> list[int]:
-    """Cut positions (first 0, last the end) with the smallest padding plus penalties."""
+    """Cut positions (first 0, last the end) with the smallest padding plus penalties plus cost of sequences."""
     position, pen = at.tolist(), penalty.tolist()
     n = len(position)
     cost, back = [0.0] * n, [0] * n
-    index = {p: i for i, p in enumerate(position)}
-    powers = [1 << k for k in range(limit.bit_length()) if 1 << k <= limit]
-    # a short power of two saves padding but costs a sequence: only lengths from limit / 16 on are tried
-    powers = [p for p in powers if p * 16 >= limit]
+    late, early = power_pairs(at, limit)
+    late.append(n)
+    pair = 0
     queue: deque[tuple[float, int]] = deque([(0.0, 0)])  # (cost + position, boundary), increasing
     for j in range(1, n):
         p = position[j]
@@ -85,11 +102,12 @@ def best_cuts(at: np.ndarray, penalty: np.ndarray, limit: int) -> list[int]:
             queue.popleft()
         i = queue[0][1]
         value = cost[i] + limit - (p - position[i])
-        for size in powers:
-            k = index.get(p - size)
-            if k is not None and cost[k] < value:
+        while late[pair] == j:
+            k = early[pair]
+            if cost[k] < value:
                 value, i = cost[k], k
-        value += pen[j] if j < n - 1 else 0.0
+            pair += 1
+        value += SEQUENCE_COST + (pen[j] if j < n - 1 else 0.0)
         cost[j], back[j] = value, i
         key = value + p
         while queue and queue[-1][0] >= key:
@@ -118,7 +136,7 @@ def pack(docs: DataFrame, tokenizer_path: str, limit: int = 2048, end_id: int =
             doc_end = np.cumsum(sizes)
             doc_start = doc_end - sizes
             ids = np.concatenate(line)
-            cuts = np.array(best_cuts(*boundaries(ids, doc_end, ends), limit))
+            cuts = np.array(best_cuts(*boundaries(ids, doc_end, ends, limit), limit))
             edges = np.union1d(cuts, doc_end)          # piece borders: every cut and every document end
             a, b = np.concatenate([[0], edges[edges > 0][:-1]]).astype(np.int64), edges[edges > 0]
             doc = np.searchsorted(doc_end, a, side="right")

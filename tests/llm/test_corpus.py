@@ -52,8 +52,7 @@ def test_cuts_are_optimal(steps):
     for size, p in steps:
         at.append(at[-1] + size)
         pen.append(p)
-    powers = [x for x in (1, 2, 4, 8, 16, 32) if x * 16 >= limit]
-    price = lambda size: 0 if size in powers else limit - size
+    price = lambda size: packing.SEQUENCE_COST + (0 if size & (size - 1) == 0 else limit - size)
     best = [0.0] + [1e9] * (len(at) - 1)
     for j in range(1, len(at)):
         best[j] = min(best[i] + price(at[j] - at[i]) + (pen[j] if j < len(at) - 1 else 0) for i in range(j) if at[j] - at[i] <= limit)
@@ -62,6 +61,22 @@ def test_cuts_are_optimal(steps):
     assert cuts[0] == 0 and cuts[-1] == at[-1] and abs(cost - best[-1]) < 1e-9
 
 
+def test_hard_points_leave_full_sequences_possible():
+    """Behind short documents, a sentence far longer than the limit may be cut where every sequence but the last is full."""
+    for first in (37, 300, 1999):
+        n = first + 9000
+        at, pen = packing.boundaries(np.full(n, 3), np.array([first, n]), np.zeros(10, bool), 2048)
+        full = [*range(0, n, 2048), n]
+        assert set(full) <= set(at.tolist())
+
+        def price(cuts):
+            sizes, there = np.diff(cuts).tolist(), dict(zip(at.tolist(), pen.tolist()))
+            return sum(packing.SEQUENCE_COST + (0 if x & (x - 1) == 0 else 2048 - x) for x in sizes) + sum(there[c] for c in cuts[1:-1])
+
+        cuts = packing.best_cuts(at, pen, 2048)
+        assert cuts[0] == 0 and cuts[-1] == n and max(np.diff(cuts)) <= 2048 and price(cuts) <= price(full)
+
+
 def test_packing_round_trip(spark, documents, texts):
     path = public_tokenizers.path("byte_bpe_50k.json")
     pieces = packing.pack(documents, path, with_ids=True, ranks_path=public_tokenizers.path("byte_bpe_50k.tiktoken")).collect()
