@@ -1,7 +1,7 @@
 """Quality classifier: a byte-level convolutional network in numpy.
 
 The text's UTF-8 bytes are cut into overlapping chunks that cover the whole document. Learned
-filters run over every chunk (width 8 bytes, stride 2, ReLU), are max-pooled within the chunk, and
+filters run over every chunk (width 8 bytes, at every offset, ReLU), are max-pooled within the chunk, and
 a linear layer turns the pooled activations into a chunk logit. Beside the learned filters stand
 box filters over "this byte equals the one ``lag`` bytes before" (lags 2 to 32, max-pooled over
 positions and lags), through which repeated words are seen, and how far the chunk is filled. The document's probability is the
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from factweave.llm.common import byte_chunks, map_text
 
-WIDTH, STRIDE = 8, 2            # bytes under a filter, bytes between two positions
+WIDTH = 8                       # bytes under a filter; filters stand at every offset
 CHUNK, STEP = 512, 448          # bytes of a chunk, bytes between two chunks
 FILTERS = 24
 LAGS = range(2, 33)             # distances at which a byte is compared with an earlier one
@@ -67,16 +67,16 @@ def chunked(raw: bytes, most: int | None = None) -> np.ndarray:
 
 
 def _pairs(chunks: np.ndarray) -> np.ndarray:
-    """Byte pairs at every even offset: (chunks, CHUNK / 2)."""
-    return (chunks[:, 0::2].astype(np.int32) << 8) | chunks[:, 1::2]
+    """Byte pairs at every offset: (chunks, CHUNK - 1)."""
+    return (chunks[:, :-1].astype(np.int32) << 8) | chunks[:, 1:]
 
 
 def _conv(pairs: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
     """(chunks, positions, FILTERS) before bias and ReLU."""
-    positions = pairs.shape[1] - len(tables) + 1
+    positions = pairs.shape[1] - WIDTH + 2
     z = tables[0][pairs[:, :positions]]
     for j in range(1, len(tables)):
-        z += tables[j][pairs[:, j:j + positions]]
+        z += tables[j][pairs[:, 2 * j:2 * j + positions]]
     return z
 
 
@@ -169,7 +169,7 @@ def train(texts: list[bytes], labels: list[int], seed: int = 7) -> Network:
             g_tables = np.zeros_like(net.tables)
             rows, filters = np.arange(len(x))[:, None], np.arange(FILTERS)[None, :]
             for j in range(WIDTH):
-                np.add.at(g_tables[j], (x[rows, best * STRIDE + j], np.broadcast_to(filters, best.shape)), g_pre)
+                np.add.at(g_tables[j], (x[rows, best + j], np.broadcast_to(filters, best.shape)), g_pre)
             t += 1
             for p, g, m, v in zip(params, (g_tables, g_pre.sum(0), g_out + 1e-4 * net.out, g_mix), first, second):
                 m += 0.1 * (g - m)

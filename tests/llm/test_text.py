@@ -207,3 +207,30 @@ def test_quality_blocks_do_not_change_scores():
     whole = quality.score(net, texts, net.pair_tables())
     one = [quality.score(net, [t], net.pair_tables(), block=3)[0] for t in texts]
     assert np.allclose(whole, one, atol=1e-5)
+
+
+def test_quality_equals_a_plain_convolution():
+    """Filter by filter, offset by offset; a text that is junk in its middle only, at an even and an odd offset."""
+    import numpy as np
+    net = quality.train([b"good words here " * 9, b"$$$ ### &&& " * 200, b"fine text " * 30, b"%%% ***"], [1, 0, 1, 0])
+
+    def plain(raw):
+        logits = []
+        for start in range(0, max(1, len(raw) - quality.CHUNK + quality.STEP), quality.STEP):
+            chunk = raw[start:start + quality.CHUNK].ljust(quality.CHUNK, b"\0")
+            best = [max(sum(float(net.tables[j, chunk[at + j], f]) for j in range(quality.WIDTH)) for at in range(quality.CHUNK - quality.WIDTH + 1))
+                    for f in range(quality.FILTERS)]
+            pooled = [max(b + float(c), 0.0) for b, c in zip(best, net.bias)]
+            boxes = [0.0] * len(quality.BOXES)
+            for lag in quality.LAGS:
+                same = [at >= lag and chunk[at] != 0 and chunk[at] == chunk[at - lag] for at in range(quality.CHUNK)]
+                for k, width in enumerate(quality.BOXES):
+                    boxes[k] = max(boxes[k], max(sum(same[a:a + width]) for a in range(0, quality.CHUNK - width + 1, 8)) / width)
+            fill = sum(c != 0 for c in chunk) / quality.CHUNK
+            extra = [max(b - 0.5, 0) * 2 for b in boxes] + [fill, float(fill < 0.05), float(fill < 0.2)]
+            logits.append(sum(x * float(w) for x, w in zip(pooled + extra, net.out)))
+        z = float(net.mix[0]) + float(net.mix[1]) * sum(logits) / len(logits) + float(net.mix[2]) * min(logits)
+        return 1 / (1 + np.exp(-z))
+
+    texts = [b"", b"x", b"good words " * 40, b"good words " * 60 + b"$$$ ### " * 20 + b"fine text " * 50, b"!" + b"good words " * 60 + b"$$$ ### " * 20 + b"fine text " * 50]
+    assert np.allclose(quality.score(net, texts, net.pair_tables()), [plain(t) for t in texts], atol=1e-4)
