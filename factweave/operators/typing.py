@@ -316,12 +316,14 @@ class PhaseOne:
 
 
 def phase_one(tuples: DataFrame, s: TyperSettings, type_dim: DataFrame, stoplist: DataFrame | None = None,
-              id_cols=("row_id",), materialize: bool = True) -> PhaseOne:
+              id_cols=("row_id",), materialize: bool = True, store_pairs: bool | None = None) -> PhaseOne:
     """Relation infos, their entities and (argument, relation) pairs.
 
     With ``materialize`` the reduced occurrences and the pairs are written to the session's checkpoint folder, so the
     tuples are read twice, whatever is asked of the result; without, nothing runs before the caller's own action.
+    ``store_pairs`` (default: as ``materialize``) is False where the pairs are read once or not at all.
     """
+    store_pairs = materialize if store_pairs is None else store_pairs
     ent = entity_occurrences(tuples, s, type_dim, stoplist, id_cols)
     counts = entity_counts(relation_sample(ent, s) if s.sample_relations else ent)
     counts = cut_lineage(counts) if materialize else counts
@@ -330,7 +332,7 @@ def phase_one(tuples: DataFrame, s: TyperSettings, type_dim: DataFrame, stoplist
     info = cut_lineage(info) if materialize else info
     rel_ent = counts.join(info.select("rel"), "rel", "left_semi").drop("n")
     arg_rel = relation_args(tuples, info, s)
-    return PhaseOne(stats, info, rel_ent, cut_lineage(arg_rel) if materialize else arg_rel)
+    return PhaseOne(stats, info, rel_ent, cut_lineage(arg_rel) if store_pairs else arg_rel)
 
 
 def settings_fingerprint(s: TyperSettings) -> str:
