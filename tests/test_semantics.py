@@ -141,3 +141,16 @@ def test_link_diff_and_size_rule_option(spark):
     _, _, ruled = merge_batch(*halves, incoming_batch=12, size_rule=True)
     every, some = (f.filter("relink").count() for f in (flags, ruled))
     assert every == flags.filter("in_incoming").count() and 0 < some <= every
+
+
+def test_regroup_sends_no_wide_parts_or_hex_ids(spark):
+    """AG3: its parts hold what it returns, and the group's id is not shuffled as text with every instance."""
+    from tests.conftest import SF_SMALL
+    from factweave.plans import registry as R
+    _, parts = R.batched(spark, SF_SMALL, ("fbid",))
+    assert parts.columns == ["gid", "batch", "arg1_fbid", "arg2_fbid"]
+    _, whole = R.batched(spark, SF_SMALL)
+    cols = ["gid", "batch", "arg1_fbid", "arg2_fbid"]
+    assert sorted(map(repr, parts.collect())) == sorted(map(repr, whole.select(*cols).collect()))
+    plan = R.ag3_regroup(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey#") > 0 and "arg1_name" not in plan  # the names were carried by every shuffle of the parts
