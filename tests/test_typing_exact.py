@@ -116,3 +116,11 @@ def test_lines_of_a_large_relation_are_short_and_whole(spark):
     back = CD.read_phase_one_lines(CD.phase_one_lines(arg_rel, lines), dim)
     assert back.rel_ent.distinct().count() == n and back.rel_info.first().n_entities == n
     assert [tuple(r) for r in back.arg_rel.collect()] == [("a\tb", "is in", 0.5, n)]
+
+
+def test_relation_infos_do_not_read_the_tuples_again(spark):
+    """SRC12: weights, sizes and entity sets come from the stored counts; each branch read the tuples before."""
+    from factweave.plans import registry as R
+    from tests.conftest import SF_SMALL
+    plan = R.src12_relinfo_decode(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "l_partkey" not in plan
