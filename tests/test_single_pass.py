@@ -53,3 +53,20 @@ def test_tags_equal_the_chain_of_comparisons(spark):
     df = spark.createDataFrame([(w,) for w in [*ODD, *C.LEXICON]], "t string")
     for r in df.select("t", penn.alias("p"), cls.alias("c"), TX.penn_tag(t).alias("p2"), TX.token_class(t).alias("c2")).collect():
         assert (r.p, r.c) == (r.p2, r.c2), r.t
+
+
+def test_lines_are_parsed_once_and_skipped_ones_counted(spark, tmp_path, monkeypatch):
+    from factweave.plans import registry as R
+    calls = []
+    good = "http://a\t[NP small/JJ ring/NN ] [VP is/VBZ ] [NP blue/JJ ]\t[0, 2]\t[2, 3]\t[3, 4]\t/1"
+    bad = good.replace("[3, 4]", "[3, 9]")
+
+    def lines(s, d):
+        seen = s.sparkContext.accumulator(0)
+        calls.append(seen)
+        rows = s.sparkContext.parallelize([good, good, bad, "x"], 2)
+        return rows.map(lambda v: (seen.add(1), v)[1:]).toDF("value string")
+    monkeypatch.setattr(R, "old_layout_lines", lines)
+    got = sorted(tuple(r) for r in R.inc6_line_ingest(spark, "").select("rel", "n").collect())
+    assert got == [("", 1), ("skipped lines", 2)]
+    assert calls[0].value == 4
