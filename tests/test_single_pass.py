@@ -70,3 +70,43 @@ def test_lines_are_parsed_once_and_skipped_ones_counted(spark, tmp_path, monkeyp
     got = sorted(tuple(r) for r in R.inc6_line_ingest(spark, "").select("rel", "n").collect())
     assert got == [("", 1), ("skipped lines", 2)]
     assert calls[0].value == 4
+
+
+WORDS = ["rings", "Ring", "men", "women", "Mens", "a b s", "s", "is", "was", "very", "cities", "dish\n", "rings\n", "feet", "ΟΔΟΣ", "'Β", "ΣΑΣ", "İs", "", "boxes", "ment", "supplied", "BY", "́Σ", "x ", None]
+
+
+def test_keys_equal_the_token_by_token_form(spark):
+    from factweave.functions import normalize_arg_tokens, normalize_rel_tokens, stem_tokens
+    rows = [([a, b, c],) for a in WORDS for b in ("blue", "is", None, "ties") for c in WORDS] + [([],), (None,)]
+    df = spark.createDataFrame(rows, "t array<string>")
+    low = F.transform("t", lambda t: F.lower(t))
+    arg = F.array_join(stem_tokens(low), " ")
+    rel = F.array_join(stem_tokens(F.filter(low, lambda t: ~t.isin(*C.REL_DROP_WORDS))), " ")
+    bad = df.filter(~normalize_arg_tokens("t").eqNullSafe(arg) | ~normalize_rel_tokens("t").eqNullSafe(rel))
+    assert bad.count() == 0
+
+
+def test_identities_are_equal_where_the_hashes_are(spark):
+    from factweave.operators import grouping as G
+    toks = [None, [], [""], ["a"], ["a", "b"], ["ab"], ["a", None], [None, "a"], ["a\x01b"], ["a\x01", "b"], ["\x02", None], [None, "\x02"], ["\x02", "\x02"],
+            [None, None], ["1:a,1:b"], ["", ""], ["p1:a"], ["j"], ["a", "", "b"]]
+    others = [("u", "c", 1, 0.5), (None, "c", 1, 0.5), ("~", "c", None, 0.5), ("u", None, 1, None), ("u|1:c", "", 1, 0.5000001), ("u", "1:c|", 11, 0.5)]
+    rows = [(t, s, 2, 3, 4, 5, n, u, c, f) for t in toks for u, c, s, f in others for n in (6, None)]
+    df = spark.createDataFrame(rows * 2, "tokens array<string>, " + ", ".join(f"{s} int" for s in G.SPANS) + ", url string, corpus string, confidence double")
+    got = df.select(G.instance_hash().alias("h"), G.instance_identity().alias("i")).distinct().collect()
+    assert len({r.h for r in got}) == len({bytes(r.i) for r in got}) == len(got)
+    assert optimized(df.select(G.instance_identity().alias("i"))).count("transform(") == 1
+
+
+def test_phrases_without_endings_meet_no_token_rules(spark):
+    """The counting of instances and the keys look at single tokens only on the long way (a branch), as the plan shows."""
+    from factweave.functions import normalize_arg_tokens
+    plan = optimized(spark.createDataFrame([(["blue", "ring"],)], "t array<string>").select(normalize_arg_tokens("t").alias("k")))
+    assert plan.index("CASE WHEN") < plan.index("transform(")
+
+
+def ex_rows(spark, rows):
+    from factweave.operators import grouping as G
+    schema = ", ".join(f"{k} string" for k in G.KEY) + ", tokens array<string>, " + ", ".join(f"{s} int" for s in G.SPANS) + ", url string, corpus string, confidence double"
+    full = [(*k, ["blue", "ring", "by", "peru"], 0, 2, 2, 1, 3, 1, u, "c", 0.5) for k, u in rows]
+    return spark.createDataFrame(full, schema)
