@@ -110,3 +110,16 @@ def ex_rows(spark, rows):
     schema = ", ".join(f"{k} string" for k in G.KEY) + ", tokens array<string>, " + ", ".join(f"{s} int" for s in G.SPANS) + ", url string, corpus string, confidence double"
     full = [(*k, ["blue", "ring", "by", "peru"], 0, 2, 2, 1, 3, 1, u, "c", 0.5) for k, u in rows]
     return spark.createDataFrame(full, schema)
+
+
+def test_capped_rows_are_formed_once(spark):
+    from factweave.operators import grouping as G
+    rows = [(("a", "r", "b"), f"u{i % 5}") for i in range(9)] + [((None, "r", "b"), "u")] * 4 + [(("c", "r", None), "v")]
+    df = ex_rows(spark, rows)
+    got = G.group_instances(df, max_group_size=2, columns=[])
+    assert got.columns == [*G.KEY, "inst_id"] and "md5(" not in optimized(got)
+    every = [(r.arg1, r.inst_id) for r in df.withColumn("inst_id", G.instance_hash()).collect()]
+    want = {(k, h) for k in ("a", None, "c") for h in sorted(h for a, h in every if a == k)[:2]}
+    assert {(r.arg1, r.inst_id) for r in got.collect()} == want and got.count() == len(want)
+    wide = G.group_instances(df, max_group_size=2)
+    assert {(r.arg1, r.inst_id, r.url) for r in wide.collect()} == {(r.arg1, r.inst_id, r.url) for r in G.group_instances(df).collect() if (r.arg1, r.inst_id) in want}
