@@ -123,3 +123,9 @@ def test_capped_rows_are_formed_once(spark):
     assert {(r.arg1, r.inst_id) for r in got.collect()} == want and got.count() == len(want)
     wide = G.group_instances(df, max_group_size=2)
     assert {(r.arg1, r.inst_id, r.url) for r in wide.collect()} == {(r.arg1, r.inst_id, r.url) for r in G.group_instances(df).collect() if (r.arg1, r.inst_id) in want}
+
+
+def test_rendered_groups_form_their_rows_once(spark):
+    from factweave.plans import registry as R
+    plan = optimized(R.pf10_render_groups(spark, "/root/testdata/sf0.001"))
+    assert "md5(" not in plan and "l_partkey" not in plan
