@@ -129,3 +129,9 @@ def test_rendered_groups_form_their_rows_once(spark):
     from factweave.plans import registry as R
     plan = optimized(R.pf10_render_groups(spark, "/root/testdata/sf0.001"))
     assert "md5(" not in plan and "l_partkey" not in plan
+
+
+def test_inlink_ratio_ships_what_it_reads(spark):
+    from factweave.plans import registry as R
+    plan = optimized(R.pf1_inlink_ratio_arg2(spark, "/root/testdata/sf0.001"))
+    assert "arg1_types" not in plan and "arg1_name" not in plan
