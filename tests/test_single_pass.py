@@ -135,3 +135,13 @@ def test_inlink_ratio_ships_what_it_reads(spark):
     from factweave.plans import registry as R
     plan = optimized(R.pf1_inlink_ratio_arg2(spark, "/root/testdata/sf0.001"))
     assert "arg1_types" not in plan and "arg1_name" not in plan
+
+
+def test_group_json_is_parsed_once(spark):
+    from factweave.operators import grouping as G
+    from factweave.sources import codecs as CD
+    nested = G.nest_groups(G.group_instances(ex_rows(spark, [(("a", "r", "b"), "u"), (("a", "r", "b"), "v")])))
+    back = CD.groups_from_json(CD.groups_to_json(nested), nested.schema)
+    plan = optimized(back.select("arg1.norm", F.size("instances").alias("n")))
+    assert plan.count("from_json(") == 1
+    assert back.collect() == nested.collect()
