@@ -54,7 +54,11 @@ class Whitener:
     def project(self, y: np.ndarray) -> np.ndarray:
         """Whitened coordinates of rows x - center; columns without variance hold 0."""
         rate = np.where(self.values > 0, 1.0 / np.sqrt(np.where(self.values > 0, self.values, 1.0)), 0.0)
-        return (y - (self.sums.astype(float) / self.n)) @ (self.vectors * rate)
+        centred, axes = (y - (self.sums.astype(float) / self.n)).T, self.vectors * rate
+        out = np.zeros((centred.shape[1], axes.shape[1]))
+        for values, axis in zip(np.ascontiguousarray(centred), axes):  # dimension by dimension: a matrix product's order of addition depends on the batch
+            out += values[:, None] * axis
+        return out
 
 
 def integers(column: pa.Array, dim: int, scale: float, shift: int) -> np.ndarray:
