@@ -71,3 +71,27 @@ def test_regroup_queries_store_no_names_and_drop_their_rows(spark):
     R.inc1_upsert_groups(spark, SF_SMALL)
     left = [spark.read.parquet(f"{scratch_dir(spark)}/{t}").columns for t in stored_tables(spark) - before]
     assert left and not any({"tokens", "arg1_name", "batch"} & set(c) for c in left)
+
+
+def test_links_are_looked_up_once_per_question(spark, monkeypatch):
+    """Ten groups with two arguments and one context word between them ask four questions; parts may hold the fbids alone."""
+    from factweave.operators import linking as L
+    rows = [(f"k{i}", "r", "b", ["Blue", "ring", "by", "Peru" if i % 2 else "Chad", "Acme"], 0, 2, 2, 1, 4, 1, f"{i:032x}") for i in range(10)]
+    inst = spark.createDataFrame([*rows, rows[0]], ", ".join(f"{k} string" for k in G.KEY) + ", tokens array<string>, " + ", ".join(f"{s} int" for s in G.SPANS) + ", inst_id string")
+    anchors = spark.createDataFrame([("blue ring", "m.1", 3), ("blue ring", "m.2", 2), ("acme", "s.1", 1)], "anchor string, fbid string, link_count long")
+    ents = spark.createDataFrame([(f, f, 1, ["/t"], c) for f, c in (("m.1", None), ("m.2", ["peru"]), ("s.1", []))],
+                                 "fbid string, name string, inlinks long, types array<string>, context array<string>")
+    parts = inst.select(*G.KEY).distinct().withColumn("arg1_fbid", F.lit("m.9")).withColumn("arg2_fbid", F.lit(None).cast("string"))
+    asked, look_up = [], L.link_candidates
+    monkeypatch.setattr(L, "link_candidates", lambda q, *a: (asked.append(q), look_up(q, *a))[1])
+    out = {r.arg1: (r.arg1_fbid, r.arg1_score, r.arg2_fbid, r.arg2_score) for r in L.link_groups(inst, parts, anchors, ents).collect()}
+    assert out == {f"k{i}": ("m.2", 4, "s.1", 1) if i % 2 else ("m.1", 3, "s.1", 1) for i in range(10)}
+    assert asked[0].count() == 4 and not set(G.KEY) & set(asked[0].columns)
+
+
+def test_rendering_drops_the_rows_it_read(spark):
+    from factweave.plans import registry as R
+    before = stored_tables(spark)
+    R.pf10_render_groups(spark, SF_SMALL)
+    left = [set(spark.read.parquet(f"{scratch_dir(spark)}/{t}").columns) for t in stored_tables(spark) - before]
+    assert left and not any({"tokens", "arg1_fbid"} <= c for c in left)  # rows with both were read by two steps
