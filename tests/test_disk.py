@@ -95,3 +95,31 @@ def test_rendering_drops_the_rows_it_read(spark):
     R.pf10_render_groups(spark, SF_SMALL)
     left = [set(spark.read.parquet(f"{scratch_dir(spark)}/{t}").columns) for t in stored_tables(spark) - before]
     assert left and not any({"tokens", "arg1_fbid"} <= c for c in left)  # rows with both were read by two steps
+
+
+def test_a_small_cap_stores_only_what_it_keeps(spark):
+    """A hot key, NULL keys and repeated rows; ids as text or as bytes. Rows over the cap are dropped before the shuffle and stored nowhere."""
+    rows = [("a" if i % 3 else None, "r", "b", i % 40, "u") for i in range(600)] + [("c", "r", None, 7, "u")] * 5
+    df = spark.createDataFrame(rows, ", ".join(f"{k} string" for k in G.KEY) + ", v int, url string").withColumn("inst_id", F.md5(F.col("v").cast("string"))).drop("v")
+    every = {(r.arg1, r.inst_id) for r in df.collect()}
+    counts = {(r.arg1, r.inst_id): r["count"] for r in df.groupBy("arg1", "inst_id").count().collect()}
+    want = set()
+    for key in ("a", None, "c"):
+        first = sorted(h for a, h in every if a == key for _ in range(counts[(a, h)]))[:20]
+        want |= {(key, h) for h in first}
+    before = stored_tables(spark)
+    assert {(r.arg1, r.inst_id) for r in G.group_instances(df, max_group_size=20, columns=[]).collect()} == want
+    left = [spark.read.parquet(f"{scratch_dir(spark)}/{t}").count() for t in stored_tables(spark) - before]
+    assert left == [len(want)]
+    held = G.group_instances(df.withColumn("inst_id", F.unhex("inst_id")), max_group_size=20, columns=["url"])
+    assert {(r.arg1, bytes(r.inst_id).hex(), r.url) for r in held.collect()} == {(k, h, "u") for k, h in want}
+
+
+def test_a_small_cap_limits_rows_before_its_only_shuffle(spark):
+    from factweave.operators.caps import first_few_per_key
+    df = spark.range(0, 1000, 1, 4).select(F.when(F.col("id") < 900, "hot").alias("k"), F.md5((F.col("id") % 300).cast("string")).alias("h"), "id")
+    got = first_few_per_key(df, ["k"], "h", 7)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hash") == 1 and "WindowGroupLimit" in plan[plan.index("Exchange hash"):]
+    hashes = sorted(r.h for r in df.filter("k = 'hot'").collect())
+    assert sorted(r.h for r in got.collect() if r.k) == hashes[:7] and got.count() == 14 and got.columns == df.columns
