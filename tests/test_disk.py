@@ -123,3 +123,40 @@ def test_a_small_cap_limits_rows_before_its_only_shuffle(spark):
     assert plan.count("Exchange hash") == 1 and "WindowGroupLimit" in plan[plan.index("Exchange hash"):]
     hashes = sorted(r.h for r in df.filter("k = 'hot'").collect())
     assert sorted(r.h for r in got.collect() if r.k) == hashes[:7] and got.count() == 14 and got.columns == df.columns
+
+
+def test_homes_are_merged_pass_by_pass(spark, monkeypatch, tmp_path):
+    """A split home that still has files, NULL keys and urls, an instance in two batches: passes share no key and change no row, and no shuffle files stay."""
+    from factweave.streaming import table as TB
+    whole = TB.passes([TB.Home(1, 0, 5, 0, ()), TB.Home(1, 1, 5, 0, ()), TB.Home(2, 2, 5, 0, ()), TB.Home(3, 6, 5, 0, ()), TB.Home(2, 3, 5, 0, ())])
+    assert len(whole) == 1
+    monkeypatch.setattr(TB, "PASS_BYTES", 1)
+    homes = [TB.Home(1, 1, 5, 0, ()), TB.Home(2, 0, 5, 0, ()), TB.Home(2, 2, 5, 0, ()), TB.Home(2, 3, 5, 0, ()), TB.Home(3, 5, 5, 0, ())]
+    assert [[h.name for h in p] for p in TB.passes(homes)] == [["1-1", "2-3", "3-5"], ["2-0"], ["2-2"]] and TB.passes([]) == []
+
+    table = str(tmp_path / "table")
+    assert TB.table_summary(spark, table).count() == 0
+    rows = [(f"a{i % 30}" if i % 7 else None, "r", "b", ["x"], *[0] * 6, f"u{i % 4}" if i % 5 else None, "c", i % 3 / 10, f"{i % 90:032x}") for i in range(120)]
+    df = spark.createDataFrame(rows, TB.INSTANCE_SCHEMA)
+    before = shuffle_files(spark)
+    key = F.xxhash64(*G.KEY)
+    for batch, depth in enumerate((1, 1, 2)):
+        TB.append(spark, df.filter(F.col("tokens")[0] == "x"), table, "instances", batch, F.concat(F.lit(f"{depth}-"), key.bitwiseAND(F.lit((1 << depth) - 1)).cast("string")))
+    parts = df.select(*G.KEY).distinct().withColumns({f.name: F.lit(None).cast(f.dataType) for f in TB.PART_SCHEMA.fields[3:]}).withColumn("gid", F.lit("g"))
+    TB.append(spark, parts, table, "parts", 0, F.concat(F.lit("1-"), key.bitwiseAND(F.lit(1)).cast("string")))
+    summary = lambda d: sorted(map(repr, d.select(*G.KEY, "n_instances", "n_urls", "max_conf", "min_conf").collect()))
+    want = summary(G.group_summary(df.dropDuplicates([*G.KEY, "inst_id"])))
+    assert summary(TB.table_summary(spark, table)) == want == summary(G.group_summary(TB.read_table(spark, table)[0]))
+    read, real = [], TB.read_raw
+    monkeypatch.setattr(TB, "read_raw", lambda s, t, name, only=None: (read.append((name, only)), real(s, t, name, only))[1])
+    done = TB.compact(spark, table, ratio=0.0)
+    seen = [n for name, only in read if name == "instances" for n in only]
+    assert sorted(seen) == sorted(done) and sum(name == "instances" for name, _ in read) == 2  # a family at a time
+    assert not {(h.depth, h.bits) for h in TB.homes(spark, table)} & TB.split_homes(TB.homes(spark, table))
+    assert summary(TB.table_summary(spark, table)) == want
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        spark._jvm.System.gc()
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
