@@ -124,3 +124,21 @@ def test_relation_infos_do_not_read_the_tuples_again(spark):
     from tests.conftest import SF_SMALL
     plan = R.src12_relinfo_decode(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "l_orderkey" not in plan and "l_partkey" not in plan
+
+
+def test_phase_one_lines_are_parsed_once(spark):
+    """SRC11: what phase two reads of the lines is stored; a type set is looked up once, however many entities have it. Unknown types and bad lines are dropped."""
+    ent = spark.createDataFrame([("r:1", f"m{i}", ["/a", "/b"] if i % 2 else ["/a", "/x"], "k") for i in range(6)] + [("r:1", "m9", ["/x"], "k")],
+                                "rel string, fbid string, types array<string>, tkey string")
+    info = spark.createDataFrame([("r:1", 0.5, 7)], "rel string, weight_2dp double, n_entities long")
+    dim = spark.createDataFrame([(1, "/a", 5), (2, "/b", 5)], "enum int, type string, instances int")
+    args = spark.createDataFrame([("a\tb", "r:1", 0.5, 7)], "arg string, rel string, weight_2dp double, n_entities long")
+    lines = CD.phase_one_lines(args, CD.relation_lines(info, ent, dim))
+    assert "explode" not in lines._jdf.queryExecution().optimizedPlan().toString()
+    bad = spark.createDataFrame([("\tr:high:m1,1",), ("\tr",), ("\tr:0.5:m1,one",), ("a\tb\tc",), (None,)], "value string")
+    back = CD.read_phase_one_lines(lines.unionByName(bad), dim)
+    for df in (back.rel_ent, back.rel_info, back.arg_rel):
+        assert "split(" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.rel, r.fbid, r.tkey, tuple(r.types)) for r in back.rel_ent.collect()) == \
+        [("r:1", f"m{i}", *(("/a,/b", ("/a", "/b")) if i % 2 else ("/a", ("/a",)))) for i in range(6)]
+    assert [tuple(r) for r in back.rel_info.collect()] == [("r:1", 0.5, 6)] and [tuple(r) for r in back.arg_rel.collect()] == [("a\tb", "r:1", 0.5, 6)]
